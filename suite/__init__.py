@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("datastreams",)
+MODULES = ("datastreams", "statistics", "processing")
 
 for _module in MODULES:
     importlib.import_module(f"suite.{_module}")

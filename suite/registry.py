@@ -37,8 +37,10 @@ def query(name: str, sql: str | None):
 
 
 def r4(value: Column) -> Column:
-    """Round for comparison; the tiny surplus keeps exact halves on one side in both engines."""
-    return F.floor(value * 10000.0 + 0.500001) / 10000.0
+    """Round for comparison; the tiny surplus keeps exact halves on one side in both engines.
+
+    NaN becomes NULL."""
+    return F.when(~F.isnan(value), F.floor(value * 10000.0 + 0.500001) / 10000.0)
 
 
 def sql_r4(expression: str) -> str:
