@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions import timezones as tz_fn
 from sensorlake.functions.flags import auto_flag, manual_flag
-from sensorlake.session import durable
+from sensorlake.operators.trees import ancestor_sums
 
 UNKNOWN = "unknown"
 
@@ -155,31 +155,16 @@ def newest_parent(edges: DataFrame) -> DataFrame:
 
 
 def accumulate_offsets(equipment: DataFrame, positions: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
-    """Sum of the z-offsets of each equipment and all its ancestors.
-
-    Every round joins the table with itself and doubles the distance a row has climbed, so a tree of depth d
-    needs log2(d) joins. Rows that still climb after ``max_depth`` levels sit on a cycle and are reported as
-    ``cyclic`` with a NULL offset. Finished rows carry a unique negative key, so they do not pile up on one task.
-    """
+    """Sum of the z-offsets of each equipment and all its ancestors; equipment on a cycle is reported as ``cyclic``
+    with a NULL offset. A negative sum is a depth, otherwise an elevation."""
     start = (equipment.select("equipment_id")
              .join(latest_position(positions).select("equipment_id", "equipment_z_offset_m"), "equipment_id", "left")
              .join(newest_parent(edges), "equipment_id", "left")
-             .select("equipment_id",
-                     F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("offset"),
-                     F.coalesce("parent_id", -F.col("equipment_id") - 1).alias("next_id")))
-    climbed, current = 1, durable(start)
-    while climbed < max_depth and not current.filter("next_id >= 0").isEmpty():
-        above = current.select(F.col("equipment_id").alias("next_id"), F.col("offset").alias("more"),
-                               F.col("next_id").alias("further"))
-        step = current.join(above, "next_id", "left").select(
-            "equipment_id",
-            (F.col("offset") + F.coalesce("more", F.lit(0.0))).alias("offset"),
-            F.when(F.col("further") >= 0, F.col("further")).otherwise(-F.col("equipment_id") - 1).alias("next_id"))
-        current, climbed = durable(step), climbed * 2
-    cyclic = F.col("next_id") >= 0
-    total = F.when(~cyclic, F.col("offset"))
-    return current.select(
-        "equipment_id", cyclic.alias("cyclic"),
+             .select(F.col("equipment_id").alias("id"), "parent_id",
+                     F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("weight")))
+    total = F.col("total")
+    return ancestor_sums(start, max_depth).select(
+        F.col("id").alias("equipment_id"), "cyclic",
         F.when(total < 0, "sensor_depth").when(total >= 0, "sensor_elevation").alias("attribute"),
         F.abs(total).alias("offset_m"))
 

@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("datastreams", "statistics", "processing", "ingest")
+MODULES = ("datastreams", "statistics", "processing", "ingest", "metadata")
 
 for _module in MODULES:
     importlib.import_module(f"suite.{_module}")

@@ -262,15 +262,14 @@ def clean_name_column(t):
 
 
 @query("expand_wildcards", """
-WITH c AS (SELECT DISTINCT p_brand || '_' || p_type AS name FROM part), p AS (SELECT DISTINCT p_brand AS pattern FROM part)
-SELECT pattern, name FROM p JOIN c ON starts_with(name, pattern)""")
+SELECT p_partkey, p_brand || x AS name FROM part, (VALUES ('_a'), ('_b')) v(x)
+UNION ALL SELECT p_partkey, p_type FROM part
+UNION ALL SELECT p_partkey, 'Standard_' || p_type FROM part WHERE p_size > 25""")
 def expand_wildcards(t):
-    names = t.part.select(F.concat_ws("_", "p_brand", "p_type").alias("name"), "p_brand").distinct()
-    listed = names.agg(F.array_sort(F.collect_set("name")).alias("columns"))
-    columns = listed.scalar()
-    patterns = t.part.select(F.col("p_brand").alias("pattern")).distinct()
-    expanded = mapping.expand_patterns(F.array(F.concat("pattern", F.lit("*"))), F.col("columns"))
-    return patterns.withColumn("columns", columns).select("pattern", F.explode(expanded).alias("name"))
+    columns = F.array(F.concat("p_brand", F.lit("_a")), F.col("p_type"), F.concat("p_brand", F.lit("_b")),
+                      F.concat(F.when(F.col("p_size") > 25, "Standard_").otherwise("Other_"), "p_type"))
+    patterns = F.array(F.concat("p_brand", F.lit("_*")), F.col("p_type"), F.lit("Standard*"))
+    return t.part.select("p_partkey", F.explode(mapping.expand_patterns(patterns, columns)).alias("name"))
 
 
 @query("split_feeder_blocks", """
