@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("datastreams", "statistics", "processing", "ingest", "metadata")
+MODULES = ("datastreams", "statistics", "processing", "ingest", "metadata", "laboratory", "stores")
 
 for _module in MODULES:
     importlib.import_module(f"suite.{_module}")

@@ -64,8 +64,7 @@ def ds_time_range(t):
 
 
 @query("ds_open_interval", f"""
-WITH {OBS_SQL}, edge AS (SELECT CAST(epoch_us(TIMESTAMP '2024-01-10 00:00:07') // 1000000 AS BIGINT) AS a),
-cases AS (SELECT * FROM (VALUES ('both'), ('end'), ('none'), ('start')) v(mode))
+WITH {OBS_SQL}, cases AS (SELECT * FROM (VALUES ('both'), ('end'), ('none'), ('start')) v(mode))
 SELECT mode, count(*) AS n, min(utc_time) AS lo, max(utc_time) AS hi
 FROM obs, cases
 WHERE qa_flag >= 'a'
@@ -75,12 +74,10 @@ WHERE qa_flag >= 'a'
 GROUP BY mode""")
 def ds_open_interval(t):
     obs = observations(t)
-    first = obs.agg(F.min("utc_time")).first()[0]
-    start = F.timestamp_seconds(F.lit(first))
-    start_text = t.spark.range(1).select(F.date_format(start, "yyyy-MM-dd HH:mm:ss")).first()[0]
+    start = obs.agg(F.min(F.timestamp_seconds("utc_time").cast("timestamp_ntz"))).first()[0]
     out = None
     for mode in (None, "start", "end", "both"):
-        part = datastream_data(obs, qa_flag="a", start_datetime=start_text, end_datetime="2024-01-30 00:00:00",
+        part = datastream_data(obs, qa_flag="a", start_datetime=start, end_datetime="2024-01-30 00:00:00",
                                open_interval=mode)
         part = part.agg(F.count("*").alias("n"), stamp(F.min("datetime_local")).alias("lo"),
                         stamp(F.max("datetime_local")).alias("hi")).select(F.lit(mode or "none").alias("mode"), "*")
