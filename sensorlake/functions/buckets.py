@@ -66,7 +66,7 @@ def mid_bin(start: Column, count: int, unit: str) -> Column:
     """Middle of a bin, given its start: half the length; a week's middle is Thursday noon."""
     if unit in ("H", "D", "W"):
         length = count * {"H": 3600, "D": 86400, "W": 7 * 86400}[unit]
-        return shift_seconds(start, F.lit(length / 2))
+        return shift_seconds(start, length // 2)
     months = count if unit == "MS" else 12 * count
     days = F.datediff(F.add_months(start.cast("date"), months), start.cast("date"))
     return shift_seconds(start, days * F.lit(43200))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMBER_PATTERN = r"^[+-]?((\d+(\.\d*)?|\.\d+)([eE][+-]?\d+)?|inf|Inf|INF|infinity|Infinity|nan|NaN|NAN)$"
+# One plain number. Tested before the cast, because a cast that fails costs an exception per row.
+NUMBER_PATTERN = r"^[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))$"
 
 # Cell texts that mean "missing" in sensor files.
 MISSING_TOKENS = (
@@ -21,7 +22,7 @@ def is_number(text: Column) -> Column:
 
 def to_number(text: Column) -> Column:
     """Number of a plain numeric text, else NULL."""
-    return F.when(is_number(text), F.trim(text).try_cast("double"))
+    return F.when(is_number(text), F.trim(text).cast("double"))
 
 
 def coerce_numeric(text: Column, missing: tuple[str, ...] = MISSING_TOKENS) -> Column:
@@ -41,26 +42,29 @@ def short_precision(value: Column, digits: int = 10) -> Column:
     return F.when(plain, value).otherwise(scaled)
 
 
-def parse_annotated(cell: Column) -> Column:
-    """Split a laboratory cell into ``struct(remark, value, qualifiers)``.
+def annotated_tokens(cell: Column) -> dict[str, Column]:
+    """First step of reading a laboratory cell: trimmed text, its tokens, and whether text and first token are
+    plain values. Kept apart from :func:`annotated_parts` so that each is computed once per row."""
+    trimmed = F.trim(cell)
+    tokens = F.split(trimmed, r"\s+")
+    time = trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$")
+    return {"_text": trimmed, "_tokens": tokens, "_plain": (trimmed == "nan") | is_number(trimmed) | time,
+            "_leads": is_number(F.get(tokens, F.lit(0)))}
+
+
+def annotated_parts(cell: Column) -> dict[str, Column]:
+    """``remark``, ``value`` and ``qualifiers`` from the token columns.
 
     Numbers, ``nan`` and timestamps are the value itself. Otherwise two tokens are (value, qualifiers) when the
     first is a number, else (remark, value); three are (remark, value, qualifiers); one is a remark. More than
     three tokens is an error.
     """
-    trimmed = F.trim(cell)
-    tokens = F.split(trimmed, r"\s+")
-    count = F.size(tokens)
-    first, second, third = (F.get(tokens, F.lit(i)) for i in range(3))
-    plain = (trimmed == "nan") | is_number(trimmed) | trimmed.rlike(r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$")
-    value_first = (count == 2) & is_number(first)
-    remark_value = (count == 2) & ~is_number(first)
+    plain, leads, count = F.col("_plain"), F.col("_leads"), F.size("_tokens")
+    first, second, third = (F.get("_tokens", F.lit(i)) for i in range(3))
+    nothing = F.lit(None).cast("string")
     too_many = F.raise_error(F.concat(F.lit("more than three parts in result: "), cell)).cast("string")
-    remark = (F.when(plain, F.lit(None).cast("string"))
-              .when(count > 3, too_many)
-              .when((count == 1) | (count == 3) | remark_value, first))
-    value = (F.when(plain, trimmed)
-             .when(value_first, first)
-             .when((count == 3) | remark_value, second))
-    qualifiers = F.when(plain, F.lit(None).cast("string")).when(value_first, second).when(count == 3, third)
-    return F.struct(remark.alias("remark"), value.alias("value"), qualifiers.alias("qualifiers"))
+    return {
+        "remark": F.when(plain, nothing).when(count > 3, too_many).when((count == 2) & leads, nothing).otherwise(first),
+        "value": F.when(plain, F.col("_text")).when((count == 2) & leads, first).when(count > 1, second),
+        "qualifiers": F.when(plain, nothing).when(count == 3, third).when((count == 2) & leads, second),
+    }

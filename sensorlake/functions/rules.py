@@ -110,5 +110,4 @@ def timezone_name(text: Column, names: list[str]) -> Column:
 
 def violations(**rules: Column) -> Column:
     """Collect ``column:rule`` messages of one row into an array; empty when the row is valid."""
-    checks = [F.when(rule.isNotNull(), F.concat(F.lit(f"{name}:"), rule)) for name, rule in rules.items()]
-    return F.filter(F.array(*checks), lambda m: m.isNotNull())
+    return F.array_compact(F.array(*[F.concat(F.lit(f"{name}:"), rule) for name, rule in rules.items()]))

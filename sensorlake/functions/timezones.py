@@ -62,26 +62,28 @@ def ntz_to_epoch(ts: Column) -> Column:
 
 
 def utc_to_local(ts: Column, tz: str | Column) -> Column:
-    """UTC wall clock to the wall clock of ``tz``."""
-    return F.convert_timezone(F.lit("UTC"), _zone(tz), ts)
+    """UTC wall clock to the wall clock of ``tz``. With the session in UTC the casts keep the value, and a literal
+    zone is resolved once per task instead of once per row."""
+    return F.from_utc_timestamp(ts.cast("timestamp"), _zone(tz)).cast("timestamp_ntz")
 
 
 def local_to_utc(ts: Column, tz: str | Column) -> Column:
     """Wall clock of ``tz`` to UTC; the repeated hour takes its first pass."""
-    return F.convert_timezone(_zone(tz), F.lit("UTC"), ts)
+    return F.to_utc_timestamp(ts.cast("timestamp"), _zone(tz)).cast("timestamp_ntz")
 
 
 def epoch_to_local(epoch: Column, tz: str | Column = "UTC") -> Column:
     """Epoch seconds to the wall clock of ``tz``."""
     if isinstance(tz, str) and normalize_tz(tz) == "UTC":
         return epoch_to_ntz(epoch)
-    return utc_to_local(epoch_to_ntz(epoch), tz)
+    return F.from_utc_timestamp(F.timestamp_seconds(epoch), _zone(tz)).cast("timestamp_ntz")
 
 
 def shift_seconds(ts: Column, seconds: Column | int) -> Column:
     """Move a wall clock value by a number of seconds."""
     amount = F.lit(seconds) if isinstance(seconds, int) else seconds
-    return ts + F.make_dt_interval(secs=amount.cast("decimal(18,6)"))
+    micros = F.unix_micros(ts.cast("timestamp")) + amount.cast("bigint") * 1_000_000
+    return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
 def is_gap(ts: Column, tz: str | Column) -> Column:
@@ -90,20 +92,19 @@ def is_gap(ts: Column, tz: str | Column) -> Column:
 
 
 def fall_back_seconds(ts: Column, tz: str | Column) -> Column:
-    """How far the clock goes back around ``ts``: zone offset a day before minus the offset a day after."""
-    utc = local_to_utc(ts, tz)
-
-    def offset_at(instant: Column) -> Column:
-        return ntz_to_epoch(utc_to_local(instant, tz)) - ntz_to_epoch(instant)
-
-    return offset_at(shift_seconds(utc, -86400)) - offset_at(shift_seconds(utc, 86400))
+    """How far the clock goes back within a day after ``ts``: the zone offset in force minus the one a day later."""
+    utc = F.to_utc_timestamp(ts.cast("timestamp"), _zone(tz))
+    later = F.timestamp_micros(F.unix_micros(utc) + 86_400_000_000)
+    now = F.unix_seconds(ts.cast("timestamp")) - F.unix_seconds(utc)
+    then = F.unix_seconds(F.from_utc_timestamp(later, _zone(tz))) - F.unix_seconds(later)
+    return now - then
 
 
 def is_repeated(ts: Column, tz: str | Column) -> Column:
     """True for wall clock values that occur twice (clocks moved back)."""
     back = fall_back_seconds(ts, tz)
     second = shift_seconds(local_to_utc(ts, tz), back)
-    return (back > 0) & (utc_to_local(second, tz) == ts)
+    return F.when(back > 0, utc_to_local(second, tz) == ts).otherwise(F.lit(False))
 
 
 # Hour offsets that sample sheets use for their zone labels.

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sensorlake.functions.numbers import is_number, parse_annotated, to_number
+from sensorlake.functions.numbers import annotated_parts, annotated_tokens, is_number, to_number
 from sensorlake.functions.timezones import label_offset
 
 # What a relation to the parent makes of the child.
@@ -22,7 +22,8 @@ NON_DETECT_TEXTS = ("nd",)
 
 def annotate(df: DataFrame, cell: str) -> DataFrame:
     """Add ``remark``, ``value`` (text) and ``qualifiers`` of a laboratory cell."""
-    return df.withColumn("_a", parse_annotated(F.col(cell))).select("*", "_a.*").drop("_a")
+    read = df.withColumns(annotated_tokens(F.col(cell))).withColumns(annotated_parts(F.col(cell)))
+    return read.drop("_text", "_tokens", "_plain", "_leads")
 
 
 def _code_map(table: DataFrame, code: str, name: str) -> Column:
@@ -152,6 +153,6 @@ def make_results(long: DataFrame) -> dict[str, DataFrame]:
 def result_qualifiers(expanded: DataFrame, keys: list[str]) -> DataFrame:
     """One extension value per remark and qualifier of every annotated result that has a number."""
     values = F.array_distinct(F.array_compact(F.concat(F.array("censor_code"), "qualifier_names")))
-    return (expanded.filter(is_number(F.col("value")))
-            .select(*keys, F.explode(values).alias("property_value"))
+    measured = F.when(is_number(F.col("value")), values)
+    return (expanded.select(*keys, F.explode(measured).alias("property_value"))
             .withColumn("property_name", F.lit("value_qualifier_code")))

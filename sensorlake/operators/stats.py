@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.buckets import mid_bin, resample_bin
+from sensorlake.session import durable
 
 COMPUTED_OPS = ("mean", "average", "median", "mode", "stdev")
 PICK_OPS = ("min", "minimum", "max", "maximum", "first", "last")
@@ -27,14 +28,6 @@ def _with_bin(df: DataFrame, ts: str, count: int, unit: str, keys: list[str], an
     return df.join(firsts, keys).withColumn("bin", resample_bin(F.col(ts), count, unit, origin)).drop("_first")
 
 
-def value_counts(df: DataFrame, keys: list[str], value: str, ts: str | None = None) -> DataFrame:
-    """Distinct values of a group with their number (and first time): spreads one big group over all tasks."""
-    aggregates = [F.count("*").alias("n")]
-    if ts is not None:
-        aggregates.append(F.min(ts).alias("first_seen"))
-    return df.groupBy(*keys, value).agg(*aggregates)
-
-
 def mode_first_seen(df: DataFrame, keys: list[str], value: str, order: str) -> DataFrame:
     """Most frequent value per group; of equally frequent ones the first seen. NaN when a group has no value."""
     counts = df.groupBy(*keys, value).agg(F.count(value).alias("n"), F.min(order).alias("first_seen"))
@@ -43,7 +36,27 @@ def mode_first_seen(df: DataFrame, keys: list[str], value: str, order: str) -> D
         *keys, F.coalesce(F.when(F.col("m.n") < 0, F.col("m.v")), F.lit(NAN)).alias(value))
 
 
-def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+# Largest group whose median one aggregate buffer may hold.
+MEDIAN_GROUP_ROWS = 200_000
+
+
+def exact_median(df: DataFrame, keys: list[str], value: str, group_rows: int = MEDIAN_GROUP_ROWS) -> DataFrame:
+    """Exact median per group of the non-missing values.
+
+    Group sizes are counted first. Groups up to ``group_rows`` use the built-in median; larger ones, of which there
+    are few, are split by value (:func:`sliced_median`).
+    """
+    v = F.col(value)
+    present = df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, value)
+    large = present.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows).drop("_n")
+    if large.isEmpty():
+        return present.groupBy(*keys).agg(F.median(value).alias(value))
+    large = durable(large)
+    small = present.join(large, keys, "left_anti").groupBy(*keys).agg(F.median(value).alias(value))
+    return small.unionByName(sliced_median(present.join(large, keys, "left_semi"), keys, value))
+
+
+def sliced_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Exact median per group without holding a group in one task.
 
     Values are first reduced to distinct value and count. A monotone coarse slice (sixteenths of a power of two)
@@ -51,7 +64,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     distinct values of those slices are ranked.
     """
     v = F.col(value)
-    counts = (df.filter(v.isNotNull() & ~F.isnan(v)).groupBy(*keys, value).agg(F.count("*").alias("n"))
+    counts = (df.groupBy(*keys, value).agg(F.count("*").alias("n"))
               .withColumn("slice", F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * 16).cast("int")))
     running = W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     histogram = (counts.groupBy(*keys, "slice").agg(F.sum("n").alias("n"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.operators.tables import find_duplicates, resolve_ids
+from sensorlake.operators.tables import resolve_ids
+from sensorlake.schemas import split_fields
 from sensorlake.session import durable
 
 
@@ -28,57 +29,54 @@ def ancestor_sums(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
     return current.select("id", F.when(~cyclic, F.col("total")).alias("total"), cyclic.alias("cyclic"))
 
 
-def explode_documents(docs: DataFrame, body: str, children: str, key: str, keep: list[str], max_depth: int = 12) -> DataFrame:
-    """Nested JSON documents to one row per node: ``keep, depth, parent_key, node``.
+def _document_type(fields: str, children: str, depth: int) -> str:
+    """JSON schema of a node with ``depth`` levels below it; deeper children stay raw text."""
+    below = "string" if depth == 0 else f"array<{_document_type(fields, children, depth - 1)}>"
+    return f"struct<{fields},{children}:{below}>"
 
-    The levels are unrolled inside the row with array functions on VARIANT values, so there is no shuffle. A
-    document deeper than ``max_depth`` is an error, never cut.
-    """
-    def kids(node: Column) -> Column:
-        none = F.array().cast("array<variant>")
-        return F.coalesce(F.try_variant_get(node, f"$.{children}", "array<variant>"), none)
 
-    def level_down(level: Column, depth: int) -> Column:
-        return F.flatten(F.transform(level, lambda p: F.transform(kids(p["node"]), lambda c: F.struct(
-            F.lit(depth).alias("depth"), F.try_variant_get(p["node"], f"$.{key}", "string").alias("parent_key"), c.alias("node")))))
+def explode_documents(docs: DataFrame, body: str, fields: str, children: str, key: str, max_depth: int = 12) -> DataFrame:
+    """Nested JSON documents to one row per node: ``depth, parent_key`` and the node's ``fields``.
 
-    row = docs.select(*keep, F.array(F.struct(
-        F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_key"), F.parse_json(body).alias("node"))).alias("level0"))
+    Each document is parsed once with a schema of ``max_depth`` levels, and its levels are unrolled inside the row
+    with array functions, so there is no shuffle. A deeper document is an error, never cut.
+    """
+    names = [part.split(":", 1)[0] for part in split_fields(fields)]
+    row = docs.select(F.from_json(body, _document_type(fields, children, max_depth), {"mode": "FAILFAST"}).alias("root"))
+    row = row.select(F.array(F.struct(F.lit(None).cast("string").alias("parent_key"), F.col("root").alias("node"))).alias("level0"))
     for depth in range(1, max_depth + 1):
-        row = row.withColumn(f"level{depth}", level_down(F.col(f"level{depth - 1}"), depth))
-    deeper = F.exists(f"level{max_depth}", lambda n: F.size(kids(n["node"])) > 0)
-    too_deep = F.raise_error(F.lit(f"tree deeper than {max_depth} levels")).cast("boolean")
-    row = row.filter(F.when(deeper, too_deep).otherwise(F.lit(True)))
-    everything = F.concat(*[F.col(f"level{d}") for d in range(max_depth + 1)])
-    return row.select(*keep, F.explode(everything).alias("n")).select(*keep, "n.*")
+        pairs = F.transform(f"level{depth - 1}", lambda p: F.transform(
+            p["node"][children], lambda c: F.struct(p["node"][key].alias("parent_key"), c.alias("node"))))
+        row = row.withColumn(f"level{depth}", F.flatten(F.filter(pairs, lambda x: x.isNotNull())))
 
+    def shaped(depth: int) -> Column:
+        return F.transform(f"level{depth}", lambda p: F.struct(
+            F.lit(depth).alias("depth"), p["parent_key"].alias("parent_key"), *[p["node"][n].alias(n) for n in names]))
 
-FEATURE_FIELDS = {
-    "sampling_feature_uuid": "string", "sampling_feature_type_cv": "string", "sampling_feature_code": "string",
-    "sampling_feature_name": "string", "sampling_feature_description": "string", "feature_geometry_wkt": "string",
-    "elevation_m": "double", "latitude": "double", "longitude": "double", "relation_to_parent": "string",
-}
+    rest = F.exists(f"level{max_depth}", lambda p: p["node"][children].isNotNull() & (p["node"][children] != "[]"))
+    too_deep = F.raise_error(F.lit(f"tree deeper than {max_depth} levels")).cast("boolean")
+    row = row.filter(F.when(rest, too_deep).otherwise(F.lit(True)))
+    everything = F.concat(*[shaped(d) for d in range(max_depth + 1)])
+    return row.select(F.explode(everything).alias("n")).select("n.*")
 
 
-def _fields(fields: dict[str, str]) -> list[Column]:
-    return [F.try_variant_get("node", f"$.{name}", kind).alias(name) for name, kind in fields.items()]
+FEATURE_FIELDS = (
+    "sampling_feature_uuid:string,sampling_feature_type_cv:string,sampling_feature_code:string,sampling_feature_name:string,"
+    "sampling_feature_description:string,feature_geometry_wkt:string,elevation_m:double,latitude:double,longitude:double,"
+    "relation_to_parent:string,sampling_feature_alias:array<struct<alias:string,alias_category:string,display_priority:int>>,"
+    "extension_properties:array<struct<property_name:string,property_value:string>>")
 
 
 def flatten_feature_tree(docs: DataFrame, body: str, max_depth: int = 12) -> dict[str, DataFrame]:
     """Site documents to ``nodes``, ``edges``, ``aliases`` and ``properties``; ids are hashes of the uuid."""
-    rows = explode_documents(docs, body, "child_sampling_features", "sampling_feature_code", [], max_depth)
-    code = F.try_variant_get("node", "$.sampling_feature_code", "string").alias("sampling_feature_code")
-    nodes = rows.select("depth", *_fields(FEATURE_FIELDS)).withColumn(
+    rows = explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth)
+    nodes = rows.drop("parent_key", "sampling_feature_alias", "extension_properties").withColumn(
         "sampling_feature_id", F.xxhash64("sampling_feature_uuid"))
     edges = rows.filter("parent_key IS NOT NULL").select(
-        code, F.coalesce(F.try_variant_get("node", "$.relation_to_parent", "string"), F.lit("isChildOf")).alias("relationship_type_cv"),
+        "sampling_feature_code", F.coalesce("relation_to_parent", F.lit("isChildOf")).alias("relationship_type_cv"),
         F.col("parent_key").alias("related_feature_code"))
-    aliases = rows.select(code, F.explode(F.try_variant_get("node", "$.sampling_feature_alias", "array<variant>")).alias("a")).select(
-        "sampling_feature_code", F.try_variant_get("a", "$.alias", "string").alias("alias"),
-        F.try_variant_get("a", "$.alias_category", "string").alias("alias_category"))
-    properties = rows.select(code, F.explode(F.try_variant_get("node", "$.extension_properties", "array<variant>")).alias("p")).select(
-        "sampling_feature_code", F.try_variant_get("p", "$.property_name", "string").alias("property_name"),
-        F.try_variant_get("p", "$.property_value", "string").alias("property_value"))
+    aliases = rows.select("sampling_feature_code", F.explode("sampling_feature_alias").alias("a")).select("sampling_feature_code", "a.*")
+    properties = rows.select("sampling_feature_code", F.explode("extension_properties").alias("p")).select("sampling_feature_code", "p.*")
     return {"nodes": nodes, "edges": edges, "aliases": aliases, "properties": properties}
 
 
@@ -95,12 +93,10 @@ def check_feature_tree(nodes: DataFrame) -> DataFrame:
     return repeated("sampling_feature_code").unionByName(repeated("sampling_feature_uuid"))
 
 
-EQUIPMENT_FIELDS = {
-    "equipment_uuid": "string", "equipment_code": "string", "equipment_name": "string", "equipment_serial_number": "string",
-    "equipment_vendor": "string", "owner_first_name": "string", "owner_last_name": "string",
-    "position_start_date_utc": "bigint", "position_end_date_utc": "bigint",
-    "relationship_start_date_time_utc": "bigint", "relationship_end_date_time_utc": "bigint", "equipment_z_offset_m": "double",
-}
+EQUIPMENT_FIELDS = (
+    "equipment_uuid:string,equipment_code:string,equipment_name:string,equipment_serial_number:string,equipment_vendor:string,"
+    "owner_first_name:string,owner_last_name:string,position_start_date_utc:bigint,position_end_date_utc:bigint,"
+    "relationship_start_date_time_utc:bigint,relationship_end_date_time_utc:bigint,equipment_z_offset_m:double")
 
 
 def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organizations: DataFrame, persons: DataFrame,
@@ -110,7 +106,7 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     The model is found by part number (an error when absent), the vendor by code with ``unknown`` as fallback, the
     owner by name. Positions are keyed by equipment and start; children are attached to their parent.
     """
-    rows = explode_documents(docs, body, "equipment", "equipment_uuid", [], max_depth).select("parent_key", *_fields(EQUIPMENT_FIELDS))
+    rows = explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth)
     ided = rows.withColumns({"equipment_id": F.xxhash64("equipment_uuid"), "parent_id": F.when(
         F.col("parent_key").isNotNull(), F.xxhash64("parent_key"))})
     unknown = F.lit("unknown")

@@ -59,3 +59,14 @@ QUALITY_FLAGS = {
     "marginal": "w",
     "good": "z",
 }
+
+
+def split_fields(fields: str) -> list[str]:
+    """Top-level parts of a field list; commas inside angle brackets stay."""
+    parts, depth, start = [], 0, 0
+    for i, ch in enumerate(fields):
+        depth += (ch == "<") - (ch == ">")
+        if ch == "," and depth == 0:
+            parts.append(fields[start:i].strip())
+            start = i + 1
+    return [*parts, fields[start:].strip()]

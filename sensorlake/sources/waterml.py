@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sensorlake.schemas import split_fields
+
 _CODE = "struct<_VALUE:string,_network:string,_vocabulary:string,_variableID:string,_agencyCode:string>"
 _ZONE = "struct<_zoneAbbreviation:string,_zoneOffset:string>"
 SITE_INFO = (
@@ -33,15 +35,8 @@ _VALUES = (f"struct<value:array<{_VALUE_ROW}>,"
 
 
 def _as_struct(fields: str) -> str:
-    """``a int, b struct<...>`` to ``struct<a:int,b:struct<...>>``; commas inside brackets stay."""
-    parts, depth, start = [], 0, 0
-    for i, ch in enumerate(fields):
-        depth += (ch == "<") - (ch == ">")
-        if ch == "," and depth == 0:
-            parts.append(fields[start:i].strip())
-            start = i + 1
-    parts.append(fields[start:].strip())
-    return "struct<" + ",".join(p.replace(" ", ":", 1) for p in parts) + ">"
+    """``a int, b struct<...>`` to ``struct<a:int,b:struct<...>>``."""
+    return "struct<" + ",".join(part.replace(" ", ":", 1) for part in split_fields(fields)) + ">"
 
 
 TIME_SERIES = f"sourceInfo {_as_struct(SITE_INFO)}, variable {_as_struct(VARIABLE)}, values array<{_VALUES}>"

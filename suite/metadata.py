@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions import rules
 from sensorlake.operators import tables, trees, validation
 from sensorlake.plans.base_load import load_base_tables
+from sensorlake.session import scratch_path
 from sensorlake.sources import sinks
 from suite.registry import query
 
@@ -183,6 +184,13 @@ def out_json_rows(t):
 
 # ---- trees ----
 
+def _as_files(t, documents):
+    """Write one document per line, as the sites come in, and read the files back."""
+    path = scratch_path(t.spark, "documents")
+    documents.write.text(path)
+    return t.spark.read.text(path).withColumnRenamed("value", "body")
+
+
 def site_documents(t):
     """One nested document per order: the order, its line items, one port below each line item."""
     text = lambda c: F.col(c).cast("string")
@@ -215,7 +223,7 @@ UNION ALL SELECT 'edge', code || '-port', 'isChildOf', code FROM l
 UNION ALL SELECT 'alias', code, l_returnflag, 'flag' FROM l
 UNION ALL SELECT 'property', code, 'status', l_linestatus FROM l""")
 def tree_flatten(t):
-    out = trees.flatten_feature_tree(site_documents(t), "body", max_depth=4)
+    out = trees.flatten_feature_tree(_as_files(t, site_documents(t)), "body", max_depth=4)
     part = lambda name, df, a, b: df.select(
         F.lit(name).alias("part"), "sampling_feature_code", F.col(a).cast("string").alias("detail"), F.col(b).cast("string").alias("depth"))
     return (part("node", out["nodes"], "elevation_m", "depth")
@@ -268,7 +276,7 @@ def equipment_flatten(t):
     orgs = t.supplier.select(F.col("s_suppkey").alias("organization_id"), F.concat(F.lit("org-"), F.col("s_suppkey").cast("string")).alias("organization_code"))
     orgs = orgs.unionByName(t.spark.sql("SELECT -1L AS organization_id, 'unknown' AS organization_code"))
     persons = t.spark.sql("SELECT 11L AS person_id, 'Ada' AS person_first_name, 'Byron' AS person_last_name")
-    out = trees.flatten_equipment_tree(equipment_documents(t), "body", models, orgs, persons, max_depth=3)
+    out = trees.flatten_equipment_tree(_as_files(t, equipment_documents(t)), "body", models, orgs, persons, max_depth=3)
     names = out["equipment"].select(F.col("equipment_id").alias("related_equipment_id"), F.col("equipment_uuid").alias("parent")).distinct()
     parents = out["edges"].join(names, "related_equipment_id").select("equipment_id", "parent").distinct()
     return out["equipment"].join(parents, "equipment_id", "left").select(

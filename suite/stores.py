@@ -58,7 +58,7 @@ _RANGE_ROWS = "('click', 0.5e0, 60.0e0), ('view', 0.5e0, 80.0e0), ('error', 0.5e
 
 @query("empty_streams", f"""
 WITH bad AS (SELECT l_suppkey * 100 + l_linenumber AS datastream_id, l_linenumber, count(*) AS row_count,
-             count(*) FILTER (l_quantity > 45) AS good_count FROM lineitem GROUP BY 1, 2)
+             count(*) FILTER (l_quantity > 48) AS good_count FROM lineitem GROUP BY 1, 2)
 SELECT datastream_id, row_count, variable_term, 'meter' AS units_term, lo AS min_valid_range, hi AS max_valid_range
 FROM (SELECT *, CASE l_linenumber % 4 WHEN 0 THEN 'click' WHEN 1 THEN 'view' WHEN 2 THEN 'error' ELSE 'signup' END AS variable_term FROM bad)
 LEFT JOIN (VALUES {_RANGE_ROWS}) v(term, lo, hi) ON term = variable_term WHERE good_count = 0 AND row_count >= 10""")
@@ -66,7 +66,7 @@ def empty_streams(t):
     li = t.lineitem
     ids = (F.col("l_suppkey") * 100 + F.col("l_linenumber")).alias("datastream_id")
     obs = li.select(ids, ntz_to_epoch(F.col("l_shipdate")).alias("utc_time"), F.col("l_quantity").alias("data_value"),
-                    F.when(F.col("l_quantity") > 45, "z").otherwise("f").alias("qa_flag"))
+                    F.when(F.col("l_quantity") > 48, "z").otherwise("f").alias("qa_flag"))
     k = F.col("l_linenumber") % 4
     term = F.when(k == 0, "click").when(k == 1, "view").when(k == 2, "error").otherwise("signup")
     streams = li.select(ids, term.alias("variable_term"), F.lit("meter").alias("units_term")).distinct()
