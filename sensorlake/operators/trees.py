@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators.tables import resolve_ids
 from sensorlake.schemas import split_fields
-from sensorlake.session import durable
+from sensorlake.session import durable, written
 
 
 def ancestor_sums(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
@@ -68,8 +68,11 @@ FEATURE_FIELDS = (
 
 
 def flatten_feature_tree(docs: DataFrame, body: str, max_depth: int = 12) -> dict[str, DataFrame]:
-    """Site documents to ``nodes``, ``edges``, ``aliases`` and ``properties``; ids are hashes of the uuid."""
-    rows = explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth)
+    """Site documents to ``nodes``, ``edges``, ``aliases`` and ``properties``; ids are hashes of the uuid.
+
+    The documents are parsed once, into a table that the four outputs read.
+    """
+    rows = written(explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth), "features")
     nodes = rows.drop("parent_key", "sampling_feature_alias", "extension_properties").withColumn(
         "sampling_feature_id", F.xxhash64("sampling_feature_uuid"))
     edges = rows.filter("parent_key IS NOT NULL").select(
@@ -106,7 +109,7 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     The model is found by part number (an error when absent), the vendor by code with ``unknown`` as fallback, the
     owner by name. Positions are keyed by equipment and start; children are attached to their parent.
     """
-    rows = explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth)
+    rows = written(explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth), "equipment")
     ided = rows.withColumns({"equipment_id": F.xxhash64("equipment_uuid"), "parent_id": F.when(
         F.col("parent_key").isNotNull(), F.xxhash64("parent_key"))})
     unknown = F.lit("unknown")

@@ -40,3 +40,10 @@ def durable(df):
     """Cut the lineage with a reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, name: str):
+    """Write a frame that several outputs read to a parquet table in the shared folder, and read it back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -193,21 +193,24 @@ def _as_files(t, documents):
 
 def site_documents(t):
     """One nested document per order: the order, its line items, one port below each line item."""
-    text = lambda c: F.col(c).cast("string")
-    code = F.concat_ws("-", F.lit("L"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"))
-    port = F.struct(F.concat(code, F.lit("-port")).alias("sampling_feature_code"), F.concat(F.lit("uuid-"), code, F.lit("-port")).alias("sampling_feature_uuid"),
-                    F.lit(1.5).alias("elevation_m"))
-    line = F.struct(
-        code.alias("sampling_feature_code"), F.concat(F.lit("uuid-"), code).alias("sampling_feature_uuid"),
-        F.col("l_quantity").alias("elevation_m"), F.lit("isChildOf").alias("relation_to_parent"),
-        F.array(F.struct(F.col("l_returnflag").alias("alias"), F.lit("flag").alias("alias_category"))).alias("sampling_feature_alias"),
-        F.array(F.struct(F.lit("status").alias("property_name"), F.col("l_linestatus").alias("property_value"))).alias("extension_properties"),
-        F.array(port).alias("child_sampling_features"))
-    lines = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(line).alias("child_sampling_features"))
-    root = F.concat(F.lit("O-"), text("l_orderkey"))
-    return lines.select(F.to_json(F.struct(
+    def line(r):
+        text = lambda c: r[c].cast("string")
+        code = F.concat_ws("-", F.lit("L"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"))
+        port = F.struct(F.concat(code, F.lit("-port")).alias("sampling_feature_code"),
+                        F.concat(F.lit("uuid-"), code, F.lit("-port")).alias("sampling_feature_uuid"), F.lit(1.5).alias("elevation_m"))
+        return F.struct(
+            code.alias("sampling_feature_code"), F.concat(F.lit("uuid-"), code).alias("sampling_feature_uuid"),
+            r["l_quantity"].alias("elevation_m"), F.lit("isChildOf").alias("relation_to_parent"),
+            F.array(F.struct(r["l_returnflag"].alias("alias"), F.lit("flag").alias("alias_category"))).alias("sampling_feature_alias"),
+            F.array(F.struct(F.lit("status").alias("property_name"), r["l_linestatus"].alias("property_value"))).alias("extension_properties"),
+            F.array(port).alias("child_sampling_features"))
+
+    raw = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", "l_linestatus")
+    grouped = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(raw).alias("rows"))
+    root = F.concat(F.lit("O-"), F.col("l_orderkey").cast("string"))
+    return grouped.select(F.to_json(F.struct(
         root.alias("sampling_feature_code"), F.concat(F.lit("uuid-"), root).alias("sampling_feature_uuid"), F.lit(10.0).alias("elevation_m"),
-        "child_sampling_features")).alias("body"))
+        F.transform("rows", line).alias("child_sampling_features"))).alias("body"))
 
 
 _LINE_CODE = "'L-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR)"
@@ -249,19 +252,23 @@ def tree_duplicate_check(t):
 
 def equipment_documents(t):
     """One equipment document per order: a logger with one sensor per line item."""
-    text = lambda c: F.col(c).cast("string")
-    sensor = F.struct(
-        F.concat_ws("-", F.lit("s"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("equipment_uuid"),
-        F.concat(F.lit("part-"), text("l_partkey")).alias("equipment_code"), F.lit("sensor").alias("equipment_name"),
-        F.when(F.col("l_tax") > 0.02, F.concat(F.lit("org-"), text("l_suppkey"))).alias("equipment_vendor"),
-        F.lit("Ada").alias("owner_first_name"), F.lit("Byron").alias("owner_last_name"),
-        F.col("l_suppkey").alias("position_start_date_utc"), F.col("l_suppkey").alias("relationship_start_date_time_utc"),
-        (-F.col("l_quantity") / 10).alias("equipment_z_offset_m"))
-    return t.lineitem.groupBy("l_orderkey").agg(F.collect_list(sensor).alias("equipment")).select(F.to_json(F.struct(
-        F.concat(F.lit("o-"), text("l_orderkey")).alias("equipment_uuid"), F.lit("part-0").alias("equipment_code"),
+    def sensor(r):
+        text = lambda c: r[c].cast("string")
+        return F.struct(
+            F.concat_ws("-", F.lit("s"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("equipment_uuid"),
+            F.concat(F.lit("part-"), text("l_partkey")).alias("equipment_code"), F.lit("sensor").alias("equipment_name"),
+            F.when(r["l_tax"] > 0.02, F.concat(F.lit("org-"), text("l_suppkey"))).alias("equipment_vendor"),
+            F.lit("Ada").alias("owner_first_name"), F.lit("Byron").alias("owner_last_name"),
+            r["l_suppkey"].alias("position_start_date_utc"), r["l_suppkey"].alias("relationship_start_date_time_utc"),
+            (-r["l_quantity"] / 10).alias("equipment_z_offset_m"))
+
+    raw = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax")
+    grouped = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(raw).alias("rows"))
+    return grouped.select(F.to_json(F.struct(
+        F.concat(F.lit("o-"), F.col("l_orderkey").cast("string")).alias("equipment_uuid"), F.lit("part-0").alias("equipment_code"),
         F.lit("logger").alias("equipment_name"), F.lit("nobody").alias("equipment_vendor"), F.lit("Ada").alias("owner_first_name"),
         F.lit("Byron").alias("owner_last_name"), F.lit(5).alias("position_start_date_utc"), F.lit(2.0).alias("equipment_z_offset_m"),
-        "equipment")).alias("body"))
+        F.transform("rows", sensor).alias("equipment"))).alias("body"))
 
 
 @query("equipment_flatten", """
@@ -361,18 +368,20 @@ SELECT event_id,
     CASE WHEN k = 0 THEN 'extra:json' END) AS found FROM r""")
 def rule_violations(t):
     k, c = F.col("event_id") % 8, lambda n: F.col(n).cast("string")
-    count = F.when(k == 1, "true").when(k == 2, "3.0").otherwise(c("user_id"))
-    day = F.when(k == 6, "2024-13-45").otherwise(F.date_format("ts", "yyyy-MM-dd"))
-    ids = F.when(k == 4, "[1, 0]").when(k == 5, "7x").when(k == 6, "12").otherwise(F.concat(F.lit("[1, "), (F.col("event_id") + 1).cast("string"), F.lit("]")))
+    records = t.events.select(
+        "event_id", F.when(k == 1, "true").when(k == 2, "3.0").otherwise(c("user_id")).alias("count"), c("value").alias("reading"),
+        F.when(k == 3, "yes").when(k == 4, "TRUE").otherwise("0").alias("flag"), F.initcap("event_type").alias("kind"),
+        F.when(k == 4, "[1, 0]").when(k == 5, "7x").when(k == 6, "12").otherwise(
+            F.concat(F.lit("[1, "), (F.col("event_id") + 1).cast("string"), F.lit("]"))).alias("ids"),
+        F.when(k == 6, "2024-13-45").otherwise(F.date_format("ts", "yyyy-MM-dd")).alias("day"),
+        F.when(k == 7, "2024-02-01").otherwise("2024-01-01").alias("first"), F.lit("1704153600").alias("last"), F.col("event_type").alias("name"),
+        c("user_id").alias("listen"), F.when(k == 0, "{bad").otherwise(F.col("props")).alias("extra"))
     found = rules.violations(
-        count=rules.integer(count, upper=100), reading=rules.floating(c("value"), upper=200.0),
-        flag=rules.boolean(F.when(k == 3, "yes").when(k == 4, "TRUE").otherwise("0")),
-        kind=rules.one_of(F.initcap("event_type"), ["CLICK", "error", "Purchase"]), ids=rules.id_list(ids),
-        day=rules.date_time(day, lower=0),
-        span=rules.date_range(F.when(k == 7, "2024-02-01").otherwise("2024-01-01"), F.lit("1704153600")),
-        name=rules.text_length(F.col("event_type"), upper=6), listen=rules.port(c("user_id")),
-        extra=rules.json_text(F.when(k == 0, "{bad").otherwise(F.col("props"))))
-    return t.events.select("event_id", F.array_join(found, ",").alias("found"))
+        count=rules.integer(F.col("count"), upper=100), reading=rules.floating(F.col("reading"), upper=200.0), flag=rules.boolean(F.col("flag")),
+        kind=rules.one_of(F.col("kind"), ["CLICK", "error", "Purchase"]), ids=rules.id_list(F.col("ids")),
+        day=rules.date_time(F.col("day"), lower=0), span=rules.date_range(F.col("first"), F.col("last")),
+        name=rules.text_length(F.col("name"), upper=6), listen=rules.port(F.col("listen")), extra=rules.json_text(F.col("extra")))
+    return records.select("event_id", F.array_join(found, ",").alias("found"))
 
 
 @query("base_load_orphans", """
