@@ -54,9 +54,9 @@ def explode_documents(docs: DataFrame, body: str, fields: str, children: str, ke
             F.lit(depth).alias("depth"), p["parent_key"].alias("parent_key"), *[p["node"][n].alias(n) for n in names]))
 
     rest = F.exists(f"level{max_depth}", lambda p: p["node"][children].isNotNull() & (p["node"][children] != "[]"))
-    too_deep = F.raise_error(F.lit(f"tree deeper than {max_depth} levels")).cast("boolean")
-    row = row.filter(F.when(rest, too_deep).otherwise(F.lit(True)))
-    everything = F.concat(*[shaped(d) for d in range(max_depth + 1)])
+    too_deep = F.raise_error(F.lit(f"tree deeper than {max_depth} levels"))
+    # The check sits inside the exploded value: as a filter it would be pushed down and parse every document twice.
+    everything = F.when(rest, too_deep).otherwise(F.concat(*[shaped(d) for d in range(max_depth + 1)]))
     return row.select(F.explode(everything).alias("n")).select("n.*")
 
 
