@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators.process import good_summary
 from sensorlake.operators.tables import upsert
+from sensorlake.session import small_side
 
 DAY = 86400
 
@@ -139,7 +140,7 @@ def sync_delta(local_registry: DataFrame, remote_registry: DataFrame, remote_obs
               .otherwise("update"))
     plan = matched.withColumn("action", action).withColumns({
         "_start": F.coalesce("last_measurement_date", "remote_first")})
-    todo = plan.filter("action = 'update'").select("remote_id", F.col("datastream_id").alias("local_id"), "_start", "remote_last")
+    todo = small_side(plan.filter("action = 'update'").select("remote_id", F.col("datastream_id").alias("local_id"), "_start", "remote_last"))
     rows = (remote_observations.filter(F.col("qa_flag") >= min_flag)
             .join(todo, F.col("datastream_id") == F.col("remote_id"))
             .filter((F.col("utc_time") > F.col("_start")) & (F.col("utc_time") <= F.col("remote_last")))

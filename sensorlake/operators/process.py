@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions import timezones as tz_fn
 from sensorlake.functions.flags import auto_flag, manual_flag
 from sensorlake.operators.trees import ancestor_sums
+from sensorlake.session import small_side
 
 UNKNOWN = "unknown"
 
@@ -80,8 +81,11 @@ def high_water(observations: DataFrame) -> DataFrame:
 
 
 def materialize(raw: DataFrame, observations: DataFrame) -> DataFrame:
-    """Rows of ``raw`` later than the newest stored time of their stream (0 when nothing is stored)."""
-    return (raw.join(high_water(observations), "datastream_id", "left")
+    """Rows of ``raw`` later than the newest stored time of their stream (0 when nothing is stored).
+
+    The high-water table has one row per stream; while it is small the raw rows are not shuffled.
+    """
+    return (raw.join(small_side(high_water(observations)), "datastream_id", "left")
             .filter(F.col("utc_time") > F.coalesce("last_time", F.lit(0)))
             .drop("last_time"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.buckets import mid_bin, resample_bin
-from sensorlake.session import durable
+from sensorlake.session import small_side
 
 COMPUTED_OPS = ("mean", "average", "median", "mode", "stdev")
 PICK_OPS = ("min", "minimum", "max", "maximum", "first", "last")
@@ -23,7 +23,7 @@ def _with_bin(df: DataFrame, ts: str, count: int, unit: str, keys: list[str], an
     if anchor == "day" and aligned:
         origin = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
         return df.withColumn("bin", resample_bin(F.col(ts), count, unit, origin))
-    firsts = df.groupBy(*keys).agg(F.min(ts).alias("_first"))
+    firsts = small_side(df.groupBy(*keys).agg(F.min(ts).alias("_first")))
     origin = F.col("_first") if anchor == "first" else F.date_trunc("day", "_first").cast("timestamp_ntz")
     return df.join(firsts, keys).withColumn("bin", resample_bin(F.col(ts), count, unit, origin)).drop("_first")
 
@@ -51,7 +51,7 @@ def exact_median(df: DataFrame, keys: list[str], value: str, group_rows: int = M
     large = present.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows).drop("_n")
     if large.isEmpty():
         return present.groupBy(*keys).agg(F.median(value).alias(value))
-    large = durable(large)
+    large = small_side(large)
     small = present.join(large, keys, "left_anti").groupBy(*keys).agg(F.median(value).alias(value))
     return small.unionByName(sliced_median(present.join(large, keys, "left_semi"), keys, value))
 

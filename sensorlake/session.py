@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
@@ -47,3 +48,17 @@ def written(df, name: str):
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+# Largest table, in rows of a few numbers each, that is sent to every executor.
+BROADCAST_ROWS = 1_000_000
+
+
+def small_side(df, max_rows: int = BROADCAST_ROWS):
+    """Prepare a derived per-stream table as join side: compute it once, count it, and broadcast it only when it has
+    at most ``max_rows`` rows. A larger one joins by shuffle, where adaptive execution splits hot keys.
+
+    Tables read from files need no such help: the optimizer knows their size.
+    """
+    stable = durable(df)
+    return F.broadcast(stable) if stable.count() <= max_rows else stable

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from sensorlake.functions.names import datastream_name
 from sensorlake.operators import process as p
-from suite.registry import query, r4, sql_r4, sql_stamp, stamp
+from sensorlake.plans.stages import process_stage
+from sensorlake.session import small_side
+from suite.registry import query, r4, sql_r4
 from suite.views import BOUNDS, OBS_SQL, RAW_SQL, observations, raw_values, upper_bound
 from sensorlake.functions.timezones import ntz_to_epoch, shift_seconds
 
@@ -133,7 +135,7 @@ _AUTO = """CASE WHEN data_value IS NULL THEN 'd' WHEN isnan(data_value) THEN 'c'
 
 @query("qa_auto_flags", f"WITH {RAW_SQL} SELECT event_id, datastream_id, utc_time, {_AUTO} AS qa_flag FROM raw")
 def qa_auto_flags(t):
-    return p.flag_observations(_raw(t), _bounds(t)).select("event_id", "datastream_id", "utc_time", "qa_flag")
+    return p.flag_observations(_raw(t), small_side(_bounds(t))).select("event_id", "datastream_id", "utc_time", "qa_flag")
 
 
 @query("qa_manual_ranges", f"""
@@ -143,7 +145,7 @@ SELECT event_id, datastream_id, utc_time,
        WHEN datastream_id % 3 = 0 AND utc_time >= 1704412800 AND utc_time <= 1705017600 THEN 'b'
        ELSE {_AUTO} END AS qa_flag FROM raw""")
 def qa_manual_ranges(t):
-    return p.flag_observations(_raw(t), _bounds(t, manual=True)).select("event_id", "datastream_id", "utc_time", "qa_flag")
+    return p.flag_observations(_raw(t), small_side(_bounds(t, manual=True))).select("event_id", "datastream_id", "utc_time", "qa_flag")
 
 
 @query("local_to_utc_dst", """
@@ -302,3 +304,39 @@ def piecewise_segments(t):
         "datastream_id", F.lit(30.0).alias("casing_ft"), F.when(F.col("datastream_id") % 2 == 0, ranges).alias("ranges"))
     out = p.piecewise_calc(observations(t).filter("qa_flag >= 'f'"), segments)
     return out.select("datastream_id", "utc_time", r4(F.col("data_value")).alias("data_value"))
+
+
+_STAGE_TS = "(l_shipdate + (8 + l_linenumber) * INTERVAL 1 HOUR)"
+
+
+@query("process_stage", f"""
+WITH {LONG_SQL},
+vals AS (
+  SELECT 'site_' || CAST(l.l_suppkey AS VARCHAR) || '_' || l.column_name || '_meas' AS name,
+    CAST(epoch_us({_STAGE_TS.replace("l_shipdate", "o.l_shipdate").replace("l_linenumber", "o.l_linenumber")} AT TIME ZONE 'America/Denver') // 1000000 AS BIGINT) AS utc_time,
+    CASE WHEN l.unit_conversion THEN conversion_multiplier * (conversion_offset + l.data_value) ELSE l.data_value END AS v,
+    CASE WHEN l.unit_conversion THEN min_valid_range ELSE min_valid_range / conversion_multiplier - conversion_offset END AS lo,
+    CASE WHEN l.unit_conversion THEN max_valid_range ELSE max_valid_range / conversion_multiplier - conversion_offset END AS hi
+  FROM (SELECT *, row_number() OVER () AS rid FROM lineitem) o
+  JOIN (SELECT rid, l_suppkey, column_name, data_value, variable_term, units_term, unit_conversion FROM (
+          SELECT rid, l_suppkey, 'l_quantity' AS column_name, l_quantity AS data_value FROM (SELECT *, row_number() OVER () AS rid FROM lineitem)
+          UNION ALL SELECT rid, l_suppkey, 'l_extendedprice', l_extendedprice FROM (SELECT *, row_number() OVER () AS rid FROM lineitem)
+          UNION ALL SELECT rid, l_suppkey, 'l_discount', l_discount FROM (SELECT *, row_number() OVER () AS rid FROM lineitem)) JOIN mapping USING (column_name)) l
+    ON l.rid = o.rid
+  JOIN units ON units_term = term JOIN ranges r ON r.variable_term = l.variable_term),
+f AS (SELECT *, CASE WHEN v < lo OR v > hi THEN 'f' ELSE 'z' END AS qa_flag FROM vals WHERE utc_time > 883612800)
+SELECT name, min(utc_time) FILTER (qa_flag = 'z') AS first_time, max(utc_time) FILTER (qa_flag = 'z') AS last_time,
+       count(*) FILTER (qa_flag = 'z') AS good, count(*) AS all_rows, {sql_r4("sum(v)")} AS total FROM f GROUP BY name""")
+def process_stage_query(t):
+    """Whole way from a raw table in local time to flagged readings; everything up to the end of 1997 is stored already."""
+    feeder = t.lineitem.select(F.concat(F.lit("site_"), F.col("l_suppkey").cast("string")).alias("feeder_table"), "l_orderkey", "l_linenumber",
+                               shift_seconds(F.col("l_shipdate"), (8 + F.col("l_linenumber")) * 3600).alias("timestamp"), *SENSORS)
+    stored = t.spark.range(0).select(F.col("id").alias("datastream_id"), F.col("id").alias("utc_time"))
+    delta, streams = process_stage(
+        feeder, "America/Denver", SENSORS, ["l_orderkey", "l_linenumber"], t.spark.sql(MAPPING), t.spark.sql(UNITS), t.spark.sql(KINDS),
+        t.spark.sql(RANGES), stored)
+    late = delta.filter("utc_time > 883612800").join(streams.select("datastream_id", "datastream_tablename"), "datastream_id")
+    good = F.col("qa_flag") == "z"
+    return late.groupBy(F.col("datastream_tablename").alias("name")).agg(
+        F.min(F.when(good, F.col("utc_time"))).alias("first_time"), F.max(F.when(good, F.col("utc_time"))).alias("last_time"),
+        F.count_if(good).alias("good"), F.count("*").alias("all_rows"), r4(F.sum("data_value")).alias("total"))
