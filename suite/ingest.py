@@ -9,7 +9,7 @@ from sensorlake.functions.numbers import coerce_numeric
 from sensorlake.functions.timezones import ntz_to_epoch, shift_seconds, utc_to_local
 from sensorlake.operators import mapping, shaping
 from sensorlake.session import scratch_path
-from sensorlake.sources import mappers, readers, waterml
+from sensorlake.sources import mappers, readers, sinks, waterml
 from suite.registry import query, r4, sql_r4, sql_stamp, stamp
 from suite.views import RAW_SQL, raw_values
 
@@ -30,10 +30,8 @@ def csv_source_roundtrip(t):
     path = scratch_path(t.spark, "csv")
     base = t.lineitem.withColumn("datetime", F.date_format(_time().cast("timestamp"), "yyyy-MM-dd HH:mm:ss"))
     even, odd = base.filter("l_orderkey % 2 = 0"), base.filter("l_orderkey % 2 = 1")
-    even.select("datetime", F.col("l_quantity").alias("Flow rate"), F.col("l_tax").alias("pH")).write.option(
-        "header", "true").csv(f"{path}/a")
-    odd.select(F.col("l_extendedprice").alias("Level-m"), "datetime", F.col("l_quantity").alias("Flow rate")).write.option(
-        "header", "true").csv(f"{path}/b")
+    sinks.write_csv(even.select("datetime", F.col("l_quantity").alias("Flow rate"), F.col("l_tax").alias("pH")), f"{path}/a")
+    sinks.write_csv(odd.select(F.col("l_extendedprice").alias("Level-m"), "datetime", F.col("l_quantity").alias("Flow rate")), f"{path}/b")
     df = readers.read_csv_source(t.spark, path)
     value = lambda c: F.nanvl(c, F.lit(None).cast("double")).alias(c)
     return df.select(stamp(F.col("timestamp")).alias("timestamp"), value("flow_rate"), value("ph"), value("level_m"))
@@ -167,7 +165,7 @@ def _site_xml(t):
 
 @query("waterml_sites", """
 SELECT CAST(o_orderkey AS VARCHAR) AS code, 'Creek ' || CAST(o_orderkey AS VARCHAR) AS name, 'A' AS agency,
-       o_custkey % 90 + 0.5 AS latitude, o_totalprice AS elevation_m, true AS uses_dst, '-07:00' AS utc_offset,
+       CAST(o_custkey % 90 + 0.5 AS DOUBLE) AS latitude, o_totalprice AS elevation_m, true AS uses_dst, '-07:00' AS utc_offset,
        o_orderstatus AS site_type, o_orderpriority AS county, v AS variable_code,
        CASE v WHEN 'Q' THEN o_custkey ELSE 5 END AS value_count
 FROM orders, (VALUES ('Q'), ('T')) s(v)""")
@@ -191,6 +189,23 @@ def waterml_variables(t):
     return rows.select("variable_code", "vocabulary", "variable_name", "units", "units_abbreviation")
 
 
+@query("waterml_site_infos", """
+SELECT CAST(o_orderkey AS VARCHAR) AS code, 'Creek ' || CAST(o_orderkey AS VARCHAR) AS name, 'NET' AS network,
+       CAST(o_custkey % 90 + 0.5 AS DOUBLE) AS latitude, CAST(-105.5 AS DOUBLE) AS longitude, o_totalprice AS elevation_m FROM orders""")
+def waterml_site_infos(t):
+    info = F.concat(F.substring_index(F.substring_index("xml", "<site>", -1), "</siteInfo>", 1), F.lit("</siteInfo>"))
+    elements = waterml.parse_xml(_site_xml(t).withColumn("xml", info), "xml", "siteInfo", waterml.SITE_INFO, ["o_orderkey"])
+    return waterml.site_infos(elements.drop("o_orderkey")).select("code", "name", "network", "latitude", "longitude", "elevation_m")
+
+
+@query("waterml_side_tables", """
+SELECT DISTINCT 'VAR' || CAST(l_orderkey % 10 AS VARCHAR) AS variable_code, '7' AS method_id, 'float' AS method_description FROM lineitem""")
+def waterml_side_tables(t):
+    series = waterml.parse_xml(_series_xml(t), "xml", "timeSeries", waterml.TIME_SERIES, ["l_orderkey"])
+    return waterml.side_table(series, "method").select("variable_code", F.col("_methodID").alias("method_id"),
+                                                       F.col("methodDescription").alias("method_description"))
+
+
 _SNOTEL_IDS = ", ".join(f"('{r[0]}', {i})" for i, r in enumerate(mappers.SNOTEL_VARIABLES))
 
 

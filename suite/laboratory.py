@@ -98,7 +98,7 @@ s AS (SELECT DISTINCT l_suppkey, l_shipdate + l_linenumber * INTERVAL 1 HOUR AS
 
 @query("make_specimens", f"""
 WITH {_SAMPLES_SQL}
-SELECT code, 'Specimen collected at site-' || CAST(l_suppkey AS VARCHAR) AS description, s_acctbal AS elevation_m, l_suppkey * 1.0 AS latitude,
+SELECT code, 'Specimen collected at site-' || CAST(l_suppkey AS VARCHAR) AS description, s_acctbal AS elevation_m, CAST(l_suppkey AS DOUBLE) AS latitude,
        'specimen' AS kind, 'wasCollectedAt' AS relation, 'grab' AS specimen_type, CAST(77 AS BIGINT) AS collection
 FROM s JOIN supplier ON s_suppkey = l_suppkey WHERE code NOT LIKE '%1998-03-%'""")
 def make_specimens(t):
@@ -137,7 +137,7 @@ def tz_label_offset(t):
 WITH long AS (
   SELECT o_orderkey, i, i = 1 AS is_stddev, o_orderdate,
     CASE WHEN i = 0 AND o_custkey % 5 = 0 THEN 'n.d.' WHEN i = 2 AND o_custkey % 7 = 0 THEN 'trace' ELSE CAST(o_totalprice AS VARCHAR) END AS cell,
-    CASE WHEN i = 2 THEN 1.5 END AS depth, o_orderstatus = 'P' AS annotated FROM orders, (VALUES (0), (1), (2)) v(i))
+    CASE WHEN i = 2 THEN CAST(1.5 AS DOUBLE) END AS depth, o_orderstatus = 'P' AS annotated FROM orders, (VALUES (0), (1), (2)) v(i))
 SELECT o_orderkey, CASE WHEN i = 2 THEN 2 ELSE 0 END AS reading,
   CASE WHEN cell IN ('n.d.', 'trace') THEN 0.0 ELSE CAST(cell AS DOUBLE) END AS data_value,
   CASE WHEN is_stddev THEN 'standardDeviation' ELSE 'instrumentReading' END AS statistic,

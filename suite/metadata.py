@@ -57,7 +57,7 @@ def upsert_natural_key(t):
 
 @query("variables_split", """
 SELECT p_partkey AS variable_id, p_name || CAST(p_partkey AS VARCHAR) AS variable_term, p_type AS variable_domain_cv,
-       -1.0 * p_size AS min_valid_range, p_retailprice AS max_valid_range FROM part""")
+       CAST(-1.0 * p_size AS DOUBLE) AS min_valid_range, p_retailprice AS max_valid_range FROM part""")
 def variables_split(t):
     source = _variables(t)
     variables, ranges = tables.split_variables(source)
@@ -274,7 +274,7 @@ def equipment_documents(t):
 @query("equipment_flatten", """
 WITH s AS (SELECT 's-' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS u,
                   * FROM lineitem)
-SELECT u AS equipment_uuid, l_partkey + 1 AS model_id, CASE WHEN l_tax > 0.02 THEN l_suppkey ELSE -1 END AS vendor_id, 11 AS owner_id,
+SELECT u AS equipment_uuid, l_partkey + 1 AS model_id, CASE WHEN l_tax > 0.02 THEN l_suppkey ELSE -1 END AS vendor_id, CAST(11 AS BIGINT) AS owner_id,
        'o-' || CAST(l_orderkey AS VARCHAR) AS parent FROM s
 UNION ALL SELECT 'o-' || CAST(l_orderkey AS VARCHAR), 1, -1, 11, NULL FROM s GROUP BY l_orderkey""")
 def equipment_flatten(t):

@@ -77,7 +77,7 @@ def empty_streams(t):
 @query("last_ten", f"""
 WITH {OBS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY datastream_id ORDER BY utc_time DESC, data_value DESC, qa_flag DESC) AS k
                       FROM obs WHERE data_value IS NOT NULL)
-SELECT datastream_id, utc_time, {sql_r4('CASE WHEN NOT isnan(data_value) THEN data_value END')} AS data_value, qa_flag, k AS rank FROM r WHERE k <= 10""")
+SELECT datastream_id, utc_time, {sql_r4('CASE WHEN NOT isnan(data_value) THEN data_value END')} AS data_value, qa_flag, CAST(k AS INTEGER) AS rank FROM r WHERE k <= 10""")
 def last_ten(t):
     return checks.last_n(observations(t)).withColumn("data_value", r4(F.col("data_value")))
 
@@ -197,9 +197,9 @@ def sync_delta(t):
 
 
 @query("snapshot_rows", """
-SELECT 'region' AS table_name, count(*) AS row_count, sum(r_regionkey) AS key_sum FROM region
-UNION ALL SELECT 'nation', count(*), sum(n_nationkey) FROM nation UNION ALL SELECT 'customer', count(*), sum(c_custkey) FROM customer
-UNION ALL SELECT 'orders', count(*), sum(o_orderkey) FROM orders""")
+SELECT 'region' AS table_name, count(*) AS row_count, CAST(sum(r_regionkey) AS BIGINT) AS key_sum FROM region
+UNION ALL SELECT 'nation', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
+UNION ALL SELECT 'orders', count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders""")
 def snapshot_rows(t):
     path = scratch_path(t.spark, "snapshot")
     keys = {"region": "r_regionkey", "nation": "n_nationkey", "customer": "c_custkey", "orders": "o_orderkey"}
@@ -214,7 +214,7 @@ def snapshot_rows(t):
 
 
 @query("variables_with_ranges", """
-SELECT p_partkey AS variable_id, p_type AS variable_domain_cv, CASE WHEN p_size > 10 THEN -1.0 * p_size END AS min_valid_range,
+SELECT p_partkey AS variable_id, p_type AS variable_domain_cv, CASE WHEN p_size > 10 THEN CAST(-1.0 * p_size AS DOUBLE) END AS min_valid_range,
        CASE WHEN p_size > 10 THEN p_retailprice END AS max_valid_range FROM part""")
 def variables_with_ranges(t):
     v = _variables(t)

@@ -6,6 +6,7 @@ import pytest
 import __spark_entry__ as entry
 from check import TABLES, rows_of
 
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -28,6 +29,9 @@ def test_query(spark, duck, name):
     cursor = duck.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(columns)
+    kinds = {d[0]: d[1] for d in duck.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()}
+    assert {c: KINDS[k] for c, k in df.dtypes} == kinds
+    cursor = duck.execute(entry.oracle_sql()[name])
     assert rows_of(df.columns, [tuple(r) for r in df.collect()]) == rows_of(columns, cursor.fetchall())
 
 
