@@ -233,8 +233,9 @@ def mapping_changes(t):
 
 
 @query("source_entries", """
-SELECT p_brand || p_partkey || '_' || p_type AS device_name, p_partkey AS device_id, lower(p_brand || p_partkey || '_' || p_type) AS feeder_table,
-       p_brand || p_partkey AS site, 'proj/hydro/' || p_brand || p_partkey || '_' || p_type AS path FROM part WHERE p_size <> 9""")
+WITH d AS (SELECT p_partkey, p_brand || p_partkey AS site, p_brand || p_partkey || '_' || p_type AS device_name, p_size FROM part)
+SELECT device_name, p_partkey AS device_id, lower(device_name) AS feeder_table, site, 'proj/hydro/' || device_name AS path
+FROM d WHERE device_name NOT IN (SELECT device_name FROM d WHERE p_size = 9)""")
 def source_entries(t):
     devices = t.part.select(F.col("p_partkey").alias("id"), F.concat("p_brand", F.col("p_partkey").cast("string")).alias("location"), F.col("p_type").alias("model"))
     existing = t.part.filter("p_size = 9").select(F.concat_ws("_", F.concat("p_brand", F.col("p_partkey").cast("string")), "p_type").alias("device_name"))
