@@ -1,4 +1,8 @@
-"""Checked queries over the driver's tables, one per operator."""
+"""Checked queries over the given tables, one per operator.
+
+Every query reads whole tables. Where an operator compares two stores or meets stored data, the second side is derived
+from the same tables with some rows missing or changed, so that there is something to find; both sides grow with the data.
+"""
 
 import importlib
 
