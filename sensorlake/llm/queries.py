@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, license_scan, packing, quality, secrets
+from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, secrets
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+NEAR_DUP_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+both_ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT doc_id AS x, doc_id AS y FROM sets UNION SELECT r.x, b.y FROM reach r JOIN both_ways b ON r.y = b.x)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, c.component_id, s.doc_id = c.component_id AS kept
+FROM sets s JOIN (SELECT x, min(y) AS component_id FROM reach GROUP BY x) c ON s.doc_id = c.x
+"""
+
+
+@query("op1_near_dup", NEAR_DUP_SQL)
+def op1_near_dup(spark, folder):
+    found = near_dup.near_duplicates(table(spark, folder, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 _REPLACED = "text"
 for _control in chat.RESERVED:
     _REPLACED = f"replace({_REPLACED}, '{_control}', '{_control[0]}\\{_control[1:]}')"
