@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, secrets
+from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, repeats, secrets
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,6 +103,13 @@ def op6_quality_rules(spark, folder):
                         "char_distance", "word_distance")
 
 
+@query("op7_suffix_dedup")
+def op7_suffix_dedup(spark, folder):
+    found = repeats.repeated_spans(table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return found.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 @query("op8_token_counts")
 def op8_token_counts(spark, folder):
     return bpe_count.count_tokens(table(spark, folder, "documents"))
