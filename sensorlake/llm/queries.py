@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, repeats, secrets
+from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, repeats, secrets, suffix_tree_lm
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,6 +85,11 @@ def op2_chat_format(spark, folder):
                        F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars")
 
 
+@query("op3_suffix_tree_lm")
+def op3_suffix_tree_lm(spark, folder):
+    return suffix_tree_lm.score(table(spark, folder, "documents"))
+
+
 @query("op4_best_fit_packing")
 def op4_best_fit_packing(spark, folder):
     pieces = packing.cut_pieces(table(spark, folder, "documents"))
