@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, license_scan, near_dup, packing, quality, repeats, secrets, suffix_tree_lm
+from sensorlake.llm import bpe_count, chat, decontaminate, license_scan, near_dup, packing, quality, repeats, secrets, suffix_tree_lm
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,6 +120,12 @@ def op8_token_counts(spark, folder):
     return bpe_count.count_tokens(table(spark, folder, "documents"))
 
 
+@query("op9_decontaminate")
+def op9_decontaminate(spark, folder):
+    found = decontaminate.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "cosine", "aligned", "answer", "first_word", "last_word")
+
+
 @query("op10_secret_scan")
 def op10_secret_scan(spark, folder):
     found = secrets.scan_secrets(table(spark, folder, "documents"))
