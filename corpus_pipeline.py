@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import packing, quality, secrets
+from sensorlake.llm import decontaminate, near_dup, packing, quality, secrets
 from sensorlake.session import require_utc, written
 
 
@@ -14,6 +14,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose five-word shingles are 0.8 alike, directly or through others."""
+    return near_dup.keep_one_each(docs, shingle=5, percent=80)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.keep_clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents; secrets in the texts are replaced by a mark, and ``n_chars`` follows."""
     clean = secrets.redact_secrets(docs)
@@ -28,6 +38,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("near duplicates", near_duplicates),
+    ("benchmark decontamination", benchmark_decontamination),
     ("secret scans", secret_scan),
     ("best-fit packing", best_fit_packing),
 ]

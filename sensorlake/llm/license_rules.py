@@ -63,12 +63,12 @@ lgpl-2 | lgpl | lgpl 2 0(?: only| or later)? | lgpl(?: version| v)? ?2(?: 0)?
 lgpl-2.1 | lgpl | lgpl 2 1(?: only| or later)? | lgpl(?: version| v)? ?2 1
 lgpl-3 | lgpl | lgpl 3 0(?: only| or later)? | lgpl(?: version| v)? ?3(?: 0)?
 lgpl-2 | library general | | (?:gnu )?library general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2(?: 0)? | gnu library general public licen[cs]e
-lgpl-2.1 | lesser general | | lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2 1
-lgpl-3 | lesser general | | lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?
+lgpl-2.1 | lesser general | | (?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?2 1
+lgpl-3 | lesser general | | (?:gnu )?lesser general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?
 lgpl | lesser general | | (?:gnu )?lesser general public licen[cs]e
 lgpl | lgpl | | gnu lgpl | licen[cs]ed under (?:the )?lgpl | lgpl licen[cs]e
-agpl-1 | affero | agpl 1 0 | affero general public licen[cs]e(?: version| v)? ?1(?: 0)?
-agpl-3 | affero | agpl 3 0(?: only| or later)? | affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?
+agpl-1 | affero | agpl 1 0 | (?:gnu )?affero general public licen[cs]e(?: version| v)? ?1(?: 0)?
+agpl-3 | affero | agpl 3 0(?: only| or later)? | (?:gnu )?affero general public licen[cs]e(?: as published by the free software foundation)?(?: either)?(?: version| v)? ?3(?: 0)?
 agpl-3 | agpl | agpl 3 0(?: only| or later)? | agpl(?: version| v)? ?3(?: 0)?
 agpl | affero | | (?:gnu )?affero general public licen[cs]e
 agpl | agpl | | gnu agpl | licen[cs]ed under (?:the )?agpl
