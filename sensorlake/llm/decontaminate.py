@@ -2,10 +2,10 @@
 
 Documents are read once: what is kept are the places of words that the benchmark has (no other word can match), in segments of bounded
 length that overlap by more than a passage. Passages are windows of two steps of ``STEP`` words, one from each step. Their TF-IDF
-vectors (squared inverse frequencies over the segments of all documents, so that rare words decide) are reduced by a distributed randomised SVD: a random projection,
+vectors (cubed inverse frequencies over the segments of all documents, so that rare words decide) are reduced by a distributed randomised SVD: a random projection,
 one power step (each task sums its part of A'A times the projection), and the small eigenproblem of the projected passages. The
 space is fitted on ``SAMPLE`` passages at most, chosen by hash; every passage of every document is searched in it.
-Passages and items are compared by cosine in the latent space, each dimension divided by its singular value; what passes is
+Passages and items are compared by cosine in the latent space, each dimension divided by the root of its singular value; what passes is
 aligned with the item: the longest common subsequence of their words, and the words of the item's answer, its last part.
 
 A document is a hit for an item if the aligned share of the item is at least ``EXACT``, or at least ``PARAPHRASE`` with
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,6 +34,8 @@ STEP = 24
 WINDOW, SEGMENT = 2 * STEP, 1024 * STEP
 #: Latent dimensions, further ones of the projection; share of segments from which a word is too common for TF-IDF.
 RANK, SPARE, COMMON, SEED = 160, 32, 0.4, 7
+#: Share of the largest squared singular value that is added to each, and the power of the sum that a dimension is divided by.
+DAMPING, SHARPEN = 0.01, 0.25
 #: Passages that the space is fitted on, in expectation at most.
 SAMPLE = 100_000
 COSINE, EXACT, PARAPHRASE, ANSWER, TELLING, LEAST = 0.4, 0.6, 0.45, 0.75, 0.5, 6
@@ -90,7 +93,7 @@ def _found_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                         if len(place):
                             rows.append((k, first, len(own)))
                             cut.append((np.diff(place, prepend=0).astype("<u4").tobytes(), own[place].astype("<u4").tobytes()))
-                take = [r[0] for r in rows]
+                take = pa.array([r[0] for r in rows], pa.int64())
                 yield {"doc_id": part.column(0).take(take), "text_key": part.column(1).take(take), "first": [r[1] for r in rows],
                        "n_words": [r[2] for r in rows], "steps": [c[0] for c in cut], "words": [c[1] for c in cut]}
 
@@ -180,7 +183,7 @@ def _frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
 
 
 def latent_space(table: DataFrame, weight: np.ndarray) -> np.ndarray:
-    """Right singular vectors (words by dimensions) of the TF-IDF passages over their singular values, by randomised SVD with one
+    """Right singular vectors (words by dimensions) of the TF-IDF passages over the roots of their singular values, by randomised SVD with one
     power step."""
     size, width = len(weight), RANK + SPARE
     start = np.random.default_rng(SEED).standard_normal((size, width)).astype(np.float32)
@@ -216,8 +219,9 @@ def latent_space(table: DataFrame, weight: np.ndarray) -> np.ndarray:
     for row, values in _sums(table, columns, add_gram).items():
         gram[row] = values
     values, vectors = np.linalg.eigh(gram)
-    best = [k for k in np.argsort(-values)[:RANK] if values[k] > 1e-6 * max(values.max(), 1e-12)]
-    return (basis @ (vectors[:, best] / np.sqrt(values[best]))).astype(np.float32)
+    best = np.argsort(-values)[:RANK]
+    # Damped, so that directions with next to no share in the corpus do not decide.
+    return (basis @ (vectors[:, best] / (np.maximum(values[best], 0) + DAMPING * max(values.max(), 1e-12)) ** SHARPEN)).astype(np.float32)
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
@@ -259,7 +263,7 @@ def _search(table: DataFrame, items: list[Item], weight: np.ndarray, space: np.n
                         offset = firsts[chunk.rows[s]]
                         best[s, i] = aligned, answer, float(cosines[n, i]), offset + int(place[low]), offset + int(place[high - 1])
                 out += [(chunk.rows[s], items[i].item_id, *found) for (s, i), found in best.items()]
-            take = [r[0] for r in out]
+            take = pa.array([r[0] for r in out], pa.int64())
             yield {"doc_id": batch.column("doc_id").take(take), "text_key": batch.column("text_key").take(take), "item_id": [r[1] for r in out],
                    "cosine": [r[4] for r in out], "aligned": [r[2] for r in out], "answer": [r[3] for r in out],
                    "first_word": [r[5] for r in out], "last_word": [r[6] for r in out]}
@@ -297,7 +301,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         items = [Item(i, [vocabulary.setdefault(w, len(vocabulary)) for w in words]) for i, words in block]
         table = _found_words(small, vocabulary)
         frequency, segments, passages = _frequencies(table, len(vocabulary))
-        weight = np.where(frequency <= max(1.0, COMMON * segments), np.log((segments + 1) / (frequency + 1)) ** 2, 0.0).astype(np.float32)
+        weight = np.where(frequency <= max(1.0, COMMON * segments), np.log1p(segments / np.maximum(frequency, 1.0)) ** 3, 0.0).astype(np.float32)
         share = min(1.0, SAMPLE / max(1, passages))
         fitted = table.where(F.pmod(F.xxhash64("text_key", "first"), F.lit(1 << 30)) < int(share * (1 << 30)))
         hits = hits.unionAll(_search(table, items, weight, latent_space(fitted, weight)))
