@@ -90,9 +90,8 @@ def _found_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
                     for first in range(0, max(1, len(words) - 2 * WINDOW), SEGMENT):
                         own = numbers[first:first + SEGMENT + 2 * WINDOW]
                         place = np.flatnonzero(own >= 0)
-                        if len(place):
-                            rows.append((k, first, len(own)))
-                            cut.append((np.diff(place, prepend=0).astype("<u4").tobytes(), own[place].astype("<u4").tobytes()))
+                        rows.append((k, first, len(own)))
+                        cut.append((np.diff(place, prepend=0).astype("<u4").tobytes(), own[place].astype("<u4").tobytes()))
                 take = pa.array([r[0] for r in rows], pa.int64())
                 yield {"doc_id": part.column(0).take(take), "text_key": part.column(1).take(take), "first": [r[1] for r in rows],
                        "n_words": [r[2] for r in rows], "steps": [c[0] for c in cut], "words": [c[1] for c in cut]}
@@ -144,7 +143,7 @@ def _chunks(batch) -> Iterator[Chunk]:
         if entries < CHUNK and k < batch.num_rows - 1:
             continue
         segments = [(np.cumsum(np.frombuffer(steps[r].as_buffer(), "<u4").astype(np.int64)), np.frombuffer(words[r].as_buffer(), "<u4").astype(np.int64)) for r in rows]
-        base = np.r_[0, np.cumsum([-(-sizes[r].as_py() // STEP) for r in rows])]
+        base = np.r_[0, np.cumsum([max(1, -(-sizes[r].as_py() // STEP)) for r in rows])]
         own = np.repeat(base[:-1], [len(p) for p, _ in segments])
         yield Chunk(rows, segments, base, own + np.concatenate([p for p, _ in segments]) // STEP, np.concatenate([w for _, w in segments]))
         rows, entries = [], 0
