@@ -40,7 +40,7 @@ def _month_start(index: Column) -> Column:
 def resample_bin(ts: Column, count: int, unit: str, anchor: Column) -> Column:
     """Start of the ``count`` x ``unit`` bin of ``ts``; bins are counted from ``anchor``.
 
-    Hours, days and weeks are fixed lengths. Months, calendar years and years that begin in October are calendar
+    Hours, days and weeks are fixed lengths; the first bin of n weeks ends with the anchor's week. Months, calendar years and years that begin in October are calendar
     bins whose first one holds the anchor.
     """
     if unit not in RESAMPLE_UNITS or count < 1:
@@ -51,7 +51,8 @@ def resample_bin(ts: Column, count: int, unit: str, anchor: Column) -> Column:
         return epoch_to_ntz(origin + F.floor((ntz_to_epoch(ts) - origin) / length) * length)
     if unit == "W":
         length = count * 7 * 86400
-        origin = ntz_to_epoch(F.date_trunc("week", anchor).cast("timestamp_ntz"))
+        # A bin of n weeks ends with the week of the anchor.
+        origin = ntz_to_epoch(F.date_trunc("week", anchor).cast("timestamp_ntz")) - (count - 1) * 7 * 86400
         return epoch_to_ntz(origin + F.floor((ntz_to_epoch(ts) - origin) / length) * length)
     if unit == "MS":
         origin = _month_index(anchor)

@@ -123,7 +123,7 @@ def sync_delta(local_registry: DataFrame, remote_registry: DataFrame, remote_obs
     """What a local store has to take from a remote one: ``report``, ``rows`` and ``registry``.
 
     Streams match by uuid or table name. When the counts differ, remote readings in ``(local last, remote last]``
-    (from the remote's first time when nothing is stored) with a flag from ``min_flag`` on are taken under the
+    (from the remote's first time on, that one included, when nothing is stored) with a flag from ``min_flag`` on are taken under the
     local id, and the registry takes the remote's last time and count.
     """
     if by not in ("datastream_uuid", "datastream_tablename"):
@@ -139,7 +139,7 @@ def sync_delta(local_registry: DataFrame, remote_registry: DataFrame, remote_obs
               .when(F.col("remote_last").isNull(), "remote is empty")
               .otherwise("update"))
     plan = matched.withColumn("action", action).withColumns({
-        "_start": F.coalesce("last_measurement_date", "remote_first")})
+        "_start": F.coalesce("last_measurement_date", F.col("remote_first") - 1)})
     todo = small_side(plan.filter("action = 'update'").select("remote_id", F.col("datastream_id").alias("local_id"), "_start", "remote_last"))
     rows = (remote_observations.filter(F.col("qa_flag") >= min_flag)
             .join(todo, F.col("datastream_id") == F.col("remote_id"))

@@ -18,14 +18,16 @@ def to_observations(feeder: DataFrame, mapping: DataFrame, columns: list[str], i
     """Wide to long: every exposed column of the feeder becomes a datastream.
 
     ``columns`` is the feeder's sensor header. One ``unpivot`` reads the feeder once; the mapping (one row per
-    column, configuration-sized) joins on the column name. Missing terms become ``unknown``.
+    column, configuration-sized) joins on the column name, and on ``feeder_table`` where it has one, since two sources may
+    use a name for different things. Missing terms become ``unknown``.
     """
     exposed = mapping.filter("expose_as_datastream").withColumns({
         "variable_term": F.coalesce("variable_term", F.lit(UNKNOWN)),
         "units_term": F.coalesce("units_term", F.lit(UNKNOWN)),
     })
     long = feeder.unpivot(ids, columns, "column_name", "data_value")
-    return long.join(exposed, "column_name")
+    keys = [c for c in ("feeder_table", "column_name") if c in exposed.columns and c in long.columns]
+    return long.join(exposed, keys)
 
 
 def convert_units(df: DataFrame, units: DataFrame, value: str = "data_value") -> DataFrame:
@@ -130,12 +132,12 @@ def good_summary(observations: DataFrame) -> DataFrame:
 
 def update_registry(registry: DataFrame, delta: DataFrame) -> DataFrame:
     """Registry after a load: the first date is set once, the last date and the count move on; identity columns
-    stay. Streams that are new in ``delta`` get a row with only these columns."""
+    stay. An older delta does not move the last date back. Streams that are new in ``delta`` get a row with only these columns."""
     news = good_summary(delta)
     joined = registry.join(news, "datastream_id", "full")
     return joined.withColumns({
         "first_measurement_date": F.coalesce("first_measurement_date", "first_good"),
-        "last_measurement_date": F.coalesce("last_good", "last_measurement_date"),
+        "last_measurement_date": F.greatest("last_good", "last_measurement_date"),
         "total_measurement_numbers":
             F.coalesce("total_measurement_numbers", F.lit(0)) + F.coalesce("good_count", F.lit(0)),
     }).drop("first_good", "last_good", "good_count", "row_count")
@@ -158,7 +160,7 @@ def newest_parent(edges: DataFrame) -> DataFrame:
         "equipment_id", F.col("e.related_equipment_id").alias("parent_id"))
 
 
-def accumulate_offsets(equipment: DataFrame, positions: DataFrame, edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def accumulate_offsets(equipment: DataFrame, positions: DataFrame, edges: DataFrame) -> DataFrame:
     """Sum of the z-offsets of each equipment and all its ancestors; equipment on a cycle is reported as ``cyclic``
     with a NULL offset. A negative sum is a depth, otherwise an elevation."""
     start = (equipment.select("equipment_id")
@@ -167,7 +169,7 @@ def accumulate_offsets(equipment: DataFrame, positions: DataFrame, edges: DataFr
              .select(F.col("equipment_id").alias("id"), "parent_id",
                      F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("weight")))
     total = F.col("total")
-    return ancestor_sums(start, max_depth).select(
+    return ancestor_sums(start).select(
         F.col("id").alias("equipment_id"), "cyclic",
         F.when(total < 0, "sensor_depth").when(total >= 0, "sensor_elevation").alias("attribute"),
         F.abs(total).alias("offset_m"))

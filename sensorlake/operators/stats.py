@@ -36,24 +36,14 @@ def mode_first_seen(df: DataFrame, keys: list[str], value: str, order: str) -> D
         *keys, F.coalesce(F.when(F.col("m.n") < 0, F.col("m.v")), F.lit(NAN)).alias(value))
 
 
-# Largest group whose median one aggregate buffer may hold.
-MEDIAN_GROUP_ROWS = 200_000
-
+def exact_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Exact median per group of the non-missing values, by one way for groups of all sizes (:func:`sliced_median`)."""
+    v = F.col(value)
+    return sliced_median(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, value), keys, value)
 
-def exact_median(df: DataFrame, keys: list[str], value: str, group_rows: int = MEDIAN_GROUP_ROWS) -> DataFrame:
-    """Exact median per group of the non-missing values.
 
-    Group sizes are counted first. Groups up to ``group_rows`` use the built-in median; larger ones, of which there
-    are few, are split by value (:func:`sliced_median`).
-    """
-    v = F.col(value)
-    present = df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, value)
-    large = present.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > group_rows).drop("_n")
-    if large.isEmpty():
-        return present.groupBy(*keys).agg(F.median(value).alias(value))
-    large = small_side(large)
-    small = present.join(large, keys, "left_anti").groupBy(*keys).agg(F.median(value).alias(value))
-    return small.unionByName(sliced_median(present.join(large, keys, "left_semi"), keys, value))
+# Beyond the slice of every finite number.
+ENDLESS = 20_000
 
 
 def sliced_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -65,7 +55,8 @@ def sliced_median(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """
     v = F.col(value)
     counts = (df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-              .withColumn("slice", F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * 16).cast("int")))
+              .withColumn("slice", F.when(F.abs(v) == float("inf"), F.signum(v) * ENDLESS)
+                          .otherwise(F.floor(F.signum(v) * F.log2(F.abs(v) + 1.0) * 16)).cast("int")))
     running = W.partitionBy(*keys).orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     histogram = (counts.groupBy(*keys, "slice").agg(F.sum("n").alias("n"))
                  .withColumn("upto", F.sum("n").over(running))
@@ -111,7 +102,7 @@ def resample(df: DataFrame, ts: str, value: str, count: int, unit: str, op: str,
 def _compute(binned: DataFrame, ts: str, value: str, op: str, keys: list[str]) -> DataFrame:
     groups = [*keys, "bin"]
     if op == "mode":
-        return mode_first_seen(binned, groups, value, ts)
+        return mode_first_seen(binned.withColumn(value, _valid(F.col(value))), groups, value, ts)
     if op == "median":
         present = binned.groupBy(*groups).agg(F.count(_valid(F.col(value))).alias("present"))
         medians = exact_median(binned, groups, value)

@@ -21,9 +21,13 @@ def check_columns(df: DataFrame, names) -> None:
 
 
 def upsert(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
-    """Insert or replace by primary key; columns the updates do not carry keep their stored value."""
+    """Insert or replace by primary key; columns the updates do not carry keep their stored value. A key that the updates
+    have twice is an error."""
     check_columns(target, updates.columns)
-    new = updates.select(*[F.col(c).alias(f"_new_{c}") for c in updates.columns], F.lit(True).alias("_hit"))
+    twice = F.raise_error(F.concat(F.lit(f"more than one update for {key} "), F.col(key).cast("string")))
+    single = updates.groupBy(key).agg(F.count("*").alias("_n"), F.first(F.struct(*updates.columns)).alias("_row")).select(
+        F.when(F.col("_n") == 1, F.col("_row")).otherwise(twice.cast(updates.select(F.struct(*updates.columns).alias("r")).schema["r"].dataType)).alias("_row"))
+    new = single.select("_row.*").select(*[F.col(c).alias(f"_new_{c}") for c in updates.columns], F.lit(True).alias("_hit"))
     joined = target.join(new, F.col(key) == F.col(f"_new_{key}"), "full")
 
     def merged(name: str) -> Column:
@@ -68,17 +72,20 @@ def next_id(target: DataFrame, id_col: str) -> Column:
     return target.agg((F.coalesce(F.max(id_col), F.lit(0)) + 1).alias("n")).scalar()
 
 
-def upsert_natural(target: DataFrame, rows: DataFrame, id_col: str, unique_cols: list[str], order: list[str],
+def upsert_natural(target: DataFrame, rows: DataFrame, id_col: str, unique_cols: list[str | tuple[str, ...]], order: list[str],
                    update_only: bool = False) -> DataFrame:
     """Upsert rows that may lack an id.
 
-    The first unique column that hits a stored row gives the id; rows without any hit get new ids. With
-    ``update_only`` a new row is an error.
+    The first unique column that hits a stored row gives the id, or the first tuple of columns that do together; rows
+    without any hit get new ids. With ``update_only`` a new row is an error.
     """
     found = rows if id_col in rows.columns else rows.withColumn(id_col, F.lit(None).cast("bigint"))
-    for column in unique_cols:
-        lookup = target.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_key")).agg(F.min(id_col).alias("_id"))
-        found = (found.join(lookup, F.col(column) == F.col("_key"), "left")
+    for unique in unique_cols:
+        parts = unique if isinstance(unique, tuple) else (unique,)
+        given = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in parts])
+        key = F.struct(*parts) if len(parts) > 1 else F.col(parts[0])
+        lookup = target.filter(given).groupBy(key.alias("_key")).agg(F.min(id_col).alias("_id"))
+        found = (found.join(lookup, key == F.col("_key"), "left")
                  .withColumn(id_col, F.coalesce(id_col, "_id")).drop("_key", "_id"))
     new = found.filter(F.col(id_col).isNull()).drop(id_col)
     known = found.filter(F.col(id_col).isNotNull())
@@ -141,25 +148,15 @@ def read_fuzzy(df: DataFrame, **contains) -> DataFrame:
     return df
 
 
-# Longest value list that stays a predicate; longer ones are joined.
-INLINE_VALUES = 1000
-
-
 def read_any(df: DataFrame, **options: list) -> DataFrame:
-    """Rows where any column has one of its listed values (columns are joined by OR)."""
+    """Rows where any column has one of its listed values (columns are joined by OR). Values are read as the column's type."""
     check_columns(df, options)
     given = {k: v for k, v in options.items() if v is not None}
     if not given:
         return df
-    spark, tests, marked = df.sparkSession, [], df
-    for i, (name, values) in enumerate(given.items()):
-        if len(values) <= INLINE_VALUES:
-            tests.append(F.coalesce(F.col(name).isin(*values), F.lit(False)))
-            continue
-        listed = spark.createDataFrame([(v,) for v in dict.fromkeys(values)], f"_v{i} {dict(df.dtypes)[name]}")
-        marked = marked.join(listed, F.col(name) == F.col(f"_v{i}"), "left")
-        tests.append(F.col(f"_v{i}").isNotNull())
-    return marked.filter(reduce(lambda a, b: a | b, tests)).select(*df.columns)
+    kinds = dict(df.dtypes)
+    tests = [F.coalesce(F.col(name).isin(*[F.lit(v).cast(kinds[name]) for v in values]), F.lit(False)) for name, values in given.items()]
+    return df.filter(reduce(lambda a, b: a | b, tests))
 
 
 def read_one_or_none(df: DataFrame, **equal) -> Row | None:

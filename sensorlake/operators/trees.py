@@ -10,16 +10,17 @@ from sensorlake.schemas import split_fields
 from sensorlake.session import durable, written
 
 
-def ancestor_sums(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
+def ancestor_sums(nodes: DataFrame) -> DataFrame:
     """``id, total, cyclic`` from ``id, parent_id, weight``: the weight of a node and all its ancestors.
 
     Every round joins the table with itself and doubles the distance a row has climbed, so a tree of depth d
-    needs log2(d) joins. A row that still climbs after ``max_depth`` levels sits on or below a cycle. A row that
-    has arrived carries a NULL target and leaves the join.
+    needs log2(d) joins. No path is longer than there are rows, so a row that has climbed further and still climbs sits on or
+    below a cycle. A row that has arrived carries a NULL target and leaves the join.
     """
     climbed = 1
     current = durable(nodes.select("id", F.col("weight").alias("total"), F.col("parent_id").alias("at")))
-    while climbed < max_depth and not current.filter("at IS NOT NULL").isEmpty():
+    longest = current.count()
+    while climbed <= longest and not current.filter("at IS NOT NULL").isEmpty():
         above = current.select(F.col("id").alias("at"), F.col("total").alias("more"), F.col("at").alias("further"))
         moving = current.filter("at IS NOT NULL").join(above, "at", "left").select(
             "id", (F.col("total") + F.coalesce("more", F.lit(0))).alias("total"), F.col("further").alias("at"))
@@ -62,7 +63,8 @@ def explode_documents(docs: DataFrame, body: str, fields: str, children: str, ke
 
 FEATURE_FIELDS = (
     "sampling_feature_uuid:string,sampling_feature_type_cv:string,sampling_feature_code:string,sampling_feature_name:string,"
-    "sampling_feature_description:string,feature_geometry_wkt:string,elevation_m:double,latitude:double,longitude:double,"
+    "sampling_feature_description:string,sampling_feature_geotype_cv:string,feature_geometry_wkt:string,elevation_m:double,"
+    "elevation_datum_cv:string,epsg:int,latitude:double,longitude:double,"
     "relation_to_parent:string,sampling_feature_alias:array<struct<alias:string,alias_category:string,display_priority:int>>,"
     "extension_properties:array<struct<property_name:string,property_value:string>>")
 
@@ -70,13 +72,14 @@ FEATURE_FIELDS = (
 def flatten_feature_tree(docs: DataFrame, body: str, max_depth: int = 12) -> dict[str, DataFrame]:
     """Site documents to ``nodes``, ``edges``, ``aliases`` and ``properties``; ids are hashes of the uuid.
 
-    The documents are parsed once, into a table that the four outputs read.
+    The documents are parsed once, into a table that the outputs read. A child without ``relation_to_parent`` is an error.
     """
     rows = written(explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth), "features")
     nodes = rows.drop("parent_key", "sampling_feature_alias", "extension_properties").withColumn(
         "sampling_feature_id", F.xxhash64("sampling_feature_uuid"))
+    missing = F.raise_error(F.concat(F.lit("no relation_to_parent for "), F.col("sampling_feature_code"))).cast("string")
     edges = rows.filter("parent_key IS NOT NULL").select(
-        "sampling_feature_code", F.coalesce("relation_to_parent", F.lit("isChildOf")).alias("relationship_type_cv"),
+        "sampling_feature_code", F.coalesce("relation_to_parent", missing).alias("relationship_type_cv"),
         F.col("parent_key").alias("related_feature_code"))
     aliases = rows.select("sampling_feature_code", F.explode("sampling_feature_alias").alias("a")).select("sampling_feature_code", "a.*")
     properties = rows.select("sampling_feature_code", F.explode("extension_properties").alias("p")).select("sampling_feature_code", "p.*")
@@ -98,8 +101,9 @@ def check_feature_tree(nodes: DataFrame) -> DataFrame:
 
 EQUIPMENT_FIELDS = (
     "equipment_uuid:string,equipment_code:string,equipment_name:string,equipment_serial_number:string,equipment_vendor:string,"
-    "owner_first_name:string,owner_last_name:string,position_start_date_utc:bigint,position_end_date_utc:bigint,"
-    "relationship_start_date_time_utc:bigint,relationship_end_date_time_utc:bigint,equipment_z_offset_m:double")
+    "equipment_description:string,equipment_owner_first_name:string,equipment_owner_last_name:string,position_start_date_utc:bigint,position_end_date_utc:bigint,"
+    "relationship_start_date_time_utc:bigint,relationship_end_date_time_utc:bigint,equipment_z_offset_m:double,"
+    "equipment_ns_offset_m:double,equipment_ew_offset_m:double,equipment_height_note:string")
 
 
 def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organizations: DataFrame, persons: DataFrame,
@@ -107,7 +111,7 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     """Equipment documents to ``equipment``, ``positions`` and ``edges``.
 
     The model is found by part number (an error when absent), the vendor by code with ``unknown`` as fallback, the
-    owner by name. Positions are keyed by equipment and start; children are attached to their parent.
+    owner by name (an error when a name is given that is not known). Positions are keyed by equipment and start; children are attached to their parent.
     """
     rows = written(explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth), "equipment")
     ided = rows.withColumns({"equipment_id": F.xxhash64("equipment_uuid"), "parent_id": F.when(
@@ -115,29 +119,34 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     unknown = F.lit("unknown")
     owners = persons.withColumn("_name", F.concat_ws(" ", "person_first_name", "person_last_name"))
     equipment = ided.withColumns({"_vendor": F.coalesce("equipment_vendor", unknown), "_unknown": unknown,
-                                  "_owner": F.concat_ws(" ", "owner_first_name", "owner_last_name")})
+                                  "_owner": F.concat_ws(" ", "equipment_owner_first_name", "equipment_owner_last_name")})
     equipment = resolve_ids(equipment, models, [("equipment_code", "equipment_model_part_number")], "equipment_model_id",
                             "equipment_model_id", required=True)
     equipment = resolve_ids(equipment, organizations, [("_vendor", "organization_code"), ("_unknown", "organization_code")],
                             "organization_id", "equipment_vendor_id")
     equipment = resolve_ids(equipment, owners, [("_owner", "_name")], "person_id", "equipment_owner_id")
+    stranger = (F.col("_owner") != "") & F.col("equipment_owner_id").isNull()
+    equipment = equipment.withColumn("equipment_owner_id", F.when(stranger, F.raise_error(F.concat(
+        F.lit("no person_id for "), F.col("_owner"))).cast("bigint")).otherwise(F.col("equipment_owner_id")))
     return {
         "equipment": equipment.select("equipment_id", "equipment_uuid", "equipment_code", "equipment_name",
-                                      "equipment_serial_number", "equipment_model_id", "equipment_vendor_id", "equipment_owner_id"),
+                                      "equipment_serial_number", "equipment_description", "equipment_model_id", "equipment_vendor_id", "equipment_owner_id"),
         "positions": ided.select("equipment_id", "position_start_date_utc", "position_end_date_utc",
-                                 F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("equipment_z_offset_m")).distinct(),
+                                 F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("equipment_z_offset_m"), "equipment_ns_offset_m",
+                                 "equipment_ew_offset_m", "equipment_height_note").distinct(),
         "edges": ided.filter("parent_id IS NOT NULL").select(
             "equipment_id", F.lit("isAttachedTo").alias("relationship_type_cv"), F.col("parent_id").alias("related_equipment_id"),
             "relationship_start_date_time_utc", "relationship_end_date_time_utc"),
     }
 
 
-def nest_tree(nodes: DataFrame, code: str, parent: str, max_nodes: int = 100_000, children: str = "child_sampling_features") -> DataFrame:
+def nest_tree(nodes: DataFrame, code: str, parent: str, cut: int = 1, children: str = "child_sampling_features") -> DataFrame:
     """Adjacency list to nested JSON documents: ``code, parent, node_count, document``.
 
-    Levels are folded from the leaves up, one aggregate each. Children are embedded while their parent's document
-    stays within ``max_nodes`` nodes; where it would not, each child becomes a document of its own that names its
-    parent, so no group is ever gathered beyond that bound and nothing is lost. Cycles are an error.
+    Levels are folded from the leaves up, one aggregate each, and each is written once. ``cut`` is the level (roots are 1) whose
+    subtrees become documents; nodes above it are documents without children, and every document names its parent. The
+    shape depends on this choice alone, never on sizes: one document is one row, so trees too large for a row are
+    cut further down by the caller. Cycles are an error.
     """
     fields = [c for c in nodes.columns if c not in (code, parent)]
     depths = ancestor_sums(nodes.select(F.col(code).alias("id"), F.col(parent).alias("parent_id"), F.lit(1).alias("weight")))
@@ -157,14 +166,15 @@ def nest_tree(nodes: DataFrame, code: str, parent: str, max_nodes: int = 100_000
         if below is None:
             folded = here.select(code, parent, F.lit(1).cast("bigint").alias("node_count"), document(F.lit("")).alias("document"))
         else:
-            sizes = below.groupBy(F.col(parent).alias("_p")).agg(F.sum("node_count").alias("_size"))
-            sized = below.join(sizes, F.col(parent) == F.col("_p"))
-            apart = sized.filter(F.col("_size") >= max_nodes).select(code, parent, "node_count", "document")
-            standalone = apart if standalone is None else standalone.unionByName(apart)
-            kids = sized.filter(F.col("_size") < max_nodes).groupBy(F.col(parent).alias("_p")).agg(
-                F.array_sort(F.collect_list(F.struct(code, "document"))).alias("_kids"), F.first("_size").alias("_size"))
+            if level < cut:
+                standalone = below if standalone is None else standalone.unionByName(below)
+                below = below.limit(0)
+            kids = below.groupBy(F.col(parent).alias("_p")).agg(
+                F.array_sort(F.collect_list(F.struct(code, "document"))).alias("_kids"), F.sum("node_count").alias("_size"))
             text = F.array_join(F.transform("_kids", lambda k: k["document"]), ",")
             folded = here.join(kids, F.col(code) == F.col("_p"), "left").select(
                 code, parent, (F.coalesce("_size", F.lit(0)) + 1).alias("node_count"), document(text).alias("document"))
-        below = folded
+        below = written(folded, "level")
+    if below is None:
+        return leveled.select(code, parent, F.lit(0).cast("bigint").alias("node_count"), F.lit("").alias("document")).limit(0)
     return below if standalone is None else below.unionByName(standalone)

@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from sensorlake.operators.tables import assign_ids, find_orphans, resolve_ids, upsert_natural
 
-# Load order: table, id column, unique columns, and which columns are looked up as (columns, table, dim columns, as).
+# Load order: table, id column, unique columns (a tuple is unique as a whole), and which columns are looked up as (columns, table, dim columns, as).
 LOAD_ORDER = (
     ("organizations", "organization_id", ("organization_code",), ()),
     ("persons", "person_id", ("person_name",), ()),
-    ("affiliations", "affiliation_id", (), (
+    ("affiliations", "affiliation_id", (("person_id", "organization_id"),), (
         ("person_name", "persons", ("person_name",), "person_id"),
         ("organization_code", "organizations", ("organization_code",), "organization_id"))),
     ("equipment_models", "equipment_model_id", ("equipment_model_part_number",), (
@@ -36,7 +36,7 @@ def load_base_tables(stored: dict[str, DataFrame], incoming: dict[str, DataFrame
         rows = incoming[name]
         for column, dim, dim_columns, as_col in lookups:
             rows = resolve_ids(rows, loaded[dim], [(column, d) for d in dim_columns], ids[dim], as_col, required=True).drop(column)
-        order = list(unique) or rows.columns
+        order = [c for u in unique for c in (u if isinstance(u, tuple) else (u,))]
         if name in loaded:
             loaded[name] = upsert_natural(loaded[name], rows, id_col, list(unique), order, update_only)
         elif update_only:

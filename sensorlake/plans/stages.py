@@ -39,18 +39,24 @@ def process_stage(feeder: DataFrame, tz: str, columns: list[str], order: list[st
 
     ``feeder``: ``feeder_table``, ``timestamp``, the order columns and the sensors. The zone step runs on the wide
     rows, before they multiply; the mapping, unit and range tables are configuration. Times the clock skips are
-    rejected. The whole stage shuffles nothing while the per-stream tables are small enough to broadcast.
+    rejected. A mapping with ``feeder_table`` holds per source, and ``sensor_type`` replaces ``measured``. The whole stage shuffles nothing while the per-stream tables are small enough to broadcast.
     """
     timed = process.local_to_epoch(feeder, "timestamp", tz, ["feeder_table"], order).filter("dst_status <> 'gap'")
-    terms = process.resolve_default_unit(mapping.filter("expose_as_datastream AND units_term IS NOT NULL"), units, kinds)
+    # A column without a unit is a stream of unknown unit, which nothing converts.
+    exposed = mapping.filter("expose_as_datastream").withColumns({
+        "unit_conversion": F.coalesce("unit_conversion", F.lit(False)) & F.col("units_term").isNotNull(),
+        "units_term": F.coalesce("units_term", F.lit(process.UNKNOWN)), "variable_term": F.coalesce("variable_term", F.lit(process.UNKNOWN))})
+    terms = process.resolve_default_unit(exposed, units, kinds)
     long = process.to_observations(timed.select("feeder_table", "utc_time", *columns), terms, columns, ["feeder_table", "utc_time"])
-    name = datastream_name(F.col("feeder_table"), F.col("column_name"), F.lit("measured"))
+    sensor_type = F.coalesce("sensor_type", F.lit("measured")) if "sensor_type" in mapping.columns else F.lit("measured")
+    name = datastream_name(F.col("feeder_table"), F.col("column_name"), sensor_type)
     named = long.withColumn("datastream_id", F.xxhash64(name))
     marks = F.lit(None).cast(NO_RANGES)
     if "datastream_manual_qa_list" in mapping.columns:
         marks = parse_ranges(F.col("datastream_manual_qa_list"))
-    tables = feeder.select("feeder_table").distinct()
-    streams = (tables.select("feeder_table", F.explode(F.array(*map(F.lit, columns))).alias("column_name")).join(terms, "column_name")
+    tables = feeder.select("feeder_table").distinct().select("feeder_table", F.explode(F.array(*map(F.lit, columns))).alias("column_name"))
+    keys = ["feeder_table", "column_name"] if "feeder_table" in mapping.columns else ["column_name"]
+    streams = (tables.join(terms, keys)
                .select(F.xxhash64(name).alias("datastream_id"), name.alias("datastream_tablename"), "column_name", "variable_term",
                        "units_term", "target_units_term", "unit_conversion", marks.alias("manual_ranges")))
     bounds = small_side(process.qa_bounds(streams, ranges, units))

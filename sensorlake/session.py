@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -21,10 +22,14 @@ def require_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the cluster names none (local runs, tests) is a fresh temporary folder used.
+    Only a local session may go without: it gets a fresh temporary folder. On a cluster that would be a folder of the
+    driver's machine, so a missing setting is an error there.
     """
     configured = spark.conf.get(CHECKPOINT_SETTING, None)
     if not configured:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"{CHECKPOINT_SETTING} has to name a folder that all executors of {master} share")
         configured = tempfile.mkdtemp(prefix="sensorlake-")
         spark.conf.set(CHECKPOINT_SETTING, configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -173,11 +173,16 @@ def flatten_payload(payloads: DataFrame, body: str, keys: list[str], parameters:
     """Device payloads to one wide row per device and epoch, columns ``<parameter>[<unit>]``.
 
     ``parameters`` and ``units`` map provider ids to names; ``names`` lists the wide columns.
+    An id that is not among them is an error.
     """
+    def unknown(name: str) -> Column:
+        return F.raise_error(F.concat(F.lit(f"unknown {name} "), F.coalesce(name, F.lit("NULL")))).cast("string")
+
     parsed = payloads.select(*keys, F.explode(F.from_json(body, PAYLOAD_SCHEMA)["parameters"]).alias("p"))
     readings = parsed.select(*keys, "p.parameterId", "p.unitId", F.explode("p.readings").alias("r"))
-    named = (readings.join(parameters.select(F.col("id").alias("parameterId"), F.col("nice_name").alias("parameter")), "parameterId")
-             .join(units.select(F.col("id").alias("unitId"), F.col("nice_name").alias("unit")), "unitId")
+    named = (readings.join(parameters.select(F.col("id").alias("parameterId"), F.col("nice_name").alias("parameter")), "parameterId", "left")
+             .join(units.select(F.col("id").alias("unitId"), F.col("nice_name").alias("unit")), "unitId", "left")
+             .withColumns({"parameter": F.coalesce("parameter", unknown("parameterId")), "unit": F.coalesce("unit", unknown("unitId"))})
              .select(*keys, F.col("r.timestamp").alias("timestamp"),
                      F.concat("parameter", F.lit("["), "unit", F.lit("]")).alias("name"), F.col("r.value").alias("value")))
     return assemble_wide(named, [*keys, "timestamp"], "name", "value", names)

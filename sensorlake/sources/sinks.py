@@ -17,10 +17,16 @@ def json_arrays(df: DataFrame) -> DataFrame:
     """One JSON array of the row's values, in column order."""
     def item(name: str, kind: str) -> Column:
         c = F.col(f"`{name}`")
-        if kind in ("string", "timestamp_ntz", "timestamp", "date"):
-            text = F.to_json(F.struct(c.cast("string").alias("v")), {"ignoreNullFields": "false"})
-            return F.regexp_extract(text, r'(?s)^\{"v":(.*)\}$', 1)
-        return F.coalesce(c.cast("string"), F.lit("null"))
+        if kind in ("float", "double"):  # JSON has no NaN and no infinity
+            return F.when(c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")), F.lit("null")).otherwise(c.cast("string"))
+        if kind.startswith(("array", "map", "struct", "binary")):
+            c = c if not kind.startswith("binary") else F.base64(c)
+        elif kind in ("string", "timestamp_ntz", "timestamp", "date"):
+            c = c.cast("string")
+        else:
+            return F.coalesce(c.cast("string"), F.lit("null"))
+        text = F.to_json(F.struct(c.alias("v")), {"ignoreNullFields": "false"})
+        return F.regexp_extract(text, r'(?s)^\{"v":(.*)\}$', 1)
 
     return df.select(F.concat(F.lit("["), F.concat_ws(",", *[item(n, k) for n, k in df.dtypes]), F.lit("]")).alias("json"))
 
@@ -36,8 +42,12 @@ def write_json(df: DataFrame, path: str) -> None:
 
 
 def write_json_table(df: DataFrame, path: str, limit: int | None = None, offset: int = 0) -> DataFrame:
-    """Table shape: rows as JSON arrays in ``path/rows`` and one header record in ``path/header``, which is returned."""
-    json_arrays(df).write.mode("errorifexists").text(f"{path}/rows")
+    """Table shape: rows as JSON arrays in ``path/rows`` and one header record in ``path/header``, which is returned.
+
+    ``limit`` and ``offset`` take a page of ``df`` in its own order; the header counts the rows of the whole table.
+    """
+    part = df.offset(offset) if offset else df
+    json_arrays(part if limit is None else part.limit(limit)).write.mode("errorifexists").text(f"{path}/rows")
     header = df.agg(F.count("*").alias("row_count")).select(
         F.array(*[F.lit(c) for c in df.columns]).alias("headers"), "row_count",
         F.lit(limit).cast("int").alias("limit"), F.lit(offset).alias("offset"))

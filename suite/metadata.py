@@ -197,7 +197,8 @@ def site_documents(t):
         text = lambda c: r[c].cast("string")
         code = F.concat_ws("-", F.lit("L"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey"))
         port = F.struct(F.concat(code, F.lit("-port")).alias("sampling_feature_code"),
-                        F.concat(F.lit("uuid-"), code, F.lit("-port")).alias("sampling_feature_uuid"), F.lit(1.5).alias("elevation_m"))
+                        F.concat(F.lit("uuid-"), code, F.lit("-port")).alias("sampling_feature_uuid"), F.lit(1.5).alias("elevation_m"),
+                        F.lit("isChildOf").alias("relation_to_parent"))
         return F.struct(
             code.alias("sampling_feature_code"), F.concat(F.lit("uuid-"), code).alias("sampling_feature_uuid"),
             r["l_quantity"].alias("elevation_m"), F.lit("isChildOf").alias("relation_to_parent"),
@@ -258,7 +259,7 @@ def equipment_documents(t):
             F.concat_ws("-", F.lit("s"), text("l_orderkey"), text("l_linenumber"), text("l_partkey"), text("l_suppkey")).alias("equipment_uuid"),
             F.concat(F.lit("part-"), text("l_partkey")).alias("equipment_code"), F.lit("sensor").alias("equipment_name"),
             F.when(r["l_tax"] > 0.02, F.concat(F.lit("org-"), text("l_suppkey"))).alias("equipment_vendor"),
-            F.lit("Ada").alias("owner_first_name"), F.lit("Byron").alias("owner_last_name"),
+            F.lit("Ada").alias("equipment_owner_first_name"), F.lit("Byron").alias("equipment_owner_last_name"),
             r["l_suppkey"].alias("position_start_date_utc"), r["l_suppkey"].alias("relationship_start_date_time_utc"),
             (-r["l_quantity"] / 10).alias("equipment_z_offset_m"))
 
@@ -266,8 +267,8 @@ def equipment_documents(t):
     grouped = t.lineitem.groupBy("l_orderkey").agg(F.collect_list(raw).alias("rows"))
     return grouped.select(F.to_json(F.struct(
         F.concat(F.lit("o-"), F.col("l_orderkey").cast("string")).alias("equipment_uuid"), F.lit("part-0").alias("equipment_code"),
-        F.lit("logger").alias("equipment_name"), F.lit("nobody").alias("equipment_vendor"), F.lit("Ada").alias("owner_first_name"),
-        F.lit("Byron").alias("owner_last_name"), F.lit(5).alias("position_start_date_utc"), F.lit(2.0).alias("equipment_z_offset_m"),
+        F.lit("logger").alias("equipment_name"), F.lit("nobody").alias("equipment_vendor"), F.lit("Ada").alias("equipment_owner_first_name"),
+        F.lit("Byron").alias("equipment_owner_last_name"), F.lit(5).alias("position_start_date_utc"), F.lit(2.0).alias("equipment_z_offset_m"),
         F.transform("rows", sensor).alias("equipment"))).alias("body"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sensorlake.functions.names import datastream_name
 from sensorlake.operators import process as p
 from sensorlake.plans.stages import process_stage
-from sensorlake.session import small_side
+from sensorlake.session import small_side, written
 from suite.registry import query, r4, sql_r4
 from suite.views import BOUNDS, OBS_SQL, RAW_SQL, observations, raw_values, upper_bound
 from sensorlake.functions.timezones import ntz_to_epoch, shift_seconds
@@ -331,11 +331,15 @@ def process_stage_query(t):
     """Whole way from a raw table in local time to flagged readings; everything up to the end of 1997 is stored already."""
     feeder = t.lineitem.select(F.concat(F.lit("site_"), F.col("l_suppkey").cast("string")).alias("feeder_table"), "l_orderkey", "l_linenumber",
                                shift_seconds(F.col("l_shipdate"), (8 + F.col("l_linenumber")) * 3600).alias("timestamp"), *SENSORS)
-    stored = t.spark.range(0).select(F.col("id").alias("datastream_id"), F.col("id").alias("utc_time"))
-    delta, streams = process_stage(
-        feeder, "America/Denver", SENSORS, ["l_orderkey", "l_linenumber"], t.spark.sql(MAPPING), t.spark.sql(UNITS), t.spark.sql(KINDS),
-        t.spark.sql(RANGES), stored)
-    late = delta.filter("utc_time > 883612800").join(streams.select("datastream_id", "datastream_tablename"), "datastream_id")
+    def load(rows, stored):
+        return process_stage(rows, "America/Denver", SENSORS, ["l_orderkey", "l_linenumber"], t.spark.sql(MAPPING), t.spark.sql(UNITS),
+                             t.spark.sql(KINDS), t.spark.sql(RANGES), stored)
+
+    nothing = t.spark.range(0).select(F.col("id").alias("datastream_id"), F.col("id").alias("utc_time"))
+    # The first load has the readings up to then; the second sees all of them and takes what is newer in each stream.
+    first, _ = load(feeder.filter(F.col("timestamp") <= F.lit("1997-12-31 17:00:00").cast("timestamp_ntz")), nothing)
+    delta, streams = load(feeder, written(first.select("datastream_id", "utc_time"), "stored"))
+    late = delta.join(streams.select("datastream_id", "datastream_tablename"), "datastream_id")
     good = F.col("qa_flag") == "z"
     return late.groupBy(F.col("datastream_tablename").alias("name")).agg(
         F.min(F.when(good, F.col("utc_time"))).alias("first_time"), F.max(F.when(good, F.col("utc_time"))).alias("last_time"),

@@ -82,7 +82,7 @@ def test_offsets_report_cycles(spark):
                                       "equipment_id long, position_start_date_utc long, equipment_z_offset_m double")
     edges = spark.createDataFrame([(1, 0, 5), (1, 2, 1), (2, 1, 5), (3, 4, 1), (4, 3, 1)], "equipment_id long, related_equipment_id long, relationship_start_date_time_utc long")
     out = {r.equipment_id: (r.cyclic, r.attribute, r.offset_m) for r in p.accumulate_offsets(
-        equipment, positions, edges.withColumn("relationship_type_cv", F.lit("isAttachedTo")), max_depth=8).collect()}
+        equipment, positions, edges.withColumn("relationship_type_cv", F.lit("isAttachedTo"))).collect()}
     assert out[0] == (False, "sensor_elevation", 2.5)
     assert out[1] == (False, "sensor_elevation", 1.5)
     assert out[2] == (False, "sensor_elevation", 0.5)

@@ -73,9 +73,14 @@ def test_payload(spark):
     body = '{"parameters":[{"parameterId":"1","unitId":"1","readings":[{"timestamp":5,"value":1.5},{"timestamp":6,"value":2.5}]},' \
            '{"parameterId":"17","unitId":"145","readings":[{"timestamp":6,"value":7.0}]},{"parameterId":"999","unitId":"1","readings":[{"timestamp":9,"value":1}]}]}'
     payloads = spark.createDataFrame([("d", body)], "device string, body string")
-    wide = readers.flatten_payload(
-        payloads, "body", ["device"], mappers.table(spark, mappers.HYDROVU_PARAMETERS_COLUMNS, mappers.HYDROVU_PARAMETERS),
-        mappers.table(spark, mappers.HYDROVU_UNITS_COLUMNS, mappers.HYDROVU_UNITS), ["Temperature[C]", "pH[pH]", "Depth[m]"])
+    def flatten(payloads):
+        return readers.flatten_payload(
+            payloads, "body", ["device"], mappers.table(spark, mappers.HYDROVU_PARAMETERS_COLUMNS, mappers.HYDROVU_PARAMETERS),
+            mappers.table(spark, mappers.HYDROVU_UNITS_COLUMNS, mappers.HYDROVU_UNITS), ["Temperature[C]", "pH[pH]", "Depth[m]"])
+
+    with pytest.raises(Exception, match="unknown parameterId 999"):
+        flatten(payloads).collect()
+    wide = flatten(spark.createDataFrame([("d", body.replace('"999"', '"17"').replace('"timestamp":9,"value":1', '"timestamp":6,"value":7.0'))], "device string, body string"))
     assert sorted(tuple(r) for r in wide.collect()) == [("d", 5, 1.5, None, None), ("d", 6, 2.5, 7.0, None)]
 
 

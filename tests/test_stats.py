@@ -95,11 +95,24 @@ def test_sliced_median_equals_the_plain_one(spark, rows):
 
 def test_median_of_a_dominant_group(spark):
     df = spark.range(40_000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(F.lit(-1)).alias("k"), (F.sin("id") * 1000).alias("v"))
-    got = {r.k: r.v for r in stats.exact_median(df, ["k"], "v", group_rows=5_000).collect()}
+    got = {r.k: r.v for r in stats.exact_median(df, ["k"], "v").collect()}
     want = {r.k: r.v for r in df.groupBy("k").agg(F.median("v").alias("v")).collect()}
     assert got == want
 
 
+def test_median_and_mode_of_odd_values(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("a", math.inf), ("b", -math.inf), ("b", 3.0), ("b", math.nan)], "k string, v double")
+    got = {r.k: r.v for r in stats.exact_median(df, ["k"], "v").collect()}
+    assert got == {"a": 2.0, "b": -math.inf}
+    hours = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, id) AS t, if(id < 2, double('NaN'), 4D) AS v FROM range(3)")
+    assert stats.resample(hours, "t", "v", 1, "D", "mode", ["k"]).first().v == 4.0
+
+
+def test_two_week_bins_end_with_the_first_week(spark):
+    days = spark.sql("SELECT 1 AS k, TIMESTAMP_NTZ '2024-01-10 00:00:00' + make_interval(0, 0, 0, id * 7) AS t, double(id + 1) AS v FROM range(4)")
+    assert [r.v for r in stats.resample(days, "t", "v", 2, "W", "mean", ["k"]).orderBy("t").collect()] == [1.0, 2.5, 4.0]
+
+
 def test_buckets(spark):
     row = spark.sql("SELECT TIMESTAMP_NTZ '1969-12-31 23:59:59.5' AS t")
     assert row.select(bucket_start(F.col("t"), 900).alias("b")).first().b == dt.datetime(1969, 12, 31, 23, 45)

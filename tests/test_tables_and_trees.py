@@ -75,6 +75,7 @@ def test_resolve_prefers_the_first_pair(spark):
 def test_base_load_twice_changes_nothing(spark, values):
     incoming = {"organizations": spark.createDataFrame([("Org", "o1")], "organization_name string, organization_code string"),
                 "persons": spark.createDataFrame([("Ann",)], "person_name string"),
+                "affiliations": spark.createDataFrame([("Ann", "o1")], "person_name string, organization_code string"),
                 "equipment_models": spark.createDataFrame([("p1", "Org"), ("p2", "o1")], "equipment_model_part_number string, equipment_manufacturer_name string")}
     once, report = load_base_tables({}, incoming)
     again, _ = load_base_tables(once, incoming)
@@ -87,16 +88,45 @@ def site(code, *children, **more):
     return {"sampling_feature_code": code, "sampling_feature_uuid": "u" + code, "child_sampling_features": list(children), **more}
 
 
+def related(doc):
+    """The document with a relation on every child."""
+    return doc | {"child_sampling_features": [related(c) | {"relation_to_parent": "isChildOf"} for c in doc["child_sampling_features"]]}
+
+
+def test_child_without_relation_is_an_error(spark):
+    df = spark.createDataFrame([(json.dumps(site("a", site("b"))),)], "body string")
+    with pytest.raises(Exception, match="no relation_to_parent for b"):
+        trees.flatten_feature_tree(df, "body", max_depth=2)["edges"].collect()
+
+
+def test_chain_deeper_than_any_fixed_bound(spark):
+    chain = spark.range(150).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("parent_id"), F.lit(1).alias("weight"))
+    assert {(r.total, r.cyclic) for r in trees.ancestor_sums(chain).collect()} == {(k, False) for k in range(1, 151)}
+
+
+def test_any_of_long_lists_and_other_types(spark):
+    df = spark.range(5000).select(F.col("id").cast("double").alias("v"))
+    assert tables.read_any(df, v=list(range(1500))).count() == 1500
+    assert tables.read_any(spark.sql("SELECT DATE '2024-01-02' AS d"), d=["2024-01-02"]).count() == 1
+
+
+def test_two_updates_of_a_key_are_an_error(spark):
+    target = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    assert sorted(map(tuple, tables.upsert(target, spark.createDataFrame([(2, "c"), (3, "d")], "k long, v string"), "k").collect())) == [(1, "a"), (2, "c"), (3, "d")]
+    with pytest.raises(Exception, match="more than one update for k 2"):
+        tables.upsert(target, spark.createDataFrame([(2, "c"), (2, "d")], "k long, v string"), "k").collect()
+
+
 def test_flatten_then_nest_gives_the_tree_back(spark):
     docs = [site("a", site("b", site("d")), site("c")), site("e")]
-    df = spark.createDataFrame([(json.dumps(d),) for d in docs], "body string")
+    df = spark.createDataFrame([(json.dumps(related(d)),) for d in docs], "body string")
     out = trees.flatten_feature_tree(df, "body", max_depth=3)
     assert out["nodes"].count() == 5 and out["edges"].count() == 3
     parents = out["edges"].select("sampling_feature_code", F.col("related_feature_code").alias("parent"))
     nodes = out["nodes"].select("sampling_feature_code", "sampling_feature_uuid").join(parents, "sampling_feature_code", "left")
     nested = trees.nest_tree(nodes, "sampling_feature_code", "parent")
     assert sorted((json.loads(r.document) for r in nested.collect()), key=lambda d: d["sampling_feature_code"]) == docs
-    split = trees.nest_tree(nodes, "sampling_feature_code", "parent", max_nodes=2).collect()
+    split = trees.nest_tree(nodes, "sampling_feature_code", "parent", cut=2).collect()
     assert sum(r.node_count for r in split) == 5
     assert {r.sampling_feature_code: r.parent for r in split} == {"a": None, "b": "a", "c": "a", "e": None}
 
@@ -218,5 +248,5 @@ def test_sync_reports(spark):
     out = checks.sync_delta(local, remote, obs)
     assert {r.datastream_uuid: r.action for r in out["report"].collect()} == {
         "a": "update", "b": "local has more", "c": "equal", "d": "update", "e": "not found locally", "f": "not found locally"}
-    assert sorted((r.datastream_id, r.utc_time) for r in out["rows"].collect()) == [(1, 6), (1, 9), (4, 4)]
+    assert sorted((r.datastream_id, r.utc_time) for r in out["rows"].collect()) == [(1, 6), (1, 9), (4, 3), (4, 4)]
     assert {r.datastream_id: (r.last_measurement_date, r.total_measurement_numbers) for r in out["registry"].collect()} == {1: (9, 4), 2: (5, 9), 3: (5, 2), 4: (4, 2)}
