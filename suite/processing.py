@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sensorlake.functions.names import datastream_name
 from sensorlake.operators import process as p
+from sensorlake.operators.trees import ancestor_sums
 from sensorlake.plans.stages import process_stage
 from sensorlake.session import small_side, written
 from suite.registry import query, r4, sql_r4
@@ -263,6 +265,14 @@ def offset_ancestors(t):
     return p.accumulate_offsets(equipment(t), positions(t), edges(t))
 
 
+@query("offset_deep_chain", "SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS BIGINT) AS depth, false AS cyclic FROM events")
+def offset_deep_chain(t):
+    """The events of a user as one chain, hundreds of nodes deep and deeper with more events."""
+    before = F.lag("event_id").over(W.partitionBy("user_id").orderBy("event_id"))
+    out = ancestor_sums(t.events.select(F.col("event_id").alias("id"), before.alias("parent_id"), F.lit(1).alias("weight")))
+    return out.select(F.col("id").alias("event_id"), F.col("total").cast("bigint").alias("depth"), "cyclic")
+
+
 @query("attribute_json", f"""{_OFFSETS_SQL}
 SELECT equipment_id, (CASE WHEN s < 0 THEN 'sensor_depth' ELSE 'sensor_elevation' END) AS kind,
        'meter' AS unit, abs(s) AS offset_m, 'eq-' || CAST(equipment_id AS VARCHAR) AS instrument FROM total""")

@@ -30,6 +30,11 @@ _series_case("resample_mean", 1, "MS", "mean", _MONTH, _HALF_MONTH, sql_r4("avg(
 _series_case("resample_median", 1, "MS", "median", _MONTH, _HALF_MONTH, sql_r4("median(price)"))
 _series_case("resample_stdev", 1, "MS", "stdev", _MONTH, _HALF_MONTH, sql_r4("stddev_samp(price)"))
 _series_case("resample_weekly", 1, "W", "mean", "date_trunc('week', ts)", _MID.format(half="302400"), sql_r4("avg(price)"))
+# The first two-week bin ends with the week of the stream's first day.
+_FIRST_WEEK = "date_trunc('week', min(ts) OVER (PARTITION BY datastream_id)) - INTERVAL 7 DAY"
+_series_case("resample_two_weeks", 2, "W", "mean",
+             f"{_FIRST_WEEK} + CAST(floor(date_diff('day', {_FIRST_WEEK}, date_trunc('day', ts)) / 14) AS INTEGER) * INTERVAL 14 DAY",
+             _MID.format(half="604800"), sql_r4("avg(price)"))
 _series_case("resample_mid_bin", 12, "H", "mean",
              "date_trunc('day', ts) + CAST(date_part('hour', ts) // 12 AS INTEGER) * INTERVAL 12 HOUR",
              _MID.format(half="21600"), sql_r4("avg(price)"))

@@ -196,6 +196,23 @@ def sync_delta(t):
     return out["rows"].join(moved, "datastream_id").withColumn("data_value", r4(F.col("data_value")))
 
 
+@query("sync_first_load", f"""
+WITH {OBS_SQL}, {_SYNC_SQL}
+SELECT id + 500000 AS datastream_id, utc_time, {sql_r4('CASE WHEN NOT isnan(data_value) THEN data_value END')} AS data_value, qa_flag, l AS new_last, n AS new_count
+FROM obs JOIN remote ON id = datastream_id WHERE n > 0 AND utc_time >= f AND utc_time <= l""")
+def sync_first_load(t):
+    """All streams are known and none has a reading yet: the first ones come too."""
+    obs = observations(t)
+    remote = good_summary(obs).select(
+        "datastream_id", F.concat(F.lit("uuid-"), F.col("datastream_id").cast("string")).alias("datastream_uuid"), F.col("first_good").alias("first_measurement_date"),
+        F.col("last_good").alias("last_measurement_date"), F.col("good_count").alias("total_measurement_numbers"))
+    local = remote.withColumns({"datastream_id": F.col("datastream_id") + 500000} | {
+        c: F.lit(None).cast("bigint") for c in ("first_measurement_date", "last_measurement_date", "total_measurement_numbers")})
+    out = checks.sync_delta(local, remote, obs)
+    moved = out["registry"].select("datastream_id", F.col("last_measurement_date").alias("new_last"), F.col("total_measurement_numbers").alias("new_count"))
+    return out["rows"].join(moved, "datastream_id").withColumn("data_value", r4(F.col("data_value")))
+
+
 @query("snapshot_rows", """
 SELECT 'region' AS table_name, count(*) AS row_count, CAST(sum(r_regionkey) AS BIGINT) AS key_sum FROM region
 UNION ALL SELECT 'nation', count(*), CAST(sum(n_nationkey) AS BIGINT) FROM nation UNION ALL SELECT 'customer', count(*), CAST(sum(c_custkey) AS BIGINT) FROM customer
