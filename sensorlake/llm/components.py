@@ -42,16 +42,15 @@ def components(links: DataFrame) -> DataFrame:
     """``(v, label)`` for each vertex of ``links (a, b)``; the label is the smallest vertex of the component.
 
     Each task turns its links into a forest; then large-star and small-star steps hand the neighbours of every vertex to the
-    smallest of them, until nothing changes or one task had all the links that were left. The least neighbour is an
+    smallest of them, until all are stars or one task had all the links that were left. The least neighbour is an
     aggregate, so a vertex with very many links shrinks before the shuffle, and the join back is one whose hot side
     adaptive execution splits. The rounds grow with the logarithm of the size; each is written to the shared folder.
     """
-    work, state = _contracted(links), None
+    work = _contracted(links)
     while True:
-        count, mark, tasks = work.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.count_distinct("task")).first()
-        if tasks <= 1 or (count, mark) == state:
-            break
-        state = count, mark
+        count, vertices, tasks = work.agg(F.count("*"), F.count_distinct("a"), F.count_distinct("task")).first()
+        if tasks <= 1 or count == vertices and work.select("b").join(work.select(F.col("a").alias("b")), "b", "left_semi").isEmpty():
+            break  # one task had all links, or each vertex has one root and no root another
         # Large star: the larger neighbours of a vertex go to the smallest of its neighbours and itself.
         both = work.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(work.select(F.col("b").alias("u"), F.col("a").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))

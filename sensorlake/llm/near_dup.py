@@ -4,8 +4,8 @@ A document is the set of its word shingles. Equal sets are one vertex from the s
 A tree branches a vertex along ``BRANCH`` chosen tokens at each node: node and choice are functions of the path, so each task
 finds the nodes of its vertices without talking to others, and two sets of similarity s share a chosen token with
 probability s. Nodes of one vertex are dropped, small ones compared exhaustively; larger ones link their members to one
-of them, and go on branching as long as their members do not all belong to one component, for then nothing is left to find in
-them. A pair of similarity 0.8 survives a tree of any depth with probability 15/16 at least, so ``TREES`` = 6 independent
+of them and branch on. What is still large after ``BLIND`` levels are groups of copies rather than chance: it branches as long
+as its members do not all belong to one component, for then nothing is left to find in it. A pair of similarity 0.8 survives a tree of any depth with probability 15/16 at least, so ``TREES`` = 6 independent
 trees find it with probability 1 - 6e-8. Nodes that are still large and mixed at the greatest depth are compared in full, block by
 block. Sketches only propose: every link is confirmed on the full sets.
 
@@ -25,12 +25,13 @@ from sensorlake.llm.common import lower_words, map_batches, mix
 from sensorlake.llm.components import components
 from sensorlake.session import written
 
-TREES, POOL, BRANCH = 6, 16, 2
+TREES, POOL, BRANCH = 6, 10, 2
 SKETCH = TREES * POOL
-#: Nodes up to this size are compared exhaustively; the depth at which larger ones are compared block by block; rows of a block.
-SMALL, DEPTH, BLOCK = 24, 10, 256
-#: Share of equal sketch tokens from which a pair is confirmed on its full sets: 4.4 deviations below 0.8 at 96 tokens.
-PROPOSED = 0.62
+#: Nodes up to this size are compared exhaustively; the depth to which all larger ones branch; the depth at which those that are left
+#: are compared block by block; rows of a block.
+SMALL, BLIND, DEPTH, BLOCK = 24, 3, 8, 256
+#: Share of equal sketch tokens from which a pair is confirmed on its full sets: 4.4 deviations below 0.8 at 60 tokens.
+PROPOSED = 0.57
 CACHE_ENTRIES = 400_000
 
 _SEEDS = mix(np.arange(1, 4 * SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -71,30 +72,33 @@ def sketch(shingles: np.ndarray) -> np.ndarray:
 
 
 def _vertices(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id, text_key, n_shingles, v, sketch``; ``v`` (a hash of the whole set) and ``sketch`` are NULL for empty sets."""
+    """``doc_id, text_key, n_shingles, v, sketch, brief``: a hash of the whole set, its minwise tokens, and a byte of each token; all
+    three are NULL for empty sets."""
     def run(batches):
         import xxhash
 
         hashes = WordHashes()
         for batch in batches:
             sets = [shingle_set(value.as_py(), size, hashes) for value in batch.column(2)]
+            tokens = [sketch(s) if len(s) else None for s in sets]
             yield {"doc_id": batch.column(0), "text_key": batch.column(1), "n_shingles": [len(s) for s in sets],
                    "v": [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets],
-                   "sketch": [sketch(s).tobytes() if len(s) else None for s in sets]}
+                   "sketch": [None if t is None else t.tobytes() for t in tokens],
+                   "brief": [None if t is None else t.astype(np.uint8).tobytes() for t in tokens]}
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_batches(docs, f"doc_id {kind}, text_key long, n_shingles long, v binary, sketch binary", run)
+    return map_batches(docs, f"doc_id {kind}, text_key long, n_shingles long, v binary, sketch binary, brief binary", run)
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(len(column), SKETCH)
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), SKETCH)
 
 
 def _branch(rows: DataFrame, fresh: bool) -> DataFrame:
     """Children ``(node, tree, used, v)`` of the nodes of ``rows``, or of all roots if ``fresh``; needs ``v, sketch``."""
     def run(batches):
         for batch in batches:
-            tokens = _matrix(batch.column("sketch"))
+            tokens = _matrix(batch.column("sketch"), "<u4")
             n = len(tokens)
             if not n:
                 continue
@@ -121,13 +125,13 @@ def _proposed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _compare_lists(lists: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, share)`` within ``members array<struct<v, sketch, label, side>>``: different labels, and different sides unless both are 0."""
+    """Pairs ``(a, b, share)`` within ``members array<struct<v, brief, label, side>>``: different labels, and different sides unless both are 0."""
     def run(batches):
         for batch in batches:
             out: dict[str, list] = {"a": [], "b": [], "share": []}
             for members in batch.column(0).to_pylist():
                 keys = [m["v"] for m in members]
-                tokens = np.frombuffer(b"".join(m["sketch"] for m in members), "<u4").reshape(len(members), SKETCH)
+                tokens = np.frombuffer(b"".join(m["brief"] for m in members), np.uint8).reshape(len(members), SKETCH)
                 labels = np.unique(np.array([m["label"] for m in members], dtype=object), return_inverse=True)[1]
                 sides = np.array([m["side"] for m in members])
                 for i in range(len(keys) - 1):
@@ -142,15 +146,15 @@ def _compare_lists(lists: DataFrame) -> DataFrame:
 
 
 def _compare_pivots(rows: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, share)`` of ``v, sketch`` with ``pivot struct<v, sketch>``."""
+    """Pairs ``(a, b, share)`` of ``v, brief`` with ``pivot struct<v, brief>``."""
     def run(batches):
         for batch in batches:
             pivot = batch.column("pivot")
-            share = _proposed(_matrix(batch.column("sketch")), _matrix(pivot.field("sketch")))
+            share = _proposed(_matrix(batch.column("brief"), "u1"), _matrix(pivot.field("brief"), "u1"))
             hits = [(*sorted((v, p)), s) for v, p, s in zip(batch.column("v").to_pylist(), pivot.field("v").to_pylist(), share) if s >= PROPOSED and v != p]
             yield {"a": [h[0] for h in hits], "b": [h[1] for h in hits], "share": [float(h[2]) for h in hits]}
 
-    return map_batches(rows.select("v", "sketch", "pivot"), "a binary, b binary, share double", run)
+    return map_batches(rows.select("v", "brief", "pivot"), "a binary, b binary, share double", run)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -170,49 +174,51 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    first = pairs.select("a", "b").join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = first.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
+    """The pairs ``a, b, la, lb`` whose full sets are similar enough."""
+    first = pairs.select("a", "b", "la", "lb").join(sets.select(F.col("v").alias("b"), F.col("shingles").alias("sb")), "b")
+    both = first.join(sets.select(F.col("v").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "la", "lb", "sa", "sb")
 
     def run(batches):
         for batch in batches:
             hits = []
-            for k, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
+            for k, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 ranked = np.sort(np.concatenate([x, y]), kind="stable")
                 common = int((ranked[1:] == ranked[:-1]).sum())
                 if 100 * common >= percent * (len(ranked) - common):
                     hits.append(k)
-            yield {"a": batch.column(0).take(pa.array(hits, pa.int64())), "b": batch.column(1).take(pa.array(hits, pa.int64()))}
+            yield {c: batch.column(c).take(pa.array(hits, pa.int64())) for c in ("a", "b", "la", "lb")}
 
-    return map_batches(both, "a binary, b binary", run)
+    return map_batches(both, "a binary, b binary, la binary, lb binary", run)
 
 
 class _Links:
     """Confirmed links so far, and the component of each linked vertex."""
 
     def __init__(self, spark, sets: DataFrame, percent: int):
-        self.sets, self.percent, self.links = sets, percent, None
+        self.sets, self.percent, self.started = sets, percent, False
         self.labels = spark.createDataFrame([], "v binary, label binary")
 
     def add(self, pairs: DataFrame) -> None:
         """Confirm what may join two components. At first the likeliest pair of each vertex, then whatever is still between two."""
-        rounds = [pairs] if self.links is not None else [pairs.groupBy("b").agg(F.max_by("a", "share").alias("a")), pairs]
+        rounds = [pairs] if self.started else [pairs.groupBy("b").agg(F.max_by("a", "share").alias("a")), pairs]
+        self.started = True
         for some in rounds:
             left = written(self._between(some), "pairs")
             if left.isEmpty():
                 continue
             found = written(_confirm(left, self.sets, self.percent), "links")
-            # A component stands for its vertices: what is new are links between labels, and those make new labels.
-            self.links = found if self.links is None else self.labels.select(F.col("v").alias("a"), F.col("label").alias("b")).unionAll(found)
-            self.labels = written(components(self.links), "labels")
+            # A component stands for its vertices: what is new are links between labels, and those change labels.
+            joined = components(found.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).select(F.col("v").alias("label"), F.col("label").alias("new"))
+            ends = found.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("la").alias("label")), F.struct(F.col("b").alias("v"), F.col("lb").alias("label")))).alias("e"))
+            known = self.labels.unionAll(ends.select("e.*")).distinct()
+            self.labels = written(known.join(joined, "label", "left").select("v", F.coalesce("new", "label").alias("label")), "labels")
 
     def _between(self, pairs: DataFrame) -> DataFrame:
-        if self.links is None:
-            return pairs.select("a", "b").distinct()
+        """Pairs of different components, with both labels."""
         la, lb = (self.labels.select(F.col("v").alias(c), F.col("label").alias(f"l{c}")) for c in "ab")
-        return (pairs.select("a", "b").distinct().join(la, "a", "left").join(lb, "b", "left")
-                .where(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b"))
+        both = pairs.select("a", "b").distinct().join(la, "a", "left").join(lb, "b", "left")
+        return both.select("a", "b", F.coalesce("la", "a").alias("la"), F.coalesce("lb", "b").alias("lb")).where("la <> lb")
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         return rows.join(self.labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
@@ -233,22 +239,22 @@ def _propose(active: DataFrame, vertices: DataFrame) -> DataFrame:
     """Pairs within small nodes, and of large nodes' members with one of them."""
     if "label" not in active.columns:
         active = active.withColumn("label", F.col("v"))
-    rows = active.join(vertices.select("v", "sketch"), "v")
-    member = F.struct("v", "sketch", "label", F.lit(0).alias("side"))
+    rows = active.join(vertices.select("v", "brief"), "v")
+    member = F.struct("v", "brief", "label", F.lit(0).alias("side"))
     small = rows.where(F.col("n") <= SMALL).groupBy("node").agg(F.collect_list(member).alias("members"))
     large = rows.where(F.col("n") > SMALL)
-    pivots = large.groupBy("node").agg(F.min_by(F.struct("v", "sketch"), F.xxhash64("tree", "v")).alias("pivot"))
+    pivots = large.groupBy("node").agg(F.min_by(F.struct("v", "brief"), F.xxhash64("tree", "v")).alias("pivot"))
     return _compare_lists(small).unionAll(_compare_pivots(large.join(pivots, "node")))
 
 
 def _propose_blocks(active: DataFrame, vertices: DataFrame) -> DataFrame:
     """All pairs within nodes of any size: a node's vertices are dealt into blocks, and each two blocks meet in one list."""
-    rows = active.join(vertices.select("v", "sketch"), "v").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
+    rows = active.join(vertices.select("v", "brief"), "v").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     rows = rows.withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
     side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
-    lists = met.select("node", low, high, F.struct("v", "sketch", "label", side).alias("member")).groupBy("node", "low", "high")
+    lists = met.select("node", low, high, F.struct("v", "brief", "label", side).alias("member")).groupBy("node", "low", "high")
     return _compare_lists(lists.agg(F.collect_list("member").alias("members")))
 
 
@@ -263,25 +269,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     small = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(data).alias("text_key"), data.alias("data"))
     rows = written(_vertices(small, shingle), "documents")
     vertices = written(rows.where("v IS NOT NULL").groupBy("v").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"), F.min("sketch").alias("sketch")), "vertices")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")), "vertices")
     active = written(_sized(_branch(vertices.select("v", "sketch"), fresh=True)), "nodes")
     pairs = written(_propose(active, vertices), "pairs")
-    wanted = (pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v")))
-              .unionAll(active.where(F.col("n") > SMALL).select("v"))).distinct()
+    for _ in range(1, BLIND):
+        children = _branch(active.where(F.col("n") > SMALL).join(vertices.select("v", "sketch"), "v"), fresh=False)
+        active = written(_sized(children), "nodes")
+        pairs = pairs.unionAll(written(_propose(active, vertices), "pairs"))
+    # The full sets of all that may be linked, made from the texts once.
+    large = active.where(F.col("n") > SMALL)
+    wanted = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))).unionAll(large.select("v")).distinct()
     one = vertices.join(wanted, "v", "left_semi").select("v", "one.doc_id", "one.text_key")
     links = _Links(spark, written(_full_sets(small, one, shingle), "sets"), percent)
     links.add(pairs)
-    for depth in range(2, DEPTH + 1):
-        mixed = written(_sized(links.labelled(active.where(F.col("n") > SMALL).drop("n"))).drop("label", "n"), "mixed")
+    for depth in range(BLIND + 1, DEPTH + 1):
+        mixed = written(_sized(links.labelled(large.drop("n"))).drop("label"), "mixed")
         if mixed.isEmpty():
             break
         if depth == DEPTH:
-            links.add(written(_propose_blocks(_sized(links.labelled(mixed)), vertices), "pairs"))
+            links.add(written(_propose_blocks(links.labelled(mixed), vertices), "pairs"))
             break
         children = _branch(mixed.join(vertices.select("v", "sketch"), "v"), fresh=False)
         active = written(_sized(links.labelled(children)), "nodes")
         links.add(written(_propose(active, vertices), "pairs"))
-        active = active.drop("label")
+        large = active.where(F.col("n") > SMALL).drop("label")
     labelled = written(links.labelled(rows.select("doc_id", "text_key", "n_shingles", "v")), "labelled")
     reached = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     joined = labelled.join(reached, "label", "left")
