@@ -16,6 +16,8 @@ from __future__ import annotations
 
 import bisect
 import functools
+import unicodedata
+from collections.abc import Iterable
 
 import numpy as np
 from pyspark import TaskContext
@@ -44,25 +46,46 @@ class WordIds(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.endings = {e: self.encode(e) for e in ENDINGS}
+        closing = [i for piece, i in self.tokenizer.get_vocab().items() if piece.endswith("</w>")]
+        self.closes = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.closes[closing] = True
 
     def encode(self, word: bytes) -> bytes:
         return np.array(self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: bytes) -> bytes:
+    def stem(self, word: bytes) -> bytes:
+        """The word without its ending, if what is in front of that is a letter."""
         tail = word[-2:] if word[-2:] in self.endings else word[-1:]
-        if tail in self.endings and len(word) > len(tail) and 97 <= word[-len(tail) - 1] <= 122:
-            ids = self[word[:-len(tail)]] + self.endings[tail]
-        else:
-            ids = self.encode(word)
+        return word[:-len(tail)] if tail in self.endings and len(word) > len(tail) and 97 <= word[-len(tail) - 1] <= 122 else word
+
+    def learn(self, words: Iterable[bytes]) -> None:
+        """Remember new words of letters, many to a call: one is one symbol of the splitting step, whose last piece closes it."""
+        new = [w for w in {self.stem(w) for w in words if w not in self} if w not in self and len(w) <= CACHE_LENGTH]
+        new = [w for w, t in ((w, w.decode("utf-8", "replace")) for w in new)
+               if t.isalpha() and t == t.lower() and unicodedata.is_normalized("NFC", t) and t.encode() == w]
+        if len(self) + len(new) > CACHE_ENTRIES:
+            self.clear()
+        for at in range(0, len(new), 256):
+            part = new[at:at + 256]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(part):
+                self.update(zip(part, (x.tobytes() for x in np.split(ids, ends[:-1]))))
+
+    def __missing__(self, word: bytes) -> bytes:
+        stem = self.stem(word)
+        ids = self.encode(word) if stem is word else self[stem] + self.endings[word[len(stem):]]
         if len(word) <= CACHE_LENGTH:
             if len(self) >= CACHE_ENTRIES:
                 self.clear()
             self[word] = ids
         return ids
 
-    def text(self, data: bytes) -> bytes:
+    def texts(self, texts: list[bytes]) -> list[bytes]:
         # A special token is known only as it is written, so a text that may have one keeps its case.
-        return b"".join(map(self.__getitem__, (data if b"<|" in data else data.lower()).split()))
+        split = [(data if b"<|" in data else data.lower()).split() for data in texts]
+        self.learn(set().union(*split) - self.keys())
+        return [b"".join(map(self.__getitem__, words)) for words in split]
 
 
 @functools.cache
@@ -85,11 +108,11 @@ def cut_pieces(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", capacity:
         ids = word_ids(path or public_tokenizers.path(vocabulary))
         closing = np.array([end], "<u4").tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
                 rows, pieces = [], []
-                for k, value in enumerate(part.column(1)):
-                    whole = ids.text(value.as_py()) + closing
+                for k, whole in enumerate(ids.texts(part.column(1).to_pylist())):
+                    whole += closing
                     for p in range(0, len(whole), width):
                         rows.append((k, p // width))
                         pieces.append(whole[p:p + width])

@@ -96,10 +96,10 @@ def test_word_ids_equal_whole_texts(tokenizer):
     import public_tokenizers
     ids = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"))
     rng = random.Random(2)
-    odd = ["", " a  B́ ́x \x1c\x1dq <|endoftext|>a<|startoftext|> don't 'S ΑΣ ΣΑΣ", "x<|endoftext|>y", "Å가 ...,. Word!! a,b, 1,2. é, É.", "<|ENDOFTEXT|>, Word,"]
+    odd = ["", " a  B́ ́x \x1c\x1dq <|endoftext|>a<|startoftext|> don't 'S ΑΣ ΣΑΣ", "x<|endoftext|>y", "Å가 ...,. Word!! a,b, 1,2. é, É.", "<|ENDOFTEXT|>, Word,", "क़ ड़ा İx ǅ ﬁ ª ⅷ 日本, ß."]
     odd += ["".join(rng.choice(["a", "B", ",", ".", "!!", " ", "'s", "é", "É", "1", "\n", "\x85", "<|", "|>", "endoftext"]) for _ in range(30)) for _ in range(400)]
     for text in odd:
-        assert ids.text(text.encode()) == np.array(whole(tokenizer, text)[:-1], "<u4").tobytes()
+        assert ids.texts([text.encode()])[0] == np.array(whole(tokenizer, text)[:-1], "<u4").tobytes()
 
 
 def plain_best_fit(lengths, capacity):
