@@ -259,10 +259,10 @@ def _propose_blocks(active: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept, text_key`` for each row of ``docs``.
+    """``doc_id, n_shingles, component_id, kept, text_key, label`` for each row of ``docs``.
 
     ``component_id`` is the smallest id that links of at least ``percent`` of the union reach; ``kept`` marks the rows that have it.
-    ``text_key`` is ``xxhash64`` of the text's bytes.
+    ``text_key`` is ``xxhash64`` of the text's bytes. ``label`` names the component whatever its ids are, NULL without shingles.
     """
     spark = docs.sparkSession
     data = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
@@ -297,19 +297,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     reached = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     joined = labelled.join(reached, "label", "left")
     component = F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")
+    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key", "label")
 
 
 def keep_one_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, less all but one row of each component.
 
-    Of the rows with the component's id, the one with the smallest text hash stays; of rows equal in both, any one. Rows without
-    shingles stay.
+    Of the rows with the component's id, the one with the smallest text hash stays; of rows equal in both, any one. Components are
+    told apart by label, as ids may be NULL or repeated. Rows without shingles stay.
     """
-    found = near_duplicates(docs, shingle, percent, id_col, text_col).where("kept")
-    chosen = found.groupBy("component_id").agg(F.min("text_key").alias("least"))
-    lone = found.where("n_shingles = 0").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"))
-    reps = chosen.select(F.col("component_id").alias("__id"), F.col("least").alias("__key")).unionAll(lone).distinct()
-    keyed = docs.withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
+    found = near_duplicates(docs, shingle, percent, id_col, text_col).where("label IS NOT NULL")
+    one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one")
+    reps = found.groupBy("label").agg(one).select(F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("__key")).distinct()
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    lone = ~text.rlike(r"[^\x20\x09-\x0D]")
+    keyed = docs.where(~lone).withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
     kept = keyed.join(reps, keyed[id_col].eqNullSafe(reps["__id"]) & (keyed["__key"] == reps["__key"])).select(keyed["*"])
-    return kept.dropDuplicates([id_col, "__key"]).drop("__key")
+    return kept.dropDuplicates([id_col, "__key"]).drop("__key").unionAll(docs.where(lone))

@@ -86,6 +86,16 @@ def test_one_stays_of_each_group(make):
     assert Counter(r["doc_id"] for r in out.collect()) == Counter([2, 5, None, 8, 9])
 
 
+def test_one_stays_of_each_group_without_or_under_repeated_ids(make):
+    """Components are not told apart by their ids: many have none, others share one, also with an empty text."""
+    lone = [(None, " ".join(f"n{k}w{j}" for j in range(8))) for k in range(30)]
+    shared = [(7, " ".join(f"s{k}w{j}" for j in range(8))) for k in range(20)]
+    rows = lone + lone[:10] + shared + shared[:5] + [(7, ""), (7, None), (None, ""), (None, " \n")]
+    rows += [(3, lone[0][1]), (9, shared[0][1])]
+    got = Counter((r["doc_id"], r["text"]) for r in near_dup.keep_one_each(make(rows)).collect())
+    assert got == Counter([(3, lone[0][1]), *lone[1:], *shared, (7, ""), (7, None), (None, ""), (None, " \n")])
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     links = [(f"c{k:04d}".encode(), f"c{k + 1:04d}".encode()) for k in range(300)] + [(b"s0", f"s{k}".encode()) for k in range(1, 400)] + [(b"z", b"z")]
     df = spark.createDataFrame([(bytes(a), bytes(b)) for a, b in links], "a binary, b binary").repartition(8)
