@@ -4,7 +4,7 @@ Documents are read once: what is kept are the places of words that the benchmark
 length that overlap by more than a passage. Passages are windows of two steps of ``STEP`` words, one from each step. Their TF-IDF
 vectors (cubed inverse frequencies over the segments of all documents, so that rare words decide) are reduced by a distributed randomised SVD: a random projection,
 one power step (each task sums its part of A'A times the projection), and the small eigenproblem of the projected passages. The
-space is fitted on ``SAMPLE`` passages at most, chosen by hash; every passage of every document is searched in it.
+space is fitted on all passages, and every passage of every document is searched in it.
 Passages and items are compared by cosine in the latent space, each dimension divided by the root of its singular value; what passes is
 aligned with the item: the longest common subsequence of their words, and the words of the item's answer, its last part.
 
@@ -36,8 +36,6 @@ WINDOW, SEGMENT = 2 * STEP, 1024 * STEP
 RANK, SPARE, COMMON, SEED = 160, 32, 0.4, 7
 #: Share of the largest squared singular value that is added to each, and the power of the sum that a dimension is divided by.
 DAMPING, SHARPEN = 0.01, 0.25
-#: Passages that the space is fitted on, in expectation at most.
-SAMPLE = 100_000
 COSINE, EXACT, PARAPHRASE, ANSWER, TELLING, LEAST = 0.4, 0.6, 0.45, 0.75, 0.5, 6
 ITEMS = 4096
 #: Entries of the sparse matrix that a task multiplies at once.
@@ -166,19 +164,19 @@ def _sums(table: DataFrame, width: int, fn) -> dict[int, np.ndarray]:
     return dict(zip(summed.column(0).to_pylist(), values))
 
 
-def _frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int, int]:
-    """Segments that have each word, segments and passages in all."""
+def _frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """Segments that have each word, and segments in all."""
     def add(total, chunk):
-        total = np.zeros((size + 2, 1)) if total is None else total
+        total = np.zeros((size + 1, 1)) if total is None else total
         for _, words in chunk.segments:
             total[np.unique(words), 0] += 1
-        total[size:, 0] += len(chunk.rows), len(chunk.starts)
+        total[size, 0] += len(chunk.rows)
         return total
 
-    out = np.zeros(size + 2)
+    out = np.zeros(size + 1)
     for row, value in _sums(table, 1, add).items():
         out[row] = value[0]
-    return out[:size], int(out[size]), int(out[size + 1])
+    return out[:size], int(out[size])
 
 
 def latent_space(table: DataFrame, weight: np.ndarray) -> np.ndarray:
@@ -299,11 +297,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         vocabulary: dict[bytes, int] = {}
         items = [Item(i, [vocabulary.setdefault(w, len(vocabulary)) for w in words]) for i, words in block]
         table = _found_words(small, vocabulary)
-        frequency, segments, passages = _frequencies(table, len(vocabulary))
+        frequency, segments = _frequencies(table, len(vocabulary))
         weight = np.where(frequency <= max(1.0, COMMON * segments), np.log1p(segments / np.maximum(frequency, 1.0)) ** 3, 0.0).astype(np.float32)
-        share = min(1.0, SAMPLE / max(1, passages))
-        fitted = table.where(F.pmod(F.xxhash64("text_key", "first"), F.lit(1 << 30)) < int(share * (1 << 30)))
-        hits = hits.unionAll(_search(table, items, weight, latent_space(fitted, weight)))
+        hits = hits.unionAll(_search(table, items, weight, latent_space(table, weight)))
     best = F.max_by(F.struct("cosine", "aligned", "answer", "first_word", "last_word"), F.struct("aligned", "cosine", "first_word")).alias("b")
     return hits.groupBy("doc_id", "text_key", "item_id").agg(best).select("doc_id", "item_id", "b.*", "text_key")
 

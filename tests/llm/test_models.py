@@ -100,6 +100,19 @@ def test_blocks_of_items_give_the_same(spark, make, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(make(rows), benchmark).collect()} == {(n, n) for n in range(7)}
 
 
+def test_the_space_is_fitted_on_all_passages(spark, make, monkeypatch):
+    """More passages than fit a sample: the fit sees each segment that is searched."""
+    seen = []
+    fit = decontaminate.latent_space
+    monkeypatch.setattr(decontaminate, "latent_space", lambda table, weight: seen.append(table.agg({"n_words": "sum"}).first()[0]) or fit(table, weight))
+    item = " ".join(f"item{k}" for k in range(20))
+    rows = [(k, f"{item} {k} " + "x " * 100_000) for k in range(30)]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontaminate.find_leaks(make(rows), benchmark).collect()} == set(range(30))
+    # Segments overlap, so the sum is more than the words.
+    assert seen[0] >= 30 * 100_021
+
+
 def test_common_subsequence():
     item = decontaminate.Item(1, [1, 2, 3, 2, 5])
     assert decontaminate.common_subsequence(item.masks, 5, [9, 1, 3, 2, 2, 5]) == 4
