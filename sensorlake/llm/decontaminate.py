@@ -2,11 +2,11 @@
 
 Documents are read once: what is kept are the places of words that the benchmark has (no other word can match), in segments of bounded
 length that overlap by more than a passage. Passages are windows of two steps of ``STEP`` words, one from each step. Their TF-IDF
-vectors (cubed inverse frequencies over the segments of all documents, so that rare words decide) are reduced by a distributed randomised SVD: a random projection,
+vectors (inverse frequencies over the segments of distinct texts; no word has weight 0) are reduced by a distributed randomised SVD: a random projection,
 one power step (each task sums its part of A'A times the projection), and the small eigenproblem of the projected passages. The
 space is fitted on all passages, and every passage of every document is searched in it.
-Passages and items are compared by cosine in the latent space, each dimension divided by the root of its singular value; what passes is
-aligned with the item: the longest common subsequence of their words, and the words of the item's answer, its last part.
+Passages and items are compared by cosine in the latent space, each dimension divided by the root of its singular value; what passes,
+and every passage that has ``GRAM`` words of an item in a row, however many others have them too, is aligned with the item: the longest common subsequence of their words, and the words of the item's answer, its last part.
 
 A document is a hit for an item if the aligned share of the item is at least ``EXACT``, or at least ``PARAPHRASE`` with
 ``ANSWER`` of the answer's words in their order; and if the words found there have ``TELLING`` of the item's TF-IDF weight, since
@@ -27,17 +27,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import alnum_words, map_batches
+from sensorlake.llm.common import alnum_words, map_batches, mix
 from sensorlake.session import scratch_path
 
 STEP = 24
 WINDOW, SEGMENT = 2 * STEP, 1024 * STEP
-#: Latent dimensions, further ones of the projection; share of segments from which a word is too common for TF-IDF.
-RANK, SPARE, COMMON, SEED = 160, 32, 0.4, 7
+#: Latent dimensions, and further ones of the projection.
+RANK, SPARE, SEED = 160, 32, 7
 #: Share of the largest squared singular value that is added to each, and the power of the sum that a dimension is divided by.
 DAMPING, SHARPEN = 0.01, 0.25
 COSINE, EXACT, PARAPHRASE, ANSWER, TELLING, LEAST = 0.4, 0.6, 0.45, 0.75, 0.5, 6
 ITEMS = 4096
+#: Words in a row that make a passage a candidate without the latent space; at most ``LEAST``.
+GRAM = 5
 #: Entries of the sparse matrix that a task multiplies at once.
 CHUNK = 60_000
 
@@ -101,6 +103,40 @@ def _found_words(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
     return docs.sparkSession.read.parquet(path)
 
 
+class Grams:
+    """Each run of ``GRAM`` words of the items, and the items that have it."""
+
+    def __init__(self, items: list[Item]):
+        runs: dict[tuple[int, ...], list[int]] = {}
+        for i, item in enumerate(items):
+            for run in {tuple(item.words[k:k + GRAM]) for k in range(len(item.words) - GRAM + 1)}:
+                runs.setdefault(run, []).append(i)
+        keys = self._keys(np.array(list(runs), np.int64).reshape(-1, GRAM).T)
+        order = np.argsort(keys, kind="stable")
+        lists = list(runs.values())
+        self.keys, self.items = keys[order], [lists[k] for k in order.tolist()]
+
+    @staticmethod
+    def _keys(columns: np.ndarray) -> np.ndarray:
+        key = np.zeros(columns.shape[1], np.uint64)
+        for column in columns:
+            key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64) + np.uint64(1))
+        return key
+
+    def found(self, place: np.ndarray, words: np.ndarray) -> set[tuple[int, int]]:
+        """``(step, item)`` of each run in a segment, by the step that it begins in."""
+        n = len(words) - GRAM + 1
+        if n <= 0 or not len(self.keys):
+            return set()
+        begin = np.flatnonzero(place[GRAM - 1:] - place[:n] == GRAM - 1)
+        key = self._keys(np.stack([words[begin + k] for k in range(GRAM)]))
+        # Runs of equal keys are neighbours if hashes collide; all their items are candidates.
+        low, high = np.searchsorted(self.keys, key), np.searchsorted(self.keys, key, side="right")
+        hits = np.flatnonzero(high > low)
+        return {(s, i) for s, a, b in zip((place[begin[hits]] // STEP).tolist(), low[hits].tolist(), high[hits].tolist())
+                for k in range(a, b) for i in self.items[k]}
+
+
 class Chunk(NamedTuple):
     """Some segments of a batch: their rows, their ``(place, word)`` arrays, the first step of each, and the step and word of all entries."""
 
@@ -165,7 +201,7 @@ def _sums(table: DataFrame, width: int, fn) -> dict[int, np.ndarray]:
 
 
 def _frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int]:
-    """Segments that have each word, and segments in all."""
+    """Segments of distinct texts that have each word, and such segments in all."""
     def add(total, chunk):
         total = np.zeros((size + 1, 1)) if total is None else total
         for _, words in chunk.segments:
@@ -173,8 +209,11 @@ def _frequencies(table: DataFrame, size: int) -> tuple[np.ndarray, int]:
         total[size, 0] += len(chunk.rows)
         return total
 
+    # Copies shrink to one in each task before the shuffle.
+    one = F.max(F.struct("n_words", "steps", "words")).alias("one")
+    distinct = table.groupBy("text_key", "first").agg(one).select("one.*")
     out = np.zeros(size + 1)
-    for row, value in _sums(table, 1, add).items():
+    for row, value in _sums(distinct, 1, add).items():
         out[row] = value[0]
     return out[:size], int(out[size])
 
@@ -232,6 +271,7 @@ def _search(table: DataFrame, items: list[Item], weight: np.ndarray, space: np.n
     telling = [frozenset(w for w in item.words if weight[w] > 0) for item in items]
     enough = [TELLING * float(sum(weight[w] for w in t)) for t in telling]
     weights = weight.tolist()
+    grams = Grams(items)
 
     def run(batches):
         for batch in batches:
@@ -243,9 +283,15 @@ def _search(table: DataFrame, items: list[Item], weight: np.ndarray, space: np.n
                 near, which = np.nonzero(cosines >= COSINE)
                 segment = np.searchsorted(chunk.base, starts[near], side="right") - 1
                 best: dict[tuple[int, int], tuple] = {}
-                for n, i, s in zip(near.tolist(), which.tolist(), segment.tolist()):
+                candidates = {(s, int(starts[n] - chunk.base[s]), i): float(cosines[n, i]) for n, i, s in zip(near.tolist(), which.tolist(), segment.tolist())}
+                for s, (place, words) in enumerate(chunk.segments):
+                    passages = int(np.searchsorted(starts, chunk.base[s + 1]) - np.searchsorted(starts, chunk.base[s]))
+                    for step, i in grams.found(place, words):
+                        step = min(step, passages - 1)
+                        candidates.setdefault((s, step, i), float(cosines[np.searchsorted(starts, chunk.base[s] + step), i]))
+                for (s, step, i), cosine in candidates.items():
                     (place, words), item = chunk.segments[s], items[i]
-                    at = int(starts[n] - chunk.base[s]) * STEP
+                    at = step * STEP
                     # The item may begin or end in the neighbouring passages.
                     reach = max(STEP, len(item.words) - STEP)
                     low, high = np.searchsorted(place, (at - reach, at + WINDOW + reach))
@@ -258,7 +304,7 @@ def _search(table: DataFrame, items: list[Item], weight: np.ndarray, space: np.n
                     answer = common_subsequence(item.answer_masks, len(item.answer), text) / len(item.answer)
                     if aligned >= EXACT or answer >= ANSWER:
                         offset = firsts[chunk.rows[s]]
-                        best[s, i] = aligned, answer, float(cosines[n, i]), offset + int(place[low]), offset + int(place[high - 1])
+                        best[s, i] = aligned, answer, cosine, offset + int(place[low]), offset + int(place[high - 1])
                 out += [(chunk.rows[s], items[i].item_id, *found) for (s, i), found in best.items()]
             take = pa.array([r[0] for r in out], pa.int64())
             yield {"doc_id": batch.column("doc_id").take(take), "text_key": batch.column("text_key").take(take), "item_id": [r[1] for r in out],
@@ -298,7 +344,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
         items = [Item(i, [vocabulary.setdefault(w, len(vocabulary)) for w in words]) for i, words in block]
         table = _found_words(small, vocabulary)
         frequency, segments = _frequencies(table, len(vocabulary))
-        weight = np.where(frequency <= max(1.0, COMMON * segments), np.log1p(segments / np.maximum(frequency, 1.0)) ** 3, 0.0).astype(np.float32)
+        weight = np.log1p(segments / np.maximum(frequency, 1.0)).astype(np.float32)
         hits = hits.unionAll(_search(table, items, weight, latent_space(table, weight)))
     best = F.max_by(F.struct("cosine", "aligned", "answer", "first_word", "last_word"), F.struct("aligned", "cosine", "first_word")).alias("b")
     return hits.groupBy("doc_id", "text_key", "item_id").agg(best).select("doc_id", "item_id", "b.*", "text_key")

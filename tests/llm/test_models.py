@@ -113,6 +113,17 @@ def test_the_space_is_fitted_on_all_passages(spark, make, monkeypatch):
     assert seen[0] >= 30 * 100_021
 
 
+def test_leaks_that_many_documents_share(spark, make):
+    """An item in most of the texts, and one in a third of the rows next to a rare benchmark word: all copies are found."""
+    often, third = ([f"{c}{k}" for k in range(30)] for c in ("often", "third"))
+    rows = [(k, " ".join([*(f"d{k}w{j}" for j in range(10)), *(often if k % 3 else third), "scarce" if k % 3 == 0 else f"e{k}", f"d{k}end"])) for k in range(120)]
+    rows += [(k, "the same copy " + " ".join(third) + " scarce") for k in range(200, 260)]
+    rows += [(300, "plain words without any of them " * 5)]
+    benchmark = spark.createDataFrame([(1, " ".join(often)), (2, " ".join(third)), (3, "scarce benchmark words that nothing has")], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(make(rows), benchmark).collect()}
+    assert got == {(k, 1 if k % 3 else 2) for k in range(120)} | {(k, 2) for k in range(200, 260)}
+
+
 def test_common_subsequence():
     item = decontaminate.Item(1, [1, 2, 3, 2, 5])
     assert decontaminate.common_subsequence(item.masks, 5, [9, 1, 3, 2, 2, 5]) == 4
