@@ -1,7 +1,8 @@
 """Secrets in texts: three fixed shapes, and strings in a sensitive context that do not compress.
 
-The novelty of a candidate is the number of bytes it adds to a zstandard frame: the frame of the text in front of it with
-the candidate, less the frame without, both primed with a dictionary of common identifiers. A name, a word or a repeated
+Every string of key characters is a candidate if a sensitive word stands beside it on its line or on one of the ``LINES`` lines
+before, or if it is in the PEM block of a key. The novelty of a candidate is the number of bytes it adds to a zstandard frame: the frame of
+the text on both sides of it with the candidate, less the frame without, both primed with a dictionary of common identifiers. A name, a word or a repeated
 string is a back reference and adds little; a random key has to be spelled out.
 
 Spans are code points, end exclusive. NULL and empty texts have none; repeated rows are judged one by one.
@@ -10,6 +11,7 @@ Spans are code points, end exclusive. NULL and empty texts have none; repeated r
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -27,11 +29,15 @@ KINDS = ("assign", "access", "hex", "novel")
 ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 HEX = bytes(120 if chr(c) in "0123456789abcdef" else 32 for c in range(256))
 
-#: A sensitive word, at most this many characters, then a string that may be a key.
+#: Words that make their line and the next ``LINES`` lines sensitive, strings that may be keys, and PEM blocks.
 SENSITIVE_WORDS = (b"key", b"secret", b"token", b"passw", b"passphrase", b"pwd", b"credential", b"bearer", b"auth", b"private",
                    b"signature", b"session", b"cookie", b"salt", b"webhook", b"connectionstring")
-SENSITIVE = re.compile("(?:" + "|".join(w.decode() for w in SENSITIVE_WORDS) + r")[A-Za-z0-9_]*[^\r\n]{0,24}?(?<![A-Za-z0-9+/_=-])"
-                       r"([A-Za-z0-9+/_=-]{16,})", re.I | re.A)
+SENSITIVE = re.compile("|".join(w.decode() for w in SENSITIVE_WORDS), re.I | re.A)
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,64}KEY[A-Z0-9 ]{0,64})-----(.*?)(?:-----END \1-----|\Z)", re.S)
+LINE_END = re.compile(r"\r\n?|\n")
+LINES = 2
+#: Characters of code on each side that a candidate is measured against.
 CONTEXT = 256
 #: Least added bytes, absolute and as a share of the candidate's length (hexadecimal digits alone need half).
 LEAST_BYTES, LEAST_SHARE = 10, 0.45
@@ -59,9 +65,10 @@ class Novelty:
         primed.precompute_compress(level=level)
         self.frame = zstandard.ZstdCompressor(dict_data=primed, write_content_size=False, write_checksum=False)
 
-    def added(self, context: str, candidate: str) -> int:
-        front = context.encode("utf-8", "replace")
-        return len(self.frame.compress(front + candidate.encode())) - len(self.frame.compress(front))
+    def added(self, context: str, candidate: str, behind: str = "") -> int:
+        """The code behind goes first, so that a candidate can refer back to both sides."""
+        around = behind.encode("utf-8", "replace") + b"\n" + context.encode("utf-8", "replace") if behind else context.encode("utf-8", "replace")
+        return len(self.frame.compress(around + candidate.encode())) - len(self.frame.compress(around))
 
 
 def base_spans(text: str, data: bytes) -> Iterator[tuple[int, int, str]]:
@@ -77,18 +84,27 @@ def base_spans(text: str, data: bytes) -> Iterator[tuple[int, int, str]]:
 
 def novel_spans(text: str, data: bytes, novelty: Novelty, least_bytes: int = LEAST_BYTES,
                 least_share: float = LEAST_SHARE) -> Iterator[tuple[int, int, str]]:
-    """Strings behind a sensitive word that mix digits and letters and add many bytes to what stands before them."""
+    """Strings in a sensitive context that mix digits and letters and add many bytes to what stands around them."""
     low = data.translate(LOWER)
-    if not any(w in low for w in SENSITIVE_WORDS):
+    if not any(w in low for w in SENSITIVE_WORDS) and b"-----BEGIN " not in data:
         return
-    seen = set()
-    for m in SENSITIVE.finditer(text):
-        start, end = m.span(1)
-        found = m.group(1)
-        if start in seen or not (any(c.isdigit() for c in found) and any(c.isalpha() for c in found)):
+    words = [m.start() for m in SENSITIVE.finditer(text)]
+    blocks = [m.span(2) for m in PEM.finditer(text)]
+    breaks = [m.end() for m in LINE_END.finditer(text)]
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        found = m.group()
+        if not (any(c.isdigit() for c in found) and any(c.isalpha() for c in found)):
             continue
-        seen.add(start)
-        if novelty.added(text[max(0, start - CONTEXT):start], found) >= max(least_bytes, least_share * len(found)):
+        line = bisect_right(breaks, start)
+        low, high = breaks[line - 1 - LINES] if line > LINES else 0, breaks[line] if line < len(breaks) else len(text)
+        # A word within the string is beside it only as a name in front of an equals sign.
+        front, behind = bisect_left(words, low), bisect_left(words, end)
+        beside = front < len(words) and words[front] < start + max(0, found.rstrip("=").rfind("=")) or behind < len(words) and words[behind] < high
+        block = bisect_right(blocks, (start, len(text))) - 1
+        if not (beside or block >= 0 and end <= blocks[block][1]):
+            continue
+        if novelty.added(text[max(0, start - CONTEXT):start], found, text[end:end + CONTEXT]) >= max(least_bytes, least_share * len(found)):
             yield start, end, "novel"
 
 
