@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, decontaminate, license_scan, near_dup, packing, quality, repeats, secrets, suffix_tree_lm
+from sensorlake.llm import bpe_count, chat, decontaminate, license_scan, near_dup, packing, periodic_runs, quality, repeats, secrets, suffix_tree_lm
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,31 @@ def op10_secret_scan(spark, folder):
 
     return found.select("doc_id", *map(count, ("assign", "access", "hex")),
                         F.sha2(listed(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+def with_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``: with h the crc32 of the id and g = h // 10, the words of a text with h % 10 = 0 repeat from word a = g % n on with
+    period 1 + (n - a) // (3 + g % 8). Other texts, and those without id or words, stay."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words):
+        n = F.size(words)
+        a = g % n
+        period = 1 + F.floor((n - a) / (3 + g % 8))
+        again = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % period).cast("int")))
+        return F.when(n > 0, F.array_join(again, " "))
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    changed = F.transform(F.array(words), repeated)[0]
+    return docs.select("doc_id", F.when(h % 10 == 0, F.coalesce(changed, F.col("text"))).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs")
+def op11_periodic_runs(spark, folder):
+    found = periodic_runs.periodic_runs(with_periods(table(spark, folder, "documents")))
+    line = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+                        F.sha2("collapsed", 256).alias("collapsed_sha256"))
