@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, decontaminate, license_scan, near_dup, packing, periodic_runs, quality, repeats, secrets, suffix_tree_lm
+from sensorlake.llm import bpe_count, chat, decontaminate, fingerprints, license_scan, near_dup, packing, periodic_runs, quality, repeats, secrets, suffix_tree_lm
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,8 @@ def op11_periodic_runs(spark, folder):
                         F.expr("1000 * best.length div best.period").alias("exponent_milli"),
                         F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
                         F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+@query("op12_fingerprints")
+def op12_fingerprints(spark, folder):
+    return fingerprints.splice_likeness(table(spark, folder, "documents"))
