@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorlake.llm import bpe_count, chat, decontaminate, fingerprints, license_scan, near_dup, packing, periodic_runs, quality, repeats, secrets, suffix_tree_lm
+from sensorlake.llm import bpe_count, chat, collocations, decontaminate, fingerprints, license_scan, near_dup, packing, periodic_runs, quality, repeats, secrets, suffix_tree_lm
 from sensorlake.session import require_utc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -171,3 +171,39 @@ def op11_periodic_runs(spark, folder):
 @query("op12_fingerprints")
 def op12_fingerprints(spark, folder):
     return fingerprints.splice_likeness(table(spark, folder, "documents"))
+
+
+COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+ones AS (SELECT lang, p, count(*) AS a FROM (SELECT lang, unnest(w) AS p FROM words) GROUP BY lang, p),
+twos AS (
+  SELECT lang, p, count(*) AS a FROM (SELECT lang, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) AS p FROM words)
+  GROUP BY lang, p HAVING count(*) >= 10),
+threes AS (
+  SELECT lang, p, count(*) AS a FROM (SELECT lang, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) AS p FROM words)
+  GROUP BY lang, p HAVING count(*) >= 10),
+cuts AS (
+  SELECT t.lang, t.p, t.a, 1 AS cut, x.a AS l, y.a AS r FROM twos t JOIN ones x ON x.lang = t.lang AND x.p = t.p[1] JOIN ones y ON y.lang = t.lang AND y.p = t.p[2]
+  UNION ALL
+  SELECT t.lang, t.p, t.a, 1, x.a, y.a FROM threes t JOIN ones x ON x.lang = t.lang AND x.p = t.p[1] JOIN twos y ON y.lang = t.lang AND y.p = t.p[2:3]
+  UNION ALL
+  SELECT t.lang, t.p, t.a, 2, x.a, y.a FROM threes t JOIN twos x ON x.lang = t.lang AND x.p = t.p[1:2] JOIN ones y ON y.lang = t.lang AND y.p = t.p[3]),
+scored AS (SELECT *, CAST(CAST(1000000 AS HUGEINT) * a * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+covered AS (
+  SELECT lang, p, max(a) AS longer FROM (SELECT lang, p[1:2] AS p, a FROM threes UNION ALL SELECT lang, p[2:3], a FROM threes) GROUP BY lang, p),
+kept AS (
+  SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score
+  FROM lowest LEFT JOIN covered USING (lang, p) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query("op13_collocations", COLLOCATION_SQL)
+def op13_collocations(spark, folder):
+    return collocations.mine_collocations(table(spark, folder, "documents"))
