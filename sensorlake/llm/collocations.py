@@ -40,7 +40,9 @@ from sensorlake.llm.common import LOWER, map_batches, mix
 from sensorlake.session import written
 
 LEAST, LIMIT, COVERED_PERCENT = 10, 2000, 50
-BLOCK = 1 << 22
+BLOCK = 1 << 21
+#: Rows of counts that a task hands over at once.
+ROWS = 1 << 16
 FILTER_BITS, PROBES = 1 << 26, 3
 #: Parts of a language that are ranked apart before the whole, and how much deeper each superstep goes.
 SPREAD, DEEPER = 64, 4
@@ -151,6 +153,12 @@ def _blocks(batch: pa.RecordBatch):
         yield texts, langs
 
 
+def _slices(columns: dict):
+    """The columns in batches of ``ROWS`` rows."""
+    for at in range(0, len(columns["n"]), ROWS):
+        yield {name: values[at:at + ROWS] for name, values in columns.items()}
+
+
 def _summed(counted: DataFrame, words: list[str]) -> DataFrame:
     return counted.groupBy("lang", *words).agg(F.sum("n").alias("n"))
 
@@ -161,7 +169,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for texts, langs in _blocks(batch):
                 found = read_words(texts, langs)
-                yield {"lang": found.langs, "w1": found.names, "n": np.bincount(found.symbols, minlength=len(found.names))}
+                yield from _slices({"lang": found.langs, "w1": found.names, "n": np.bincount(found.symbols, minlength=len(found.names))})
 
     return _summed(map_batches(docs, "lang string, w1 string, n long", run), ["w1"])
 
@@ -176,7 +184,7 @@ def count_pairs(docs: DataFrame, usual) -> DataFrame:
                 both = np.flatnonzero(known[:-1] & known[1:] & (found.piece[:-1] == found.piece[1:]))
                 key, n = np.unique(found.symbols[both] * len(found.names) + found.symbols[both + 1], return_counts=True)
                 first, second = map(pa.array, np.divmod(key, max(1, len(found.names))))
-                yield {"lang": found.langs.take(first), "w1": found.names.take(first), "w2": found.names.take(second), "n": n}
+                yield from _slices({"lang": found.langs.take(first), "w1": found.names.take(first), "w2": found.names.take(second), "n": n})
 
     return _summed(map_batches(docs, "lang string, w1 string, w2 string, n long", run), ["w1", "w2"])
 
@@ -219,7 +227,7 @@ def count_triples(docs: DataFrame, usual, frequent, frontier, earlier: list) ->
                 triple, n = np.unique(first[wanted] * width + found.symbols[place[chain[wanted]] + 2], return_counts=True)
                 pairs, third = np.divmod(triple, width)
                 one, two = map(pa.array, np.divmod(key[pairs], width))
-                yield {"lang": found.langs.take(one), "w1": found.names.take(one), "w2": found.names.take(two), "w3": found.names.take(pa.array(third)), "n": n}
+                yield from _slices({"lang": found.langs.take(one), "w1": found.names.take(one), "w2": found.names.take(two), "w3": found.names.take(pa.array(third)), "n": n})
 
     return _summed(map_batches(docs, "lang string, w1 string, w2 string, w3 string, n long", run), ["w1", "w2", "w3"])
 
