@@ -21,7 +21,7 @@ import base64
 import hashlib
 import numpy as np
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorlake.llm.common import id_and_bytes, map_batches, mix
@@ -172,7 +172,10 @@ class Digest:
         return cls(np.packbits(bits, axis=1), n)
 
     def __str__(self) -> str:
-        return f"{self.n}:{base64.b64encode(self.filters.tobytes()).decode()}" if self.n else "0:"
+        return f"{self.n}:{base64.b64encode(bytes(self)).decode()}"
+
+    def __bytes__(self) -> bytes:
+        return self.filters.tobytes()
 
     @classmethod
     def parse(cls, text: str) -> Digest:
@@ -239,7 +242,7 @@ def spliced(text: str, other: str) -> str:
 
 #: Rows of ``_with_next``: ready, the first of a partition (its next text is in another one), and the last text of a partition.
 READY, FIRST, LAST = 0, 1, 2
-_FIGURES = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_FIGURES = "n_chars long, edited_sha256 binary, n_own long, own binary, n_edited long, edited binary, near_edited double, near_next double"
 _NAMES = [f.split()[0] for f in _FIGURES.split(", ")]
 
 
@@ -247,8 +250,9 @@ def _compare(texts: list[str], following: list[str], own: list[Digest], nexts: l
     """Figures of texts and the ones that follow them, with the fingerprints of both."""
     edited = [spliced(t, o).encode() for t, o in zip(texts, following)]
     changed = digests(edited)
-    return dict(zip(_NAMES, ([len(t) for t in texts], [hashlib.sha256(e).hexdigest() for e in edited], [str(d) for d in own], [str(d) for d in changed],
-                             [likeness(a, b) for a, b in zip(own, changed)], [likeness(a, b) for a, b in zip(own, nexts)])))
+    return dict(zip(_NAMES, ([len(t) for t in texts], [hashlib.sha256(e).digest() for e in edited], [d.n for d in own], [bytes(d) for d in own],
+                             [d.n for d in changed], [bytes(d) for d in changed], [likeness(a, b) for a, b in zip(own, changed)],
+                             [likeness(a, b) for a, b in zip(own, nexts)])))
 
 
 def _with_next(ordered: DataFrame, kind: str) -> DataFrame:
@@ -301,4 +305,11 @@ def splice_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield {"doc_id": batch.column(0)} | _compare(texts, following, both[:len(texts)], both[len(texts):])
 
     met = map_batches(first.join(last, "other").select("doc_id", "text", "following"), f"doc_id {kind}, {_FIGURES}", run)
-    return found.where(F.col("role") == READY).select("doc_id", *_NAMES).unionByName(met)
+    every = found.where(F.col("role") == READY).select("doc_id", *_NAMES).unionByName(met)
+
+    def text_form(n: str, filters: str) -> Column:
+        # Some settings break base64 into lines.
+        return F.concat(F.col(n).cast("string"), F.lit(":"), F.translate(F.base64(filters), "\r\n", ""))
+
+    return every.select("doc_id", "n_chars", F.lower(F.hex("edited_sha256")).alias("edited_sha256"), text_form("n_own", "own").alias("fingerprint"),
+                        text_form("n_edited", "edited").alias("edited_fingerprint"), "near_edited", "near_next")
