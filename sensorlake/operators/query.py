@@ -6,6 +6,7 @@ All of them take one long table of observations for any number of streams; group
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,23 +15,27 @@ from sensorlake.functions.buckets import bucket_start
 from sensorlake.functions.flags import qa_predicate
 from sensorlake.functions.numbers import short_precision
 from sensorlake.functions.timezones import epoch_to_local
+from sensorlake.sources.store import Layout
 
 OPEN_INTERVALS = (None, "start", "end", "both")
 SIMPLE_METHODS = ("mean", "sum", "count", "stddev", "variance")
 PICK_METHODS = ("min", "max", "min_max")
 
 
-def select_datastreams(observations: DataFrame, registry: DataFrame, **lookup) -> DataFrame:
-    """Observations of the registered streams that match ``lookup`` (all of them without one).
-
-    A lookup that matches no stream is an error, as an unknown id is.
-    """
+def find_datastreams(registry: DataFrame, **lookup) -> DataFrame:
+    """Registered streams that match ``lookup`` (all of them without one). A lookup that matches no stream is an error, as an
+    unknown id is."""
     wanted = registry
     for column, value in lookup.items():
         wanted = wanted.filter(F.col(column) == value)
     if lookup and wanted.isEmpty():
         raise LookupError(f"no datastream with {lookup}")
-    return observations.join(wanted.select("datastream_id", "datastream_tablename"), "datastream_id")
+    return wanted
+
+
+def select_datastreams(observations: DataFrame, registry: DataFrame, **lookup) -> DataFrame:
+    """Observations of the registered streams that match ``lookup``."""
+    return observations.join(find_datastreams(registry, **lookup).select("datastream_id", "datastream_tablename"), "datastream_id")
 
 
 def with_local_time(observations: DataFrame, tz: str = "UTC") -> DataFrame:
@@ -56,6 +61,26 @@ def _bound(date, datetime_, name: str, end: bool) -> dt.datetime | None:
     return dt.datetime.combine(_day(date), dt.time(23, 59, 59, 999999) if end else dt.time())
 
 
+def epoch_bounds(start_date=None, end_date=None, start_datetime=None, end_datetime=None) -> tuple[int | None, int | None]:
+    """Epochs that enclose a range of local time in any zone: a day wider on both sides."""
+    start, end, epoch0 = _bound(start_date, start_datetime, "start", end=False), _bound(end_date, end_datetime, "end", end=True), dt.datetime(1970, 1, 1)
+    return (None if start is None else int((start - epoch0).total_seconds()) - 86400,
+            None if end is None else int((end - epoch0).total_seconds()) + 86401)
+
+
+def cells_of(layout: Layout, wanted: DataFrame | None, start: int | None, end: int | None) -> Column | None:
+    """Condition on the cell columns of a stored table that holds all readings of the ``wanted`` streams from epoch ``start`` to ``end``; None
+    if every cell may. At most one number per bucket reaches the driver."""
+    conditions = []
+    if wanted is not None and "bucket" in layout.cells:
+        buckets = wanted.select(layout.cell_columns()["bucket"].alias("bucket")).distinct().collect()
+        conditions.append(F.col("bucket").isin([r["bucket"] for r in buckets]))
+    if "year" in layout.cells:
+        conditions += [F.col("year") >= dt.datetime.fromtimestamp(start, dt.UTC).year] if start is not None else []
+        conditions += [F.col("year") <= dt.datetime.fromtimestamp(end, dt.UTC).year] if end is not None else []
+    return reduce(Column.__and__, conditions) if conditions else None
+
+
 def between(df: DataFrame, start_date=None, end_date=None, start_datetime=None, end_datetime=None,
             open_interval: str | None = None) -> DataFrame:
     """Keep rows whose local time lies in the range; a date as end means the whole day.
@@ -66,15 +91,15 @@ def between(df: DataFrame, start_date=None, end_date=None, start_datetime=None,
         raise ValueError(f"open_interval must be one of {OPEN_INTERVALS}")
     start = _bound(start_date, start_datetime, "start", end=False)
     end = _bound(end_date, end_datetime, "end", end=True)
-    epoch0 = dt.datetime(1970, 1, 1)
+    first, last = epoch_bounds(start_date, end_date, start_datetime, end_datetime)
     local = F.col("datetime_local")
     if start is not None:
         bound = F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz")
-        df = df.filter(F.col("utc_time") >= int((start - epoch0).total_seconds()) - 86400)
+        df = df.filter(F.col("utc_time") >= first)
         df = df.filter(local > bound if open_interval in ("start", "both") else local >= bound)
     if end is not None:
         bound = F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz")
-        df = df.filter(F.col("utc_time") <= int((end - epoch0).total_seconds()) + 86401)
+        df = df.filter(F.col("utc_time") <= last)
         df = df.filter(local < bound if open_interval in ("end", "both") else local <= bound)
     return df
 

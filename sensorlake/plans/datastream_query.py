@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sensorlake.operators import query as q
+from sensorlake.sources import store
 
 
 def datastream_data(observations: DataFrame, *, tz: str = "UTC", start_date=None, end_date=None,
@@ -31,3 +32,16 @@ def datastream_data(observations: DataFrame, *, tz: str = "UTC", start_date=None
     if ordered:
         df = df.orderBy("datastream_id", F.col(df.columns[1]))
     return df
+
+
+def stored_data(spark: SparkSession, layout: store.Layout, registry: DataFrame, lookup: dict, version: int | None = None, **options) -> DataFrame:
+    """``datastream_data`` over a stored table, for the registered streams that match ``lookup`` (all of them if it is empty).
+
+    Streams and the range of local time become buckets and years, and only cells of those are listed and read. A lookup that matches
+    no stream is an error.
+    """
+    wanted = q.find_datastreams(registry, **lookup).select("datastream_id") if lookup else None
+    limits = {k: options.get(k) for k in ("start_date", "end_date", "start_datetime", "end_datetime")}
+    where = q.cells_of(layout, wanted, *q.epoch_bounds(**limits))
+    rows = store.read(spark, layout, version, where)
+    return datastream_data(rows if wanted is None else rows.join(wanted, "datastream_id", "left_semi"), **options)

@@ -1,15 +1,38 @@
-"""Versioned parquet tables: every write is a new ``version=N`` folder, readers take the newest complete one."""
+"""Versioned parquet tables: every write is a new folder, readers take the newest complete one."""
 
 from __future__ import annotations
 
+import json
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Times a writer takes the next number after another one was faster.
+ATTEMPTS = 100
+
+
+def claim(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file unless there is one; of writers that try at once, the file system lets one through."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = fs.create(target, False)
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    out.write(bytearray(f"{text}\n", "utf-8"))
+    out.close()
+    return True
+
+
 def _marks(spark: SparkSession, path: str) -> DataFrame | None:
     try:
-        return spark.read.schema("version bigint").json(f"{path}/_versions")
+        return spark.read.schema("version bigint, folder string").json(f"{path}/_versions")
     except AnalysisException:
         return None
 
@@ -26,17 +49,23 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 def read(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
     """One version of the table, the newest by default."""
-    return spark.read.parquet(f"{path}/version={version or latest(spark, path)}")
+    marks, version = _marks(spark, path), version or latest(spark, path)
+    row = marks.filter(F.col("version") == version).first() if marks is not None else None
+    if row is None:
+        raise ValueError(f"no version {version} of {path}")
+    return spark.read.parquet(f"{path}/{row['folder']}")
 
 
 def write(df: DataFrame, path: str, partition_by: list[str] | None = None) -> int:
-    """Write the next version; an interrupted write leaves no mark and is overwritten by the next try."""
-    spark = df.sparkSession
-    version = latest(spark, path) + 1
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(f"{path}/version={version}")
-    spark.range(1).select(F.lit(version).alias("version")).coalesce(1).write.mode("append").json(f"{path}/_versions")
-    return version
+    """Write the next version. Each try has a folder of its own, and its number is claimed when the data is there: an interrupted write leaves no
+    mark, and of two writers the later one takes the number after."""
+    spark, folder = df.sparkSession, f"v{uuid.uuid4().hex}"
+    (df.write.partitionBy(*partition_by) if partition_by else df.write).parquet(f"{path}/{folder}")
+    for _ in range(ATTEMPTS):
+        version = latest(spark, path) + 1
+        if claim(spark, f"{path}/_versions/{version:020d}.json", json.dumps({"version": version, "folder": folder})):
+            return version
+    raise RuntimeError(f"other writers to {path} were faster {ATTEMPTS} times")
 
 
 def write_observations(df: DataFrame, path: str, buckets: int = 64) -> None:

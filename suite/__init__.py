@@ -6,7 +6,7 @@ from the same tables with some rows missing or changed, so that there is somethi
 
 import importlib
 
-MODULES = ("datastreams", "statistics", "processing", "ingest", "metadata", "laboratory", "stores")
+MODULES = ("datastreams", "statistics", "processing", "ingest", "metadata", "laboratory", "stores", "stored")
 
 for _module in MODULES:
     importlib.import_module(f"suite.{_module}")
