@@ -82,12 +82,19 @@ def high_water(observations: DataFrame) -> DataFrame:
     return observations.groupBy("datastream_id").agg(F.max("utc_time").alias("last_time"))
 
 
-def materialize(raw: DataFrame, observations: DataFrame) -> DataFrame:
+def materialize(raw: DataFrame, observations: DataFrame | None = None, marks: DataFrame | None = None) -> DataFrame:
     """Rows of ``raw`` later than the newest stored time of their stream (0 when nothing is stored).
 
-    The high-water table has one row per stream; while it is small the raw rows are not shuffled.
+    The newest times are the ``marks`` of a stored table (``datastream_id, last``), which no load has to scan the table for, or else come
+    from ``observations``; without both, all rows are new. One row per stream: while they are small the raw rows are not shuffled.
     """
-    return (raw.join(small_side(high_water(observations)), "datastream_id", "left")
+    if marks is not None:
+        newest = marks.select("datastream_id", F.col("last").alias("last_time"))
+    elif observations is not None:
+        newest = small_side(high_water(observations))
+    else:
+        return raw
+    return (raw.join(newest, "datastream_id", "left")
             .filter(F.col("utc_time") > F.coalesce("last_time", F.lit(0)))
             .drop("last_time"))
 

@@ -30,35 +30,52 @@ def ancestor_sums(nodes: DataFrame) -> DataFrame:
     return current.select("id", F.when(~cyclic, F.col("total")).alias("total"), cyclic.alias("cyclic"))
 
 
+#: Levels of a document that are parsed in one go.
+LEVELS = 4
+
+
 def _document_type(fields: str, children: str, depth: int) -> str:
     """JSON schema of a node with ``depth`` levels below it; deeper children stay raw text."""
     below = "string" if depth == 0 else f"array<{_document_type(fields, children, depth - 1)}>"
     return f"struct<{fields},{children}:{below}>"
 
 
-def explode_documents(docs: DataFrame, body: str, fields: str, children: str, key: str, max_depth: int = 12) -> DataFrame:
-    """Nested JSON documents to one row per node: ``depth, parent_key`` and the node's ``fields``.
-
-    Each document is parsed once with a schema of ``max_depth`` levels, and its levels are unrolled inside the row
-    with array functions, so there is no shuffle. A deeper document is an error, never cut.
-    """
+def _explode_levels(frontier: DataFrame, fields: str, children: str, key: str, levels: int) -> DataFrame:
+    """Rows of the first levels of raw nodes (``depth, parent_key, raw``: an array as text), the lowest with their raw children in ``_rest``.
+    The levels are unrolled inside the row with array functions, so there is no shuffle."""
     names = [part.split(":", 1)[0] for part in split_fields(fields)]
-    row = docs.select(F.from_json(body, _document_type(fields, children, max_depth), {"mode": "FAILFAST"}).alias("root"))
-    row = row.select(F.array(F.struct(F.lit(None).cast("string").alias("parent_key"), F.col("root").alias("node"))).alias("level0"))
-    for depth in range(1, max_depth + 1):
-        pairs = F.transform(f"level{depth - 1}", lambda p: F.transform(
-            p["node"][children], lambda c: F.struct(p["node"][key].alias("parent_key"), c.alias("node"))))
-        row = row.withColumn(f"level{depth}", F.flatten(F.filter(pairs, lambda x: x.isNotNull())))
+    kind = f"array<{_document_type(fields, children, levels - 1)}>"
+    row = frontier.select("depth", "parent_key", F.from_json("raw", kind, {"mode": "FAILFAST"}).alias("nodes"))
+    row = row.selectExpr("depth", "transform(nodes, n -> named_struct('parent_key', parent_key, 'node', n)) AS level0")
+    for depth in range(1, levels):
+        row = row.selectExpr("*", f"""flatten(filter(transform(level{depth - 1}, p -> transform(p.node.`{children}`,
+            c -> named_struct('parent_key', p.node.`{key}`, 'node', c))), x -> x IS NOT NULL)) AS level{depth}""")
 
-    def shaped(depth: int) -> Column:
-        return F.transform(f"level{depth}", lambda p: F.struct(
-            F.lit(depth).alias("depth"), p["parent_key"].alias("parent_key"), *[p["node"][n].alias(n) for n in names]))
+    def shaped(depth: int) -> str:
+        rest = f"nullif(p.node.`{children}`, '[]')" if depth == levels - 1 else "CAST(NULL AS STRING)"
+        own = "".join(f"'{n}', p.node.`{n}`, " for n in names)
+        return f"transform(level{depth}, p -> named_struct('depth', depth + {depth}, 'parent_key', p.parent_key, {own}'_rest', {rest}))"
 
-    rest = F.exists(f"level{max_depth}", lambda p: p["node"][children].isNotNull() & (p["node"][children] != "[]"))
-    too_deep = F.raise_error(F.lit(f"tree deeper than {max_depth} levels"))
-    # The check sits inside the exploded value: as a filter it would be pushed down and parse every document twice.
-    everything = F.when(rest, too_deep).otherwise(F.concat(*[shaped(d) for d in range(max_depth + 1)]))
-    return row.select(F.explode(everything).alias("n")).select("n.*")
+    return row.selectExpr(f"explode(concat({', '.join(map(shaped, range(levels)))})) AS n").select("n.*")
+
+
+def explode_documents(docs: DataFrame, body: str, fields: str, children: str, key: str, max_depth: int | None = None, levels: int = LEVELS) -> DataFrame:
+    """Nested JSON documents of any depth to one row per node: ``depth, parent_key`` and the node's ``fields``.
+
+    Documents are parsed ``levels`` deep; what lies below stays text, and is what the next round parses, until nothing is left. Each round
+    is written, so a node is parsed by one round only. With ``max_depth`` a deeper document is an error, never cut.
+    """
+    frontier = docs.select(F.lit(0).alias("depth"), F.lit(None).cast("string").alias("parent_key"), F.concat(F.lit("["), body, F.lit("]")).alias("raw"))
+    done, parsed = None, 0
+    while done is None or not frontier.isEmpty():
+        if max_depth is not None and parsed > max_depth:
+            raise ValueError(f"tree deeper than {max_depth} levels")
+        step = levels if max_depth is None else min(levels, max_depth + 1 - parsed)
+        rows = written(_explode_levels(frontier, fields, children, key, step), "nodes")
+        done = rows.drop("_rest") if done is None else done.unionByName(rows.drop("_rest"))
+        frontier = rows.filter("_rest IS NOT NULL").select((F.col("depth") + 1).alias("depth"), F.col(key).alias("parent_key"), F.col("_rest").alias("raw"))
+        parsed += step
+    return done
 
 
 FEATURE_FIELDS = (
@@ -66,24 +83,28 @@ FEATURE_FIELDS = (
     "sampling_feature_description:string,sampling_feature_geotype_cv:string,feature_geometry_wkt:string,elevation_m:double,"
     "elevation_datum_cv:string,epsg:int,latitude:double,longitude:double,"
     "relation_to_parent:string,sampling_feature_alias:array<struct<alias:string,alias_category:string,display_priority:int>>,"
-    "extension_properties:array<struct<property_name:string,property_value:string>>")
+    "extension_properties:array<struct<property_name:string,property_value:string>>,"
+    "related_features:array<struct<relation_to_related_feature:string,related_feature_id:bigint>>")
 
 
-def flatten_feature_tree(docs: DataFrame, body: str, max_depth: int = 12) -> dict[str, DataFrame]:
-    """Site documents to ``nodes``, ``edges``, ``aliases`` and ``properties``; ids are hashes of the uuid.
+def flatten_feature_tree(docs: DataFrame, body: str, max_depth: int | None = None) -> dict[str, DataFrame]:
+    """Site documents to ``nodes``, ``edges``, ``related``, ``aliases`` and ``properties``; ids are hashes of the uuid.
 
-    The documents are parsed once, into a table that the outputs read. A child without ``relation_to_parent`` is an error.
+    The documents are parsed once, into tables that the outputs read. A child without ``relation_to_parent`` is an error. ``related`` are the
+    relations to other features that a document names by id, whether they are in its tree or not.
     """
-    rows = written(explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth), "features")
-    nodes = rows.drop("parent_key", "sampling_feature_alias", "extension_properties").withColumn(
+    rows = explode_documents(docs, body, FEATURE_FIELDS, "child_sampling_features", "sampling_feature_code", max_depth)
+    nodes = rows.drop("parent_key", "sampling_feature_alias", "extension_properties", "related_features").withColumn(
         "sampling_feature_id", F.xxhash64("sampling_feature_uuid"))
     missing = F.raise_error(F.concat(F.lit("no relation_to_parent for "), F.col("sampling_feature_code"))).cast("string")
     edges = rows.filter("parent_key IS NOT NULL").select(
         "sampling_feature_code", F.coalesce("relation_to_parent", missing).alias("relationship_type_cv"),
         F.col("parent_key").alias("related_feature_code"))
+    related = rows.select("sampling_feature_code", F.explode("related_features").alias("r")).select(
+        "sampling_feature_code", F.col("r.relation_to_related_feature").alias("relationship_type_cv"), "r.related_feature_id").distinct()
     aliases = rows.select("sampling_feature_code", F.explode("sampling_feature_alias").alias("a")).select("sampling_feature_code", "a.*")
     properties = rows.select("sampling_feature_code", F.explode("extension_properties").alias("p")).select("sampling_feature_code", "p.*")
-    return {"nodes": nodes, "edges": edges, "aliases": aliases, "properties": properties}
+    return {"nodes": nodes, "edges": edges, "related": related, "aliases": aliases, "properties": properties}
 
 
 def check_feature_tree(nodes: DataFrame) -> DataFrame:
@@ -101,39 +122,46 @@ def check_feature_tree(nodes: DataFrame) -> DataFrame:
 
 EQUIPMENT_FIELDS = (
     "equipment_uuid:string,equipment_code:string,equipment_name:string,equipment_serial_number:string,equipment_vendor:string,"
-    "equipment_description:string,equipment_owner_first_name:string,equipment_owner_last_name:string,position_start_date_utc:bigint,position_end_date_utc:bigint,"
+    "equipment_description:string,equipment_owner_first_name:string,equipment_owner_last_name:string,equipment_owner_role:string,"
+    "equipment_purchase_date:string,equipment_purchase_order_number:string,equipment_documentation_link:string,"
+    "position_start_date_utc:bigint,position_end_date_utc:bigint,"
     "relationship_start_date_time_utc:bigint,relationship_end_date_time_utc:bigint,equipment_z_offset_m:double,"
     "equipment_ns_offset_m:double,equipment_ew_offset_m:double,equipment_height_note:string")
 
 
 def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organizations: DataFrame, persons: DataFrame,
-                           max_depth: int = 12) -> dict[str, DataFrame]:
-    """Equipment documents to ``equipment``, ``positions`` and ``edges``.
+                           max_depth: int | None = None) -> dict[str, DataFrame]:
+    """Equipment documents to ``equipment``, ``positions``, ``owners`` and ``edges``.
 
     The model is found by part number (an error when absent), the vendor by code with ``unknown`` as fallback, the
-    owner by name (an error when a name is given that is not known). Positions are keyed by equipment and start; children are attached to their parent.
+    owner by name (an error when a name is given that is not known). Positions are keyed by equipment and start, owners by equipment and
+    person; children are attached to their parent.
     """
-    rows = written(explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth), "equipment")
+    rows = explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth)
     ided = rows.withColumns({"equipment_id": F.xxhash64("equipment_uuid"), "parent_id": F.when(
         F.col("parent_key").isNotNull(), F.xxhash64("parent_key"))})
-    unknown = F.lit("unknown")
-    owners = persons.withColumn("_name", F.concat_ws(" ", "person_first_name", "person_last_name"))
-    equipment = ided.withColumns({"_vendor": F.coalesce("equipment_vendor", unknown), "_unknown": unknown,
-                                  "_owner": F.concat_ws(" ", "equipment_owner_first_name", "equipment_owner_last_name")})
+    # One id for all rows without a known vendor: looked up once, not joined.
+    unknown = organizations.filter(F.col("organization_code") == "unknown").agg(F.min("organization_id").alias("organization_id")).scalar()
+    names = persons.withColumn("_name", F.concat_ws(" ", "person_first_name", "person_last_name"))
+    equipment = ided.withColumn("_owner", F.concat_ws(" ", "equipment_owner_first_name", "equipment_owner_last_name"))
     equipment = resolve_ids(equipment, models, [("equipment_code", "equipment_model_part_number")], "equipment_model_id",
                             "equipment_model_id", required=True)
-    equipment = resolve_ids(equipment, organizations, [("_vendor", "organization_code"), ("_unknown", "organization_code")],
-                            "organization_id", "equipment_vendor_id")
-    equipment = resolve_ids(equipment, owners, [("_owner", "_name")], "person_id", "equipment_owner_id")
+    equipment = resolve_ids(equipment, organizations, [("equipment_vendor", "organization_code")], "organization_id", "_vendor_id")
+    equipment = resolve_ids(equipment, names, [("_owner", "_name")], "person_id", "equipment_owner_id")
     stranger = (F.col("_owner") != "") & F.col("equipment_owner_id").isNull()
-    equipment = equipment.withColumn("equipment_owner_id", F.when(stranger, F.raise_error(F.concat(
-        F.lit("no person_id for "), F.col("_owner"))).cast("bigint")).otherwise(F.col("equipment_owner_id")))
+    equipment = equipment.withColumns({
+        "equipment_vendor_id": F.coalesce(F.col("_vendor_id"), unknown),
+        "equipment_owner_id": F.when(stranger, F.raise_error(F.concat(F.lit("no person_id for "), F.col("_owner"))).cast("bigint")).otherwise(
+            F.col("equipment_owner_id"))})
     return {
-        "equipment": equipment.select("equipment_id", "equipment_uuid", "equipment_code", "equipment_name",
-                                      "equipment_serial_number", "equipment_description", "equipment_model_id", "equipment_vendor_id", "equipment_owner_id"),
+        "equipment": equipment.select(
+            "equipment_id", "equipment_uuid", "equipment_code", "equipment_name", "equipment_serial_number", "equipment_description", "equipment_model_id",
+            "equipment_vendor_id", "equipment_owner_id", "equipment_purchase_date", "equipment_purchase_order_number", "equipment_documentation_link"),
         "positions": ided.select("equipment_id", "position_start_date_utc", "position_end_date_utc",
                                  F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("equipment_z_offset_m"), "equipment_ns_offset_m",
                                  "equipment_ew_offset_m", "equipment_height_note").distinct(),
+        "owners": equipment.filter("equipment_owner_id IS NOT NULL").select(
+            "equipment_id", F.col("equipment_owner_id").alias("person_id"), F.col("equipment_owner_role").alias("person_role_cv")).distinct(),
         "edges": ided.filter("parent_id IS NOT NULL").select(
             "equipment_id", F.lit("isAttachedTo").alias("relationship_type_cv"), F.col("parent_id").alias("related_equipment_id"),
             "relationship_start_date_time_utc", "relationship_end_date_time_utc"),

@@ -1,12 +1,13 @@
 """File sources: CSV directories, data-logger files, two-row headers, split headers, JSON payloads.
 
-Only headers and paths reach the driver. Data is read by Spark's own readers, one scan per header layout.
+Header lines are taken by their place in the file: only the first block of each file is read for them. Data is read by Spark's own
+readers, one scan per header layout.
 """
 
 from __future__ import annotations
 
 import csv
-import urllib.parse
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,30 +15,64 @@ from pyspark.sql import functions as F
 from sensorlake.functions.names import clean_name
 from sensorlake.functions.numbers import coerce_numeric
 from sensorlake.operators.shaping import assemble_wide
+from sensorlake.sources import manifest
 
 CSV_GLOB = "*.[cC][sS][vV]"
 DAT_GLOB = "*.[dD][aA][tT]"
-
-
-def file_headers(spark: SparkSession, path: str, marker: str, glob: str) -> list[tuple[str, list[str]]]:
-    """Distinct header layouts below ``path``: ``(header line, files)``.
-
-    A header is a line in which ``marker`` is a field of its own. The text is scanned in parallel; the result has
-    one row per file.
-    """
-    field = rf'(?i)(^|,)\s*"?{marker}"?\s*(,|$)'
-    lines = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", "true").text(path)
-             .filter(F.col("value").rlike(field))
-             .select(F.col("value").alias("header"), F.col("_metadata.file_path").alias("file")).distinct())
-    layouts: dict[str, list[str]] = {}
-    for row in lines.orderBy("header", "file").toLocalIterator():
-        layouts.setdefault(row["header"], []).append(urllib.parse.unquote(row["file"]))
-    return list(layouts.items())
+MISSING = ("error", "skip")
+
+
+@dataclass(frozen=True)
+class Layout:
+    """Files that begin with the same lines: the names of their columns, the one of the time, and the lines."""
+
+    names: tuple[str, ...]
+    time: str
+    lines: tuple[str, ...]
+    files: tuple[str, ...]
+
+
+class MissingTime(ValueError):
+    """Files without the time column; ``files`` are their paths."""
+
+    def __init__(self, time_col: str, files: list[str]):
+        super().__init__(f"no {time_col!r} column in {len(files)} files: {', '.join(files[:5])}")
+        self.files = files
+
+
+def file_layouts(looks: list[manifest.Look], time_col: str, line: int = 0, repair=lambda names: names) -> tuple[list[Layout], list[str]]:
+    """Files by header, and the files whose header has no ``time_col``. The names are in line number ``line``."""
+    layouts: dict[tuple, list[str]] = {}
+    for x in looks:
+        layouts.setdefault(x.lines, []).append(x.file)
+    good, without = [], []
+    for lines, files in layouts.items():
+        names = tuple(repair(split_header(lines[line]))) if len(lines) > line else ()
+        time = [n for n in names if n.casefold() == time_col.casefold()]
+        if time:
+            good.append(Layout(tuple(_unique(list(names))), time[0], lines, tuple(files)))
+        else:
+            without += files
+    return good, sorted(without)
+
+
+def _layouts(spark: SparkSession, path: str, glob: str, time_col: str, count: int, line: int, missing: str, looks: list[manifest.Look] | None = None,
+             repair=lambda names: names) -> list[Layout]:
+    if missing not in MISSING:
+        raise ValueError(f"missing must be one of {MISSING}")
+    if looks is None:
+        looks = manifest.look(spark, manifest.list_files(spark, path, glob), count)
+    layouts, without = file_layouts(looks, time_col, line, repair)
+    if without and missing == "error":
+        raise MissingTime(time_col, without)
+    if not layouts:
+        raise ValueError(f"no file {glob} with a {time_col!r} column in {path}")
+    return layouts
 
 
 def split_header(line: str) -> list[str]:
     """Names of a CSV header line."""
-    return [name.strip() for name in next(csv.reader([line]))]
+    return [name.strip() for name in next(csv.reader([line]), [""])]
 
 
 def _unique(names: list[str]) -> list[str]:
@@ -61,55 +96,80 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return out
 
 
-def read_csv_source(spark: SparkSession, path: str, time_col: str = "datetime",
-                    fmt: str = "yyyy-MM-dd HH:mm:ss", ordered: bool = False, glob: str = CSV_GLOB) -> DataFrame:
-    """All CSV files of one source as one wide frame: ``timestamp`` first, sensors as doubles, cleaned names,
-    full duplicates dropped. Files may have different columns; a source without ``time_col`` is an error."""
-    layouts = file_headers(spark, path, time_col, glob)
-    if not layouts:
-        raise ValueError(f"no CSV file with a {time_col!r} column in {path}")
+def read_csv_source(spark: SparkSession, path: str, time_col: str = "datetime", fmt: str = "yyyy-MM-dd HH:mm:ss", ordered: bool = False,
+                    glob: str = CSV_GLOB, missing: str = "error", looks: list[manifest.Look] | None = None) -> DataFrame:
+    """All CSV files of one source as one wide frame: ``timestamp`` first, sensors as doubles, cleaned names, full duplicates dropped. Files may have
+    different columns. A file without ``time_col`` in its first line is an error that names it, or with ``missing="skip"`` left out
+    (``files_without_time`` lists them). ``looks`` limits the source to files that were looked at before."""
     parts = []
-    for header, files in layouts:
-        names = _unique(split_header(header))
-        raw = spark.read.schema(_text_schema(names)).option("header", "true").csv(files)
-        sensors = [n for n in names if n != time_col]
+    for x in _layouts(spark, path, glob, time_col, 1, 0, missing, looks):
+        raw = spark.read.schema(_text_schema(x.names)).option("header", "true").csv(list(x.files))
         parts.append(raw.select(
-            F.to_timestamp_ntz(_column(time_col), F.lit(fmt)).alias("timestamp"),
-            *[coerce_numeric(_column(n)).alias(clean_name(n, "csv")) for n in sensors]))
+            F.to_timestamp_ntz(_column(x.time), F.lit(fmt)).alias("timestamp"),
+            *[coerce_numeric(_column(n)).alias(clean_name(n, "csv")) for n in x.names if n != x.time]))
     out = _union(parts).dropDuplicates()
     return out.orderBy("timestamp") if ordered else out
 
 
-def read_logger_dat(spark: SparkSession, path: str, ordered: bool = False, glob: str = DAT_GLOB) -> DataFrame:
+def files_without_time(spark: SparkSession, path: str, time_col: str = "datetime", glob: str = CSV_GLOB) -> DataFrame:
+    """``file, columns`` of the files whose first line has no ``time_col``. Files without bytes are not listed."""
+    looks = manifest.look(spark, manifest.list_files(spark, path, glob))
+    without = set(file_layouts(looks, time_col)[1])
+    return spark.createDataFrame([(x.file, split_header(x.lines[0]) if x.lines else []) for x in looks if x.file in without], "file string, columns array<string>")
+
+
+def _is_line(names: tuple[str, ...], line: str) -> Column:
+    """Whether a row has just the cells of a header line. A reader that has no name for a cell drops it, and pads a short row."""
+    cells = (split_header(line) + [""] * len(names))[:len(names)] if line else [""] * len(names)
+    same = F.lit(True)
+    for name, cell in zip(names, cells):
+        same &= F.trim(F.coalesce(_column(name), F.lit(""))) == cell
+    return same
+
+
+def read_logger_dat(spark: SparkSession, path: str, ordered: bool = False, glob: str = DAT_GLOB, missing: str = "error",
+                    looks: list[manifest.Look] | None = None) -> DataFrame:
     """Data-logger files: four header lines (station, names, units, processing) of which only the names count.
 
-    Header lines are recognised by not starting with a time, so files can be split between tasks. The frame
-    keeps ``source_file`` for incremental loads.
+    The header lines are the first four of the file; rows like them are left out wherever a file is split between tasks, and any other
+    row without a time is an error. The frame keeps ``source_file`` for incremental loads.
     """
-    layouts = file_headers(spark, path, "timestamp", glob)
-    if not layouts:
-        raise ValueError(f"no logger file in {path}")
     parts = []
-    for header, files in layouts:
-        names = _unique([n.lower() for n in split_header(header)])
-        raw = spark.read.schema(_text_schema(names)).csv(files).select("*", F.col("_metadata.file_name").alias("source_file"))
-        time = F.try_to_timestamp(F.col("timestamp"))
-        parts.append(raw.filter(time.isNotNull()).select(
-            time.cast("timestamp_ntz").alias("timestamp"), "source_file",
-            *[coerce_numeric(_column(n)).alias(n) for n in names if n != "timestamp"]))
+    for x in _layouts(spark, path, glob, "timestamp", 4, 1, missing, looks, lambda names: [n.lower() for n in names]):
+        raw = spark.read.schema(_text_schema(x.names)).csv(list(x.files)).select("*", F.col("_metadata.file_name").alias("source_file"))
+        header = F.lit(False)
+        for line in x.lines:
+            header |= _is_line(x.names, line)
+        time = F.try_to_timestamp(_column(x.time))
+        bad = F.raise_error(F.concat(F.lit("no time in "), F.col("source_file"), F.lit(": "), F.coalesce(_column(x.time), F.lit("NULL")))).cast("timestamp")
+        parts.append(raw.filter(~header).select(
+            F.coalesce(time, bad).cast("timestamp_ntz").alias("timestamp"), "source_file",
+            *[coerce_numeric(_column(n)).alias(n) for n in x.names if n != x.time]))
     merged = _union(parts)
     out = merged.dropDuplicates([c for c in merged.columns if c != "source_file"])
     return out.orderBy("timestamp") if ordered else out
 
 
+def last_times(spark: SparkSession, looks: list[manifest.Look], time_col: str, fmt: str = "yyyy-MM-dd HH:mm:ss", line: int = 0) -> DataFrame:
+    """``file, last_time`` from the last line of each file; NULL if that is no reading."""
+    rows = []
+    for x in looks:
+        names = [n.casefold() for n in split_header(x.lines[line])] if len(x.lines) > line else []
+        cells = split_header(x.last_line) if x.last_line else []
+        at = names.index(time_col.casefold()) if time_col.casefold() in names else len(cells)
+        rows.append((x.file, cells[at] if at < len(cells) else None))
+    found = spark.createDataFrame(rows, "file string, cell string")
+    return found.select("file", F.try_to_timestamp("cell", F.lit(fmt)).cast("timestamp_ntz").alias("last_time"))
+
+
 def prune_files(manifest: DataFrame, high_water: DataFrame, key: str = "source") -> DataFrame:
     """Files that still hold readings newer than the stored ones.
 
     ``manifest`` has one row per file (``source, file, last_time``), ``high_water`` one per source
-    (``source, stored_time``); a source without stored data keeps all files.
+    (``source, stored_time``); a source without stored data keeps all files, and so does a file without a last time.
     """
     joined = manifest.join(high_water, key, "left")
-    return joined.filter(F.col("stored_time").isNull() | (F.col("last_time") > F.col("stored_time"))).drop("stored_time")
+    return joined.filter(F.col("stored_time").isNull() | F.col("last_time").isNull() | (F.col("last_time") > F.col("stored_time"))).drop("stored_time")
 
 
 def repair_split_header(names: list[str], prefix: str, parts: int) -> list[str]:
@@ -121,46 +181,41 @@ def repair_split_header(names: list[str], prefix: str, parts: int) -> list[str]:
 
 
 def read_epoch_csv(spark: SparkSession, path: str, time_col: str, prefix: str, parts: int,
-                   glob: str = CSV_GLOB) -> DataFrame:
+                   glob: str = CSV_GLOB, missing: str = "error") -> DataFrame:
     """CSV with an epoch column and one header name that was split at its commas.
 
     Data lines have one field per real column, so the repaired header is the schema. An epoch outside the
     timestamp range is an error.
     """
     frames = []
-    for header, files in file_headers(spark, path, _escape(time_col), glob):
-        names = [n.lower() for n in repair_split_header(split_header(header), prefix, parts)]
-        raw = spark.read.schema(_text_schema(_unique(names))).option("header", "true").csv(files)
-        epoch = _column(time_col.lower()).cast("bigint")
+    for x in _layouts(spark, path, glob, time_col, 1, 0, missing, repair=lambda names: [n.lower() for n in repair_split_header(names, prefix, parts)]):
+        raw = spark.read.schema(_text_schema(x.names)).option("header", "true").csv(list(x.files))
+        epoch = _column(x.time).cast("bigint")
         bad = F.raise_error(F.concat(F.lit("timestamp cannot be converted: "), epoch.cast("string")))
         safe = F.when(epoch.between(-62135596800, 253402300799), F.timestamp_seconds(epoch)).otherwise(bad.cast("timestamp"))
         frames.append(raw.select(
             safe.cast("timestamp_ntz").alias("timestamp"),
-            *[coerce_numeric(_column(n)).alias(n) for n in names if n != time_col.lower()]))
+            *[coerce_numeric(_column(n)).alias(n) for n in x.names if n != x.time]))
     return _union(frames).dropDuplicates()
 
 
-def _escape(name: str) -> str:
-    return "".join(f"\\{c}" if not c.isalnum() else c for c in name)
-
-
 def read_two_row_header(spark: SparkSession, path: str, time_col: str = "datetime",
-                        time_unit: str = "timestamp", glob: str = CSV_GLOB) -> tuple[DataFrame, DataFrame]:
-    """CSV whose second header row holds units: ``(samples as text, column_name/units_term table)``.
+                        time_unit: str = "timestamp", glob: str = CSV_GLOB, missing: str = "error") -> tuple[DataFrame, DataFrame]:
+    """CSV whose second line holds units: ``(samples as text, column_name/units_term table)``.
 
-    The unit row is the one whose time cell is the word ``time_unit``.
+    The time cell of the second line has to be the word ``time_unit``.
     """
     samples, units = [], []
-    for header, files in file_headers(spark, path, time_col, glob):
-        names = _unique(split_header(header))
-        raw = spark.read.schema(_text_schema(names)).option("header", "true").csv(files)
-        cells = [n for n in names if n != time_col]
-        is_unit = _column(time_col) == time_unit
-        samples.append(raw.filter(~is_unit).select(
-            F.to_timestamp_ntz(_column(time_col), F.lit("yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
+    for x in _layouts(spark, path, glob, time_col, 2, 0, missing):
+        second = (split_header(x.lines[1]) if len(x.lines) > 1 else []) + [""] * len(x.names)
+        if second[x.names.index(x.time)] != time_unit:
+            raise ValueError(f"the second line holds no units: {', '.join(x.files[:5])}")
+        raw = spark.read.schema(_text_schema(x.names)).option("header", "true").csv(list(x.files))
+        cells = [n for n in x.names if n != x.time]
+        samples.append(raw.filter(~_is_line(x.names, x.lines[1])).select(
+            F.to_timestamp_ntz(_column(x.time), F.lit("yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
             *[_column(n) for n in cells]))
-        units.append(raw.filter(is_unit).select(*[_column(n) for n in cells])
-                     .unpivot([], [_column(n) for n in cells], "column_name", "units_term").distinct())
+        units.append(spark.createDataFrame([(n, second[k] or None) for k, n in enumerate(x.names) if n != x.time], "column_name string, units_term string"))
     return _union(samples), _union(units).distinct()
 
 

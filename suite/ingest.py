@@ -8,8 +8,9 @@ from sensorlake.functions.names import CSV_HEADER_REPLACEMENTS, HEADER_REPLACEME
 from sensorlake.functions.numbers import coerce_numeric
 from sensorlake.functions.timezones import ntz_to_epoch, shift_seconds, utc_to_local
 from sensorlake.operators import mapping, shaping
+from sensorlake.plans.stages import ingest_files
 from sensorlake.session import scratch_path
-from sensorlake.sources import mappers, readers, sinks, waterml
+from sensorlake.sources import manifest, mappers, readers, sinks, store, waterml
 from suite.registry import query, r4, sql_r4, sql_stamp, stamp
 from suite.views import RAW_SQL, raw_values
 
@@ -68,13 +69,61 @@ WITH f AS (SELECT o_orderstatus AS source, o_orderstatus || '_' || strftime(o_or
 SELECT source, file, CAST(epoch_us(last_time) // 1000000 AS BIGINT) AS last_time FROM f
 WHERE source = 'P' OR last_time > CASE source WHEN 'O' THEN TIMESTAMP '1998-06-15' ELSE TIMESTAMP '1996-02-29' END""")
 def prune_stale_files(t):
-    manifest = t.orders.groupBy(
-        F.col("o_orderstatus").alias("source"),
-        F.concat_ws("_", "o_orderstatus", F.date_format("o_orderdate", "yyyyMM")).alias("file")).agg(
-        F.max("o_orderdate").alias("last_time"))
+    """Real files, one per status and month: the last line of each says how far it goes."""
+    path = scratch_path(t.spark, "orders")
+    rows = t.orders.select("o_orderstatus", F.date_format("o_orderdate", "yyyyMM").alias("month"),
+                           F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("datetime"), "o_totalprice")
+    (rows.repartition("o_orderstatus", "month").sortWithinPartitions("o_orderstatus", "month", "datetime")
+     .write.partitionBy("o_orderstatus", "month").option("header", "true").csv(path))
+    looks = manifest.look(t.spark, manifest.list_files(t.spark, path, "*.csv"))
+    part = lambda name: F.regexp_extract("file", f"{name}=([^/]+)", 1)
+    files = readers.last_times(t.spark, looks, "datetime").select(
+        part("o_orderstatus").alias("source"), F.concat(part("o_orderstatus"), F.lit("_"), part("month")).alias("file"), "last_time")
     water = t.spark.sql("SELECT source, CAST(d AS TIMESTAMP_NTZ) AS stored_time FROM VALUES ('O', '1998-06-15'), "
                         "('F', '1996-02-29') AS v(source, d)")
-    return readers.prune_files(manifest, water).withColumn("last_time", stamp(F.col("last_time")))
+    return readers.prune_files(files, water).withColumn("last_time", stamp(F.col("last_time")))
+
+
+@query("csv_missing_time", f"""
+SELECT 'row' AS part, {sql_stamp("date_trunc('second', ts)")} AS timestamp, value, NULL AS folder FROM events WHERE event_type NOT IN ('error', 'view') GROUP BY ALL
+UNION ALL SELECT DISTINCT 'file', NULL, NULL, event_type FROM events WHERE event_type IN ('error', 'view')""")
+def csv_missing_time(t):
+    """A folder of files per kind of event; two kinds have no time column, one of them has the word in its cells."""
+    path = scratch_path(t.spark, "events")
+    time = F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss")
+    for kind in ("click", "error", "purchase", "signup", "view"):
+        rows = t.events.filter(F.col("event_type") == kind)
+        named = rows.select(time.alias("when"), F.lit("datetime").alias("value")) if kind in ("error", "view") else rows.select("value", time.alias("datetime"))
+        sinks.write_csv(named, f"{path}/{kind}")
+    good = readers.read_csv_source(t.spark, path, missing="skip").select(
+        F.lit("row").alias("part"), stamp(F.col("timestamp")).alias("timestamp"), "value", F.lit(None).cast("string").alias("folder"))
+    bad = readers.files_without_time(t.spark, path).select(
+        F.lit("file").alias("part"), F.lit(None).cast("bigint").alias("timestamp"), F.lit(None).cast("double").alias("value"),
+        F.regexp_extract("file", "/([a-z]+)/[^/]+$", 1).alias("folder")).distinct()
+    return good.unionByName(bad)
+
+
+@query("manifest_load", f"""
+SELECT {sql_stamp("date_trunc('second', ts)")} AS timestamp, CAST(min(event_id) AS DOUBLE) AS number, true AS unchanged_files_skipped, true AS stale_files_skipped
+FROM events WHERE ts < TIMESTAMP '2024-01-21' GROUP BY 1""")
+def manifest_load(t):
+    """Three deliveries into one folder: new files are read, files seen before are not, and files that end before the newest time are not either."""
+    path, table = scratch_path(t.spark, "deliveries"), store.feeder_layout(scratch_path(t.spark, "feeder"))
+    seen = manifest.manifest_layout(scratch_path(t.spark, "manifest"))
+
+    def deliver(name, condition):
+        rows = t.events.filter(condition).select(F.date_format(F.col("ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("datetime"), F.col("event_id").alias("number"))
+        sinks.write_csv(rows.repartitionByRange("datetime").sortWithinPartitions("datetime"), f"{path}/{name}")
+        return ingest_files(t.spark, path, table, seen)
+
+    day = lambda k: F.lit(f"2024-01-{k:02d} 00:00:00").cast("timestamp_ntz")
+    deliver("a", F.col("ts") < day(11))
+    deliver("b", (F.col("ts") >= day(11)) & (F.col("ts") < day(21)))
+    again = ingest_files(t.spark, path, table, seen)
+    old = deliver("c", F.col("ts") < day(5))
+    return store.read(t.spark, table).select(
+        stamp(F.col("timestamp")).alias("timestamp"), "number", F.lit(again.new == 0 and again.listed > 1).alias("unchanged_files_skipped"),
+        F.lit(old.new > 0 and old.stale == old.new and old.rows is None).alias("stale_files_skipped"))
 
 
 @query("header_repair", f"""

@@ -236,6 +236,30 @@ def tree_flatten(t):
             .unionByName(part("property", out["properties"], "property_name", "property_value")))
 
 
+@query("tree_deep", """
+WITH d AS (SELECT c_custkey, k, 30 + c_custkey % 11 AS levels FROM customer, generate_series(0, 40) g(k) WHERE k < 30 + c_custkey % 11)
+SELECT 'node' AS part, 'C-' || c_custkey || '-' || k AS sampling_feature_code, CAST(k AS VARCHAR) AS detail, CASE WHEN k > 0 THEN 'C-' || c_custkey || '-' || (k - 1) END AS parent FROM d
+UNION ALL SELECT 'related', 'C-' || c_custkey || '-' || k, CAST(c_custkey AS VARCHAR), 'wasCollectedAt' FROM d WHERE k = levels - 1""")
+def tree_deep(t):
+    """A chain of features per customer, 30 to 40 levels deep; the lowest one names a feature outside of its tree."""
+    key = F.col("c_custkey").cast("string")
+    levels = F.expr("30 + c_custkey % 11").cast("int")
+
+    def around(inner, k):
+        code = F.concat(F.lit("C-"), key, F.lit("-"), k.cast("string"))
+        related = F.concat(F.lit('"related_features":[{"relation_to_related_feature":"wasCollectedAt","related_feature_id":'), key, F.lit("}],"))
+        return F.concat(F.lit('{"sampling_feature_code":"'), code, F.lit('","sampling_feature_uuid":"u-'), code, F.lit('","relation_to_parent":"isChildOf",'),
+                        F.when(inner == "", related).otherwise(""), F.lit('"child_sampling_features":['), inner, F.lit("]}"))
+
+    docs = t.customer.select(F.aggregate(F.reverse(F.sequence(F.lit(0), levels - 1)), F.lit(""), around).alias("body"))
+    out = trees.flatten_feature_tree(docs, "body")
+    parents = out["edges"].select("sampling_feature_code", F.col("related_feature_code").alias("parent"))
+    nodes = out["nodes"].select("sampling_feature_code", F.col("depth").cast("string").alias("detail")).join(parents, "sampling_feature_code", "left")
+    related = out["related"].select(F.lit("related").alias("part"), "sampling_feature_code", F.col("related_feature_id").cast("string").alias("detail"),
+                                    F.col("relationship_type_cv").alias("parent"))
+    return nodes.select(F.lit("node").alias("part"), "sampling_feature_code", "detail", "parent").unionByName(related)
+
+
 @query("tree_duplicate_check", """
 SELECT 'sampling_feature_code' AS field, code AS value, count(*) AS n, count(DISTINCT (u, q)) > 1 AS differs
 FROM (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS code, CAST(l_partkey AS VARCHAR) AS u, l_quantity AS q FROM lineitem)
@@ -358,6 +382,73 @@ def schema_violations(t):
     return bad.select("p_partkey", "violation")
 
 
+NESTED_SCHEMA = {
+    "type": "array",
+    "items": {
+        "type": "object", "required": ["column_name", "ranges"], "additionalProperties": False,
+        "properties": {
+            "column_name": {"type": "string"},
+            "ranges": {"type": ["array", "null"], "minItems": 1, "items": {"$ref": "#/definitions/range"}},
+        },
+    },
+    "definitions": {"range": {
+        "type": "object", "required": ["datetime_start", "datetime_end", "qa_flag"],
+        "properties": {"datetime_start": {"type": ["string", "null"], "format": "date-time"}, "datetime_end": {"type": ["string", "null"], "format": "date-time"},
+                       "qa_flag": {"type": "string", "enum": ["b", "w"]}},
+    }},
+}
+_LINE_ORDER = "l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag"
+
+
+@query("schema_nested", f"""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS i FROM lineitem),
+v AS (
+  SELECT l_orderkey, 'ranges[' || i || '].qa_flag: required' AS violation FROM l WHERE l_linenumber % 4 = 0
+  UNION ALL SELECT l_orderkey, 'ranges[' || i || '].qa_flag: enum' FROM l WHERE l_linenumber % 4 <> 0 AND l_returnflag = 'R'
+  UNION ALL SELECT l_orderkey, 'ranges[' || i || '].datetime_start: type' FROM l WHERE l_quantity > 45
+  UNION ALL SELECT l_orderkey, 'ranges[' || i || '].datetime_end: format' FROM l WHERE l_partkey % 3 = 0)
+SELECT l_orderkey, violation FROM v WHERE l_orderkey % 7 <> 0
+UNION ALL SELECT DISTINCT l_orderkey, 'json' FROM l WHERE l_orderkey % 7 = 0""")
+def schema_nested(t):
+    """Column records with a list of ranges each, as one text per order."""
+    day = F.when(F.col("l_partkey") % 3 == 0, '"2024-01-32T00:00:00Z"').otherwise('"2024-01-31T00:00:00Z"')
+    text = F.concat(F.lit('{"datetime_start":'), F.when(F.col("l_quantity") > 45, "7").otherwise("null"), F.lit(',"datetime_end":'), day,
+                    F.when(F.col("l_linenumber") % 4 != 0, F.concat(F.lit(',"qa_flag":"'), F.when(F.col("l_returnflag") == "R", "R").otherwise("b"), F.lit('"'))).otherwise(""),
+                    F.lit("}"))
+    items = F.array_sort(F.collect_list(F.struct(*_LINE_ORDER.split(", "), text.alias("text"))))
+    records = t.lineitem.groupBy("l_orderkey").agg(items.alias("items")).select(
+        "l_orderkey", F.concat(F.lit('{"column_name":"c","ranges":['), F.array_join(F.transform("items", lambda x: x["text"]), ","),
+                               F.when(F.col("l_orderkey") % 7 == 0, "").otherwise("]}")).alias("body"))
+    _, bad = validation.validate_records(records, "body", NESTED_SCHEMA, formats=True)
+    return bad.select("l_orderkey", "violation")
+
+
+TREE_SCHEMA = {
+    "type": "array",
+    "items": {
+        "type": "object", "required": ["code", "size"],
+        "properties": {"code": {"type": "string"}, "size": {"type": "number", "minimum": 0}, "equipment": {"type": ["array", "null"], "items": {"$ref": "#/items"}}},
+    },
+}
+
+
+@query("schema_recursive", f"""
+WITH l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_LINE_ORDER}) - 1 AS i FROM lineitem)
+SELECT l_orderkey, 'equipment[' || i || '].code: required' AS violation FROM l WHERE l_linenumber % 5 = 0
+UNION ALL SELECT l_orderkey, 'equipment[' || i || '].equipment[0].size: type' FROM l WHERE l_quantity > 40
+UNION ALL SELECT l_orderkey, 'equipment[' || i || '].equipment[0].equipment[0].size: minimum' FROM l WHERE l_partkey % 4 = 0""")
+def schema_recursive(t):
+    """Equipment with equipment in it, four levels deep, against a schema that refers to itself."""
+    deepest = F.concat(F.lit('{"code":"x","size":'), F.when(F.col("l_partkey") % 4 == 0, "-1").otherwise("1"), F.lit("}"))
+    port = F.concat(F.lit('{"code":"p","size":'), F.when(F.col("l_quantity") > 40, '"big"').otherwise("2.5"), F.lit(',"equipment":['), deepest, F.lit("]}"))
+    line = F.concat(F.lit("{"), F.when(F.col("l_linenumber") % 5 != 0, '"code":"l",').otherwise(""), F.lit('"size":1,"equipment":['), port, F.lit("]}"))
+    items = F.array_sort(F.collect_list(F.struct(*_LINE_ORDER.split(", "), line.alias("text"))))
+    records = t.lineitem.groupBy("l_orderkey").agg(items.alias("items")).select("l_orderkey", F.concat(
+        F.lit('{"code":"o","size":0,"equipment":['), F.array_join(F.transform("items", lambda x: x["text"]), ","), F.lit("]}")).alias("body"))
+    _, bad = validation.validate_records(records, "body", TREE_SCHEMA)
+    return bad.select("l_orderkey", "violation")
+
+
 @query("rule_violations", """
 WITH r AS (SELECT event_id, user_id, value, event_type, ts, event_id % 8 AS k FROM events)
 SELECT event_id,

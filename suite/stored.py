@@ -11,6 +11,7 @@ from sensorlake.operators.process import good_summary
 from sensorlake.plans.datastream_query import stored_data
 from sensorlake.session import scratch_path
 from sensorlake.sources import store
+from sensorlake.streaming.downsample import bucket_layout, downsample_into, read_observations
 from suite.datastreams import DENVER, _flat
 from suite.registry import query, r4, sql_r4, sql_stamp, stamp
 from suite.views import OBS_SQL, SERIES_SQL, local_series, local_sql, observations, raw_values, upper_bound
@@ -172,3 +173,19 @@ def copy_stored(t):
     store.load(t.orders.filter("o_orderdate < TIMESTAMP_NTZ '1995-01-05'").select("o_orderkey", "o_totalprice"), layout)
     store.load(t.orders.select("o_orderkey", "o_totalprice", "o_orderdate"), layout)
     return store.read(t.spark, layout).withColumn("o_orderdate", stamp(F.col("o_orderdate")))
+
+
+@query("stream_late", f"""
+WITH {_ONE_SQL}
+SELECT datastream_id, utc_time - utc_time % 86400 AS bucket_epoch, count(*) AS n, {sql_r4('avg(data_value)')} AS mean, {sql_r4('max(data_value)')} AS max
+FROM one WHERE qa_flag >= 'z' GROUP BY 1, 2""")
+def stream_late(t):
+    """A third of the loggers is up to date with the first arrivals, the others lag behind by weeks; every reading ends up in its bucket."""
+    source, one = scratch_path(t.spark, "arrivals"), _one(t)
+    layout, buckets = store.observation_layout(scratch_path(t.spark, "readings"), 16), bucket_layout(scratch_path(t.spark, "buckets"), 16)
+    state = scratch_path(t.spark, "state")
+    first = (F.col("datastream_id") % 3 == 0) & (F.col("event_id") % 10 != 0) | (F.col("utc_time") < _CUT - 5 * 86400)
+    for part in (first, ~first):
+        one.filter(part).drop("event_id").write.mode("append").parquet(source)
+        downsample_into(read_observations(t.spark, source), layout, buckets, 86400, ["mean", "max"], state).awaitTermination()
+    return store.read(t.spark, buckets).filter("n > 0").select("datastream_id", "bucket_epoch", "n", r4(F.col("mean")).alias("mean"), r4(F.col("max")).alias("max"))

@@ -269,7 +269,7 @@ FROM obs WHERE qa_flag >= 'z' GROUP BY 1, 2""")
 def stream_downsample(t):
     source, target = scratch_path(t.spark, "arrivals"), scratch_path(t.spark, "buckets")
     observations(t).write.parquet(source)
-    stream = downsample_stream(read_observations(t.spark, source), "1 day", ["mean", "count", "max"])
+    stream = downsample_stream(read_observations(t.spark, source), "1 day", ["mean", "count", "max"], "1 hour")
 
     def keep(batch, number):
         batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
