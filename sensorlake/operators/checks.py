@@ -58,6 +58,27 @@ def rename_by_fragments(name: Column, renames: dict[str, str]) -> Column:
     return out
 
 
+def with_terms(df: DataFrame, terms: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """Ids replaced by what they stand for: ``terms`` gives for a column the table, its id and its term column. An id that the table does not
+    have becomes ``unknown <id>``, NULL stays."""
+    for name, (table, id_col, term) in terms.items():
+        known = table.groupBy(F.col(id_col).alias("_id")).agg(F.min(F.col(term).cast("string")).alias("_term"))
+        joined = df.join(known, F.col(name) == F.col("_id"), "left")
+        df = joined.withColumn(name, F.coalesce("_term", F.concat(F.lit("unknown "), F.col(name).cast("string")))).drop("_id", "_term")
+    return df
+
+
+def registry_differences(old: DataFrame, new: DataFrame, renames: dict[str, str], fields: list[str], old_terms: dict[str, tuple[DataFrame, str, str]],
+                         new_terms: dict[str, tuple[DataFrame, str, str]]) -> DataFrame:
+    """One row per stream and field that differs: ``datastream_tablename, field, old, new``. Each store numbers its variables, units and
+    features itself, so ids are replaced by their terms on both sides before they are compared. A stream that the new store lacks
+    has one row with the field ``datastream_tablename``."""
+    found = diff_registry(with_terms(old, old_terms), with_terms(new, new_terms), renames, fields)
+    missing = F.array(F.struct(F.lit("datastream_tablename").alias("field"), F.col("datastream_tablename").alias("old"), F.lit(None).cast("string").alias("new")))
+    rows = F.when(F.col("status") == "missing", missing).otherwise(F.col("differences"))
+    return found.select("datastream_tablename", F.explode(rows).alias("d")).select("datastream_tablename", "d.field", "d.old", "d.new")
+
+
 def diff_registry(old: DataFrame, new: DataFrame, renames: dict[str, str], fields: list[str]) -> DataFrame:
     """Old streams against new ones by (renamed) table name: ``status`` is ``missing``, ``different`` or ``same``,
     ``differences`` lists field, old and new value."""

@@ -120,6 +120,26 @@ def check_feature_tree(nodes: DataFrame) -> DataFrame:
     return repeated("sampling_feature_code").unionByName(repeated("sampling_feature_uuid"))
 
 
+def duplicate_fields(nodes: DataFrame) -> DataFrame:
+    """In what the records of a repeated code or uuid differ: ``field, value`` (what is repeated), ``differs`` (the other field), ``shown`` (what
+    it holds there, as text) and ``n`` (in how many records).
+
+    Records are counted by what they hold before they are compared, and no repeated key is gathered in one place.
+    """
+    keys = ("sampling_feature_code", "sampling_feature_uuid")
+
+    def repeated(name: str) -> DataFrame:
+        rest = [c for c in nodes.columns if c not in (name, "depth", "sampling_feature_id")]
+        texts = {c: F.col(c).cast("string") if kind in ("string", "int", "bigint", "double", "boolean", "date", "timestamp", "timestamp_ntz") else F.to_json(c)
+                 for c, kind in nodes.dtypes if c in rest}
+        long = nodes.select(F.col(name).alias("value"), *(t.alias(c) for c, t in texts.items())).unpivot("value", rest, "differs", "shown")
+        held = long.filter("value IS NOT NULL").groupBy("value", "differs", "shown").agg(F.count("*").alias("n"))
+        several = held.groupBy("value", "differs").agg(F.count("*").alias("_kinds")).filter("_kinds > 1").drop("_kinds")
+        return held.join(several, ["value", "differs"]).select(F.lit(name).alias("field"), "value", "differs", "shown", "n")
+
+    return repeated(keys[0]).unionByName(repeated(keys[1]))
+
+
 EQUIPMENT_FIELDS = (
     "equipment_uuid:string,equipment_code:string,equipment_name:string,equipment_serial_number:string,equipment_vendor:string,"
     "equipment_description:string,equipment_owner_first_name:string,equipment_owner_last_name:string,equipment_owner_role:string,"
@@ -168,14 +188,29 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     }
 
 
-def nest_tree(nodes: DataFrame, code: str, parent: str, cut: int = 1, children: str = "child_sampling_features") -> DataFrame:
-    """Adjacency list to nested JSON documents: ``code, parent, node_count, document``.
+def gather_attachments(attachments: dict[str, DataFrame], code: str) -> DataFrame:
+    """Several child tables by node in one pass: ``code`` and one sorted array per table, empty where a node has none. All tables go through one
+    aggregate, so each node meets its rows once."""
+    together = None
+    for name, rows in attachments.items():
+        own = rows.select(code, F.struct(*[c for c in rows.columns if c != code]).alias(name))
+        together = own if together is None else together.unionByName(own, allowMissingColumns=True)
+    return together.groupBy(code).agg(*[F.array_sort(F.collect_list(name)).alias(name) for name in attachments])
+
+
+def nest_tree(nodes: DataFrame, code: str, parent: str, cut: int = 1, children: str = "child_sampling_features",
+              attachments: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Adjacency list to nested JSON documents: ``code, parent, node_count, document``. ``attachments`` are child tables (such as aliases,
+    properties, related features) that have the node's ``code``; their rows become a list of that name in the node's document.
 
     Levels are folded from the leaves up, one aggregate each, and each is written once. ``cut`` is the level (roots are 1) whose
     subtrees become documents; nodes above it are documents without children, and every document names its parent. The
     shape depends on this choice alone, never on sizes: one document is one row, so trees too large for a row are
     cut further down by the caller. Cycles are an error.
     """
+    if attachments:
+        gathered = gather_attachments(attachments, code)
+        nodes = nodes.join(gathered, code, "left").withColumns({n: F.coalesce(n, F.array().cast(gathered.schema[n].dataType)) for n in attachments})
     fields = [c for c in nodes.columns if c not in (code, parent)]
     depths = ancestor_sums(nodes.select(F.col(code).alias("id"), F.col(parent).alias("parent_id"), F.lit(1).alias("weight")))
     worst = depths.agg(F.max("total").alias("depth"), F.max("cyclic").alias("cyclic")).first()

@@ -343,6 +343,44 @@ def nest_tree(t):
     return trees.nest_tree(nodes, "code", "parent").select("code", "node_count", "document")
 
 
+@query("nest_attachments", """
+WITH cd AS (SELECT c_nationkey, 'c' || c_custkey AS code,
+    '{"code":"c' || c_custkey || '","kind":"' || c_mktsegment || '","aliases":[{"alias":"A' || c_custkey || '","display_priority":1}'
+      || CASE WHEN c_custkey % 2 = 0 THEN ',{"alias":"B' || c_custkey || '","display_priority":null}' ELSE '' END
+      || '],"related_features":[' || CASE WHEN c_custkey % 3 = 0 THEN '{"relationship_type_cv":"isNear","related_feature_id":' || c_nationkey || '}' ELSE '' END
+      || '],"child_sampling_features":[]}' AS doc FROM customer),
+cg AS (SELECT c_nationkey, count(*) AS n, string_agg(doc, ',' ORDER BY code) AS docs FROM cd GROUP BY 1)
+SELECT 'n' || n_nationkey AS code, CAST(coalesce(n, 0) + 1 AS BIGINT) AS node_count,
+  '{"code":"n' || n_nationkey || '","kind":"' || n_name || '","aliases":[],"related_features":[],"child_sampling_features":[' || coalesce(docs, '') || ']}' AS document
+FROM nation LEFT JOIN cg ON c_nationkey = n_nationkey""")
+def nest_attachments(t):
+    """Customers below nations, with their aliases and related features in the documents."""
+    text = lambda letter, c: F.concat(F.lit(letter), F.col(c).cast("string"))
+    nodes = t.nation.select(text("n", "n_nationkey").alias("code"), F.lit(None).cast("string").alias("parent"), F.col("n_name").alias("kind")).unionByName(
+        t.customer.select(text("c", "c_custkey").alias("code"), text("n", "c_nationkey").alias("parent"), F.col("c_mktsegment").alias("kind")))
+    code = text("c", "c_custkey").alias("code")
+    aliases = t.customer.select(code, text("A", "c_custkey").alias("alias"), F.lit(1).alias("display_priority")).unionByName(
+        t.customer.filter("c_custkey % 2 = 0").select(code, text("B", "c_custkey").alias("alias"), F.lit(None).cast("int").alias("display_priority")))
+    related = t.customer.filter("c_custkey % 3 = 0").select(code, F.lit("isNear").alias("relationship_type_cv"), F.col("c_nationkey").alias("related_feature_id"))
+    return trees.nest_tree(nodes, "code", "parent", attachments={"aliases": aliases, "related_features": related}).select("code", "node_count", "document")
+
+
+@query("tree_duplicate_fields", """
+WITH n AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS code, CAST(l_partkey AS VARCHAR) AS u, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q, l_returnflag AS k FROM lineitem),
+long AS (
+  SELECT 'sampling_feature_code' AS field, code AS value, f AS differs, CASE f WHEN 'sampling_feature_uuid' THEN u WHEN 'elevation_m' THEN q ELSE k END AS shown
+  FROM n, (VALUES ('sampling_feature_uuid'), ('elevation_m'), ('kind')) v(f)
+  UNION ALL SELECT 'sampling_feature_uuid', u, f, CASE f WHEN 'sampling_feature_code' THEN code WHEN 'elevation_m' THEN q ELSE k END
+  FROM n, (VALUES ('sampling_feature_code'), ('elevation_m'), ('kind')) v(f)),
+held AS (SELECT field, value, differs, shown, count(*) AS n FROM long GROUP BY ALL)
+SELECT field, value, differs, shown, n FROM held QUALIFY count(*) OVER (PARTITION BY field, value, differs) > 1""")
+def tree_duplicate_fields(t):
+    nodes = t.lineitem.select(
+        F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("sampling_feature_code"),
+        F.col("l_partkey").cast("string").alias("sampling_feature_uuid"), F.col("l_quantity").cast("bigint").alias("elevation_m"), F.col("l_returnflag").alias("kind"))
+    return trees.duplicate_fields(nodes)
+
+
 # ---- validation ----
 
 RECORD_SCHEMA = {

@@ -104,6 +104,31 @@ def diff_registry(t):
     return out.select("datastream_tablename", "status", detail.alias("detail"))
 
 
+@query("diff_registry_terms", """
+WITH old AS (SELECT 'p_' || p_partkey AS name, p_type AS variable, p_brand AS unit, p_size FROM part),
+new AS (SELECT 'p_' || p_partkey AS name, CASE WHEN p_partkey % 7 = 0 THEN 'unknown -1' ELSE p_type END AS variable, CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE p_brand END AS unit,
+               CASE WHEN p_partkey % 5 = 0 THEN p_size + 1 ELSE p_size END AS p_size FROM part WHERE p_partkey % 17 <> 0)
+SELECT o.name AS datastream_tablename, 'variable_id' AS field, o.variable AS old, n.variable AS new FROM old o JOIN new n USING (name) WHERE o.variable <> n.variable
+UNION ALL SELECT o.name, 'units_id', o.unit, n.unit FROM old o JOIN new n USING (name) WHERE n.unit IS NULL
+UNION ALL SELECT o.name, 'p_size', CAST(o.p_size AS VARCHAR), CAST(n.p_size AS VARCHAR) FROM old o JOIN new n USING (name) WHERE o.p_size <> n.p_size
+UNION ALL SELECT o.name, 'datastream_tablename', o.name, NULL FROM old o WHERE name NOT IN (SELECT name FROM new)""")
+def diff_registry_terms(t):
+    """Two registries that number their variables and units differently: only what the ids stand for is compared."""
+    def numbered(column, shift):
+        return t.part.select(F.col(column).alias("term")).distinct().select((F.xxhash64("term") + shift).alias("id"), "term")
+
+    def side(parts, shift):
+        return parts.select(F.concat(F.lit("p_"), F.col("p_partkey").cast("string")).alias("datastream_tablename"), (F.xxhash64("p_type") + shift).alias("variable_id"),
+                            (F.xxhash64("p_brand") + shift).alias("units_id"), "p_size", "p_partkey")
+
+    key = F.col("p_partkey")
+    new = side(t.part.filter("p_partkey % 17 <> 0"), 1).withColumns({
+        "variable_id": F.when(key % 7 == 0, F.lit(-1)).otherwise(F.col("variable_id")), "units_id": F.when(key % 11 != 0, F.col("units_id")),
+        "p_size": F.when(key % 5 == 0, F.col("p_size") + 1).otherwise(F.col("p_size"))})
+    terms = lambda shift: {"variable_id": (numbered("p_type", shift), "id", "term"), "units_id": (numbered("p_brand", shift), "id", "term")}
+    return checks.registry_differences(side(t.part, 0), new, {}, ["variable_id", "units_id", "p_size"], terms(0), terms(1))
+
+
 def _other_store(t):
     """The same observations with some readings lost, changed or re-flagged."""
     obs = observations(t)
