@@ -30,6 +30,14 @@ def map_batches(df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatc
     return df.mapInArrow(run, out)
 
 
+def free_name(taken: list[str], name: str) -> str:
+    """A column name that is not among the taken ones, whatever their case."""
+    lower = {t.lower() for t in taken}
+    while name.lower() in lower:
+        name = f"{name}_"
+    return name
+
+
 def id_and_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the UTF-8 bytes of the text (NULL: no bytes), whatever else ``docs`` has."""
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("data"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import alnum_words, map_batches, mix
+from sensorlake.llm.common import alnum_words, free_name, map_batches, mix
 from sensorlake.session import scratch_path
 
 STEP = 24
@@ -352,6 +352,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that have no passage of the benchmark."""
-    bad = find_leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct()
-    key = F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("__id")) & (key == F.col("__key")), "left_anti")
+    own_id, own_key = (free_name([*docs.columns, text_col], n) for n in ("__id", "__key"))
+    bad = find_leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(own_id), F.col("text_key").alias(own_key)).distinct()
+    key = F.xxhash64(F.coalesce(docs[text_col].cast("binary"), F.lit(b"")))
+    return docs.join(bad, docs[id_col].eqNullSafe(bad[own_id]) & (key == bad[own_key]), "left_anti")

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import lower_words, map_batches, mix
+from sensorlake.llm.common import free_name, lower_words, map_batches, mix
 from sensorlake.llm.components import components
 from sensorlake.session import written
 
@@ -308,9 +308,11 @@ def keep_one_each(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col:
     """
     found = near_duplicates(docs, shingle, percent, id_col, text_col).where("label IS NOT NULL")
     one = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one")
-    reps = found.groupBy("label").agg(one).select(F.col("one.doc_id").alias("__id"), F.col("one.text_key").alias("__key")).distinct()
+    # The helper columns have names that the documents do not have.
+    own_id, own_key = (free_name(docs.columns, n) for n in ("__id", "__key"))
+    reps = found.groupBy("label").agg(one).select(F.col("one.doc_id").alias(own_id), F.col("one.text_key").alias(own_key)).distinct()
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lone = ~text.rlike(r"[^\x20\x09-\x0D]")
-    keyed = docs.where(~lone).withColumn("__key", F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
-    kept = keyed.join(reps, keyed[id_col].eqNullSafe(reps["__id"]) & (keyed["__key"] == reps["__key"])).select(keyed["*"])
-    return kept.dropDuplicates([id_col, "__key"]).drop("__key").unionAll(docs.where(lone))
+    keyed = docs.where(~lone).withColumn(own_key, F.xxhash64(F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))))
+    kept = keyed.join(reps, keyed[id_col].eqNullSafe(reps[own_id]) & (keyed[own_key] == reps[own_key])).select(keyed["*"])
+    return kept.dropDuplicates([id_col, own_key]).drop(own_key).unionAll(docs.where(lone))

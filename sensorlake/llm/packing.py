@@ -170,12 +170,13 @@ def plan_runs(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """``pieces`` (any columns, among them ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``.
+    """``pieces`` (any columns, among them ``length`` from 1 to ``capacity``) with ``sequence_id`` and ``offset``; columns of these names are replaced.
 
     Offsets within a sequence have no gaps from 0. The pieces are written once to the shared folder: a rank is the place of a piece
     among those of its length in the task that wrote it, plus what the tasks before it have, so it stays as it is when a task
     is repeated.
     """
+    pieces = pieces.drop("sequence_id", "offset")
     columns = pieces.columns
     place = columns.index("length")
 

@@ -1,10 +1,12 @@
 """Quality rules: how far the characters and common words of a text are from those of its language.
 
 A text has two histograms: its characters by class, and its words by common word of the language (the rest is one bin). Both are
-compared with the language's reference by Jensen-Shannon distance (base 2, so 0 to 1). The references are sums over all
-documents of the language that pass the base rules, gathered in a first pass (a few rows of fixed length per task); a language
-that is not in the list, or NULL, shares the reference ``other``. Short texts are guarded: below ``MIN_CHARS`` word characters or
-``MIN_WORDS`` words the histogram says too little, and the comparison is left out.
+compared with the language's reference by Jensen-Shannon distance (base 2, so 0 to 1). The references are sums over documents that
+are labelled as good (at most ``LABELLED`` of them, those with the least hash of their id) and pass the base rules, gathered in a first pass (a
+few rows of fixed length per task). They do not depend on what else the corpus holds: a verdict stays as it is however much junk
+is around. Without labels, all documents that pass the base rules make the references, which is right only where good ones prevail. A language
+that is not in the list, or NULL, shares the reference ``other``; a language without a reference is judged by the base rules alone.
+Short texts are guarded: below ``MIN_CHARS`` word characters or ``MIN_WORDS`` words the histogram says too little, and the comparison is left out.
 
 Base rules: fewer than 20 words, or more than 30 % of the words in windows of 8 words that the text has twice. A NULL or empty
 text has no words and is rejected by them. Repeated rows count as often as they occur.
@@ -16,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sensorlake.llm.common import map_batches, mix
+from sensorlake.llm.common import free_name, map_batches, mix
 
 #: Common words of the four languages, and of all of them for texts in another one.
 COMMON = {
@@ -36,6 +38,8 @@ CLASSES = ("lower", "upper", "digit", "space", "stop", "quote", "bracket", "symb
 #: Distances from which a text is rejected, and the least size of what is compared.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE, MIN_CHARS, MIN_WORDS = 0.3, 0.45, 80, 40
 MIN_TEXT_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
+#: Labelled documents from which the references are made, at most.
+LABELLED = 50_000
 
 
 def _class(c: int) -> int:
@@ -146,6 +150,16 @@ def language_references(docs: DataFrame, text_col: str = "text", lang_col: str =
     return {r["lang"]: (np.array(r[1:1 + len(CLASSES)]), np.array(r[1 + len(CLASSES):])) for r in rows}
 
 
+def _references(docs: DataFrame, labels: DataFrame | None, id_col: str, text_col: str, lang_col: str) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Histograms of the documents with quality 1 in ``labels`` (``doc_id, quality``), or of all documents without ``labels``."""
+    if labels is None:
+        return language_references(docs, text_col, lang_col)
+    good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    own = free_name(docs.columns, "__id")
+    chosen = good.withColumnRenamed("doc_id", own)
+    return language_references(docs.join(chosen, docs[id_col] == chosen[own], "left_semi"), text_col, lang_col)
+
+
 def verdict(m: dict, reference: tuple[np.ndarray, np.ndarray] | None) -> tuple[float | None, float | None, bool]:
     """Both distances (NULL below the guards or without a reference) and whether the text is kept."""
     chars = words = None
@@ -160,9 +174,9 @@ def verdict(m: dict, reference: tuple[np.ndarray, np.ndarray] | None) -> tuple[f
 FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """``doc_id``, the base figures, both distances and ``kept`` for each row of ``docs``."""
-    references = language_references(docs, text_col, lang_col)
+def quality(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``doc_id``, the base figures, both distances and ``kept`` for each row of ``docs``; ``labels`` say which documents the references are made of."""
+    references = _references(docs, labels, id_col, text_col, lang_col)
 
     def run(batches):
         for batch in batches:
@@ -178,9 +192,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                               "base_failed boolean, char_distance double, word_distance double, kept boolean", run)
 
 
-def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def keep_good(docs: DataFrame, labels: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
-    references = language_references(docs, text_col, lang_col)
+    references = _references(docs, labels, id_col, text_col, lang_col)
     text_at, lang_at = docs.columns.index(text_col), docs.columns.index(lang_col)
 
     def run(batches):

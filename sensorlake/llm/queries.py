@@ -103,7 +103,7 @@ def op5_license_scan(spark, folder):
 
 @query("op6_quality_rules")
 def op6_quality_rules(spark, folder):
-    found = quality.quality(table(spark, folder, "documents"))
+    found = quality.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
                         "char_distance", "word_distance")
 

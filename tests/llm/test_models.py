@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sensorlake.llm import decontaminate, near_dup, packing, quality, secrets, suffix_tree_lm
@@ -142,7 +143,8 @@ def test_stages_do_what_their_operators_say(spark):
         return {r["doc_id"] for r in df.collect()}
 
     good = ids(names["quality rules"](spark, docs, SF))
-    assert good == {r["doc_id"] for r in quality.quality(docs).where("kept").collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    assert good == {r["doc_id"] for r in quality.quality(docs, labels).where("kept").collect()}
     assert ids(names["near duplicates"](spark, docs, SF)) == {r["doc_id"] for r in near_dup.near_duplicates(docs).where("kept").collect()}
     leaked = {r["doc_id"] for r in decontaminate.find_leaks(docs, benchmark).collect()}
     assert ids(names["benchmark decontamination"](spark, docs, SF)) == texts.keys() - leaked
@@ -166,3 +168,19 @@ def test_stages_take_odd_tables(make, spark):
     for rows in (odd, make([])):
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, rows, SF).collect()
+
+
+def test_stages_take_any_extra_column(spark):
+    """Columns with the names of helper columns, of outputs, and of the other tables."""
+    extra = {"__key": 1, "__id": "x", "__key_": 2.5, "label": "l", "text_key": 7, "item_id": "i", "component_id": "c", "quality": "q", "kept": True, "n": 3}
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.select("*", *(F.lit(v).alias(k) for k, v in extra.items()))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and 0 < out.count() <= 60, name
+
+
+def test_packing_replaces_places_of_before(spark):
+    pieces = spark.createDataFrame([(k, 100 + k, "old", -1) for k in range(40)], "doc_id long, length long, offset string, sequence_id int")
+    out = packing.pack(pieces)
+    assert out.columns == ["doc_id", "length", "sequence_id", "offset"] and out.count() == 40 and out.where("offset < 0").count() == 0

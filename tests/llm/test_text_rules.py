@@ -183,6 +183,24 @@ def test_quality_verdicts_on_labelled_texts(spark):
     assert got[1]["share"] == 1.0 and got[0]["kept"] < 0.25
 
 
+def test_quality_verdicts_do_not_turn_with_the_share_of_junk(spark):
+    """Good texts and junk in any proportion: the references come from a few labelled good texts."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet").select("doc_id", "quality")
+    marked = docs.join(labels, "doc_id")
+    alone = {r["doc_id"]: r["kept"] for r in quality.quality(docs, labels).collect()}
+    junk = marked.where("quality = 0").drop("quality")
+    for copies in (1, 40):
+        mostly = junk.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies)))).withColumn("doc_id", F.col("doc_id") + 1_000_000 * F.col("copy")).drop("copy")
+        got = quality.quality(marked.drop("quality").unionByName(mostly), labels).collect()
+        assert {r["doc_id"] % 1_000_000: r["kept"] for r in got} == {i: alone[i] for i in {r["doc_id"] % 1_000_000 for r in got}}
+    kept = {r["doc_id"] for r in quality.keep_good(docs.withColumnsRenamed({"source": "__id"}), labels).collect()}
+    assert kept == {i for i, k in alone.items() if k}
+    # A language without a labelled text is judged by the base rules.
+    without = quality.quality(docs, labels.where("false"))
+    assert without.where("kept = base_failed").count() == 0 and without.where("char_distance IS NOT NULL").count() == 0
+
+
 def test_js_distance():
     p, q = np.array([1.0, 0, 0]), np.array([0, 1.0, 0])
     assert quality.js_distance(p, q) == pytest.approx(1.0) and quality.js_distance(p, p * 7) == 0 and quality.js_distance(p, p * 0) == 0
