@@ -156,7 +156,8 @@ def _references(docs: DataFrame, labels: DataFrame | None, id_col: str, text_col
         return language_references(docs, text_col, lang_col)
     good = labels.where("quality = 1 AND doc_id IS NOT NULL").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
     own = free_name(docs.columns, "__id")
-    chosen = good.withColumnRenamed("doc_id", own)
+    # At most ``LABELLED`` ids, so they can go to every task and no text is shuffled.
+    chosen = F.broadcast(good.withColumnRenamed("doc_id", own))
     return language_references(docs.join(chosen, docs[id_col] == chosen[own], "left_semi"), text_col, lang_col)
 
 
