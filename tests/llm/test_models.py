@@ -49,19 +49,68 @@ def test_scores_of_odd_rows(make):
     assert suffix_tree_lm.score(make([])).count() == 0
 
 
-def test_distributions_sum_to_one():
-    rng = np.random.default_rng(1)
-    tree = suffix_tree_lm.SuffixTree([b"a", b"b", b"c"], np.array([0.1, 0.3, 0.4, 0.2, 1.0]))
-    tree.open(1, np.arange(1, tree.width))
-    tree.learn(1, np.array([0 * 5 + 1, 0 * 5 + 2, 1 * 5 + 0, 3 * 5 + 3]), np.array([500.0, 20, 900, 40]))
-    tree.open(2, np.array([0 * 5 + 1, 1 * 5 + 3]))
-    tree.learn(2, np.array([0 * 5 + 2, 1 * 5 + 1]), np.array([300.0, 200]))
-    assert tree.retained[1].any() and tree.retained[2].any()
-    for depth in (1, 2):
-        for context in range(len(tree.codes[depth])):
-            assert tree._chance(depth, np.full(4, context), np.arange(4)).sum() == pytest.approx(1.0)
-    symbols = rng.integers(0, 4, 50)
-    assert ((tree.chance(symbols) > 0) & (tree.chance(symbols) < 1)).all()
+class PlainTree:
+    """The suffix tree over whole counts in dictionaries, straight from its definition."""
+
+    def __init__(self, rows):
+        texts = [tokens(t) for i, t in rows if not held(i)]
+        self.c = Counter(w for t in texts for w in t)
+        self.total = sum(self.c.values())
+        once, twice = (sum(n == k for n in self.c.values()) for k in (1, 2))
+        self.discount = once / (once + 2 * twice) if once and twice else 0.5
+        self.n = Counter((tuple(["<"] + t)[k - d + 1:k + 1], w) for t in texts for k, w in enumerate(t) for d in range(1, min(suffix_tree_lm.DEPTH, k + 1) + 1))
+        self.behind = {}
+        for (context, w), n in self.n.items():
+            self.behind.setdefault(context, {})[w] = n
+        self.behind = {c: ws for c, ws in self.behind.items() if sum(ws.values()) >= suffix_tree_lm.LEAST}
+        self.retained = set()
+        for context in sorted(self.behind, key=len):
+            ws = self.behind[context]
+            total = sum(ws.values())
+            gain = sum(n * math.log2(n / total / self.chance(context[1:], w)) for w, n in ws.items())
+            if gain > suffix_tree_lm.DIVERGENCE * len(ws):
+                self.retained.add(context)
+
+    def chance(self, context, w):
+        if not context:
+            return (self.c[w] - self.discount if self.c[w] else self.discount * len(self.c)) / self.total if self.total else 1.0
+        below = self.chance(context[1:], w)
+        if context not in self.retained:
+            return below
+        ws = self.behind[context]
+        return (ws.get(w, 0) + len(ws) * below) / (sum(ws.values()) + len(ws))
+
+    def score(self, text):
+        marked = ["<"] + tokens(text)
+        return sum(math.log10(self.chance(tuple(marked[max(0, k - suffix_tree_lm.DEPTH):k]), w)) for k, w in enumerate(marked) if k)
+
+
+def check_tree(rows, got):
+    tree = PlainTree(rows)
+    want = Counter((i, len(tokens(t)), round(tree.score(t), 4)) for i, t in rows)
+    assert Counter((r["doc_id"], r["n_tokens"], round(r["score"], 4) + 0.0) for r in got) == want
+    return tree
+
+
+@pytest.mark.parametrize("block", [1 << 24, 3000])
+def test_scores_are_those_of_the_plain_tree(spark, monkeypatch, block):
+    monkeypatch.setattr(suffix_tree_lm, "BLOCK_BYTES", block)
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet' ORDER BY doc_id").fetchall()
+    rows = [(i, t) for i, t in rows if t is None or len(t) < 6000]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    tree = check_tree(rows, suffix_tree_lm.score(docs).collect())
+    assert {len(c) for c in tree.retained} == {1, 2, 3}
+    some = [(), ("the",), ("<",)] + sorted(tree.retained, key=str)[::50]
+    for context in some:
+        assert sum(tree.chance(context, w) for w in tree.c) + tree.chance(context, "never seen") == pytest.approx(1.0)
+
+
+def test_scores_of_hot_words_and_unknown_contexts(make):
+    rows = [(k, "the " * (k % 50) + f"w{k % 3} the end w{k % 5}") for k in range(200)] + [(k, "new words of its own the") for k in range(2)]
+    rows += [(None, None), (7, ""), (7, "the the")]
+    check_tree(rows, suffix_tree_lm.score(make(rows)).collect())
+    unlearned = [(k, "x y") for k in range(60) if held(k)]
+    check_tree(unlearned, suffix_tree_lm.score(make(unlearned)).collect())
 
 
 def test_verbatim_passages_are_found(spark):
