@@ -1,7 +1,9 @@
 """Secrets in texts: three fixed shapes, and strings in a sensitive context that do not compress.
 
-Every string of key characters is a candidate if a sensitive word stands beside it on its line or on one of the ``LINES`` lines
-before, or if it is in the PEM block of a key. The novelty of a candidate is the number of bytes it adds to a zstandard frame: the frame of
+A string of 16 or more key characters that mixes letters and digits is a candidate if a sensitive word stands beside it on its line or on one of the
+``LINES`` lines before, or if it is in the PEM block of a key. Behind a colon or an equals sign, with a sensitive word in front on the line, so is a
+quoted string of 16 or more printable characters without a space, and a bare number of 16 or more digits; addresses, templates and names (words of
+four letters and more on average, joined by case or by ``-_./``) are none. The novelty of a candidate is the number of bytes it adds to a zstandard frame: the frame of
 the text on both sides of it with the candidate, less the frame without, both primed with a dictionary of common identifiers. A name, a word or a repeated
 string is a back reference and adds little; a random key has to be spelled out.
 
@@ -13,6 +15,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +38,9 @@ SENSITIVE_WORDS = (b"key", b"secret", b"token", b"passw", b"passphrase", b"pwd",
 SENSITIVE = re.compile("|".join(w.decode() for w in SENSITIVE_WORDS), re.I | re.A)
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{0,64}KEY[A-Z0-9 ]{0,64})-----(.*?)(?:-----END \1-----|\Z)", re.S)
+ASSIGNED = re.compile(r"""[:=][\x20\t]*(?:"([\x21\x23-\x7E]{16,})"|'([\x21-\x26\x28-\x7E]{16,})'|([0-9]{16,})(?![0-9A-Za-z+/_.=-]))""")
+TEMPLATE = re.compile(r"://|\$\{|\{\{|[<>()]")
+NAME, NAME_PART, LEAST_PART = re.compile(r"[A-Za-z]+(?:[-_./][A-Za-z]+)*"), re.compile(r"[A-Z]?[a-z]+|[A-Z]+"), 4
 LINE_END = re.compile(r"\r\n?|\n")
 LINES = 2
 #: Characters of code on each side that a candidate is measured against.
@@ -82,18 +88,39 @@ def base_spans(text: str, data: bytes) -> Iterator[tuple[int, int, str]]:
                     yield m.start(), m.end(), kind
 
 
+def _is_name(found: str) -> bool:
+    """Words in one piece, as ``camelCase`` or ``words-with-marks``; letters drawn at random change their case more often."""
+    return bool(NAME.fullmatch(found)) and len(found) >= LEAST_PART * len(NAME_PART.findall(found))
+
+
 def novel_spans(text: str, data: bytes, novelty: Novelty, least_bytes: int = LEAST_BYTES,
                 least_share: float = LEAST_SHARE) -> Iterator[tuple[int, int, str]]:
-    """Strings in a sensitive context that mix digits and letters and add many bytes to what stands around them."""
+    """Strings in a sensitive context that may be keys and add many bytes to what stands around them; none overlaps another."""
     low = data.translate(LOWER)
     if not any(w in low for w in SENSITIVE_WORDS) and b"-----BEGIN " not in data:
         return
     words = [m.start() for m in SENSITIVE.finditer(text)]
     blocks = [m.span(2) for m in PEM.finditer(text)]
     breaks = [m.end() for m in LINE_END.finditer(text)]
+
+    def novel(start: int, end: int) -> bool:
+        added = novelty.added(text[max(0, start - CONTEXT):start], text[start:end], text[end:end + CONTEXT])
+        return added >= max(least_bytes, least_share * (end - start))
+
+    assigned = []
+    for m in ASSIGNED.finditer(text):
+        start, end = m.span(m.lastindex)
+        line = bisect_right(breaks, m.start())
+        front = bisect_left(words, breaks[line - 1] if line else 0)
+        if front < len(words) and words[front] < m.start() and not TEMPLATE.search(text, start, end) and not _is_name(text[start:end]) and novel(start, end):
+            assigned.append((start, end))
+            yield start, end, "novel"
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
         found = m.group()
+        near = bisect_left(assigned, (end,)) - 1
+        if near >= 0 and start < assigned[near][1]:
+            continue
         if not (any(c.isdigit() for c in found) and any(c.isalpha() for c in found)):
             continue
         line = bisect_right(breaks, start)
@@ -104,14 +131,21 @@ def novel_spans(text: str, data: bytes, novelty: Novelty, least_bytes: int = LEA
         block = bisect_right(blocks, (start, len(text))) - 1
         if not (beside or block >= 0 and end <= blocks[block][1]):
             continue
-        if novelty.added(text[max(0, start - CONTEXT):start], found, text[end:end + CONTEXT]) >= max(least_bytes, least_share * len(found)):
+        if novel(start, end):
             yield start, end, "novel"
 
 
 def spans_of(text: str, data: bytes, novelty: Novelty) -> list[tuple[int, int, str]]:
     """All spans by start, then kind. A novel string that a base shape covers already is not named again."""
-    base = list(base_spans(text, data))
-    more = [s for s in novel_spans(text, data, novelty) if not any(a <= s[0] and s[1] <= b for a, b, _ in base)]
+    base = sorted(base_spans(text, data))
+    starts, reach = [a for a, _, _ in base], list(accumulate((b for _, b, _ in base), max))
+
+    def covered(start: int, end: int) -> bool:
+        # A base span that starts no later has to reach the end.
+        at = bisect_right(starts, start) - 1
+        return at >= 0 and reach[at] >= end
+
+    more = [s for s in novel_spans(text, data, novelty) if not covered(s[0], s[1])]
     return sorted(base + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 

@@ -107,6 +107,41 @@ def test_novel_strings_on_later_lines_and_in_pem_blocks():
     assert not kinds(f"key = {key}\nuse({key})\n")
 
 
+def test_assigned_strings_of_any_class():
+    novelty = secrets.Novelty()
+
+    def kinds(text):
+        return [text[a:b] for a, b, k in secrets.spans_of(text, text.encode(), novelty) if k == "novel"]
+
+    assert kinds('secret_key = "QwZxRtPlMnBvKjHgFdSaYuIoCeWqXzTr"') == ["QwZxRtPlMnBvKjHgFdSaYuIoCeWqXzTr"]
+    assert kinds('api.secret.value = "aB3$kL9#mN2@pQ7!"') == ["aB3$kL9#mN2@pQ7!"]
+    assert kinds("signing key : 'pa\"ss+Wd!9x7Y2z#Q8r' and") == ['pa"ss+Wd!9x7Y2z#Q8r']
+    assert kinds("key = 1234567890192837465012\nkey = 'q8ZrT2nLx0Vb7WmK5yPd3Hs'") == ["1234567890192837465012", "q8ZrT2nLx0Vb7WmK5yPd3Hs"]
+    for text in ('"auth_url": "https://example.com/login/callback"', 'key: "internationalization"', "key = 'my-long-resource-name-here'", 'key="${SOME_LONG_VARIABLE}"',
+                 'key: "getElementByIdentifier"', 'x = "QwZxRtPlMnBvKjHgFdSaYuIoCeWqXzTr"', 'key\nx = "QwZxRtPlMnBvKjHgFdSaYuIoCeWqXzTr"', "key = 123456789012345"):
+        assert not kinds(text), text
+
+
+def test_novel_strings_within_base_spans_are_not_named_again():
+    """Base spans that overlap: one that starts earlier may reach further than the last one before the string."""
+    rng = random.Random(11)
+    pieces = ['token="', "a1" * 12, "q8ZrT2nLx0Vb7WmK5yPd3Hs", "AKIA" + "Q7" * 10, '"', " ", "\n", "key = ", "password:", "f" * 25]
+    novelty = secrets.Novelty()
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(12))
+        base = list(secrets.base_spans(text, text.encode()))
+        more = [s for s in secrets.novel_spans(text, text.encode(), novelty) if not any(a <= s[0] and s[1] <= b for a, b, _ in base)]
+        got = secrets.spans_of(text, text.encode(), novelty)
+        assert Counter(got) == Counter(base + more)
+        novel = sorted(s for s in got if s[2] == "novel")
+        assert all(x[1] <= y[0] for x, y in zip(novel, novel[1:]))
+
+
+def test_empty_tables(make):
+    assert secrets.scan_secrets(make([])).count() == 0 and secrets.redact_secrets(make([])).count() == 0
+    assert license_scan.scan_licenses(make([])).count() == 0
+
+
 def test_redaction_keeps_everything_else(make):
     rows = [(1, 'x token = "abcdef123456" y'), (2, None), (3, "clean"), (4, "f" * 30 + " token=" + "a" * 30)]
     docs = make(rows)
