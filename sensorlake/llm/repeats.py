@@ -193,7 +193,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     """``doc_id, n_bytes, spans, kept_sha256`` for each row of ``docs``: the bytes that go (from 0, end exclusive), and the digest of the
     bytes that stay."""
     data = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    texts = docs.select(F.unhex(F.md5(data)).alias("t"), data.alias("data"))
+    digest = F.unhex(F.sha2(data, 256))
+    texts = docs.select(digest.alias("t"), data.alias("data"))
     counted = written(_count_anchors(texts, length), "anchors")
     key = F.xxhash64("t")
     twice = (counted.groupBy("h").agg(F.min(key).alias("x"), F.max(key).alias("y"), F.max("m").alias("most"), F.sum("m").alias("n"))
@@ -204,11 +205,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT, id_col
     usual = found.where("NOT hot").repartition("h").sortWithinPartitions("h")
     covers = _compare(usual, length).unionAll(_count_windows(found.where("hot"), length))
     cut = written(_cut(touched, covers), "cut")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.unhex(F.md5(data)).alias("t"), F.octet_length(data).cast("long").alias("n_bytes"), F.sha2(data, 256).alias("whole"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), digest.alias("t"), F.octet_length(data).cast("long").alias("n_bytes"))
     copies = rows.groupBy("t").agg((F.count("*") > 1).alias("copied"))
     all_gone = F.col("copied") & (F.col("n_bytes") >= length)
     everything = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     nothing = F.array().cast("array<struct<start:long,end:long>>")
     return rows.join(copies.join(cut, "t", "left"), "t").select(
         "doc_id", "n_bytes", F.when(all_gone, everything).otherwise(F.coalesce("spans", nothing)).alias("spans"),
-        F.when(all_gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", "whole")).alias("kept_sha256"))
+        F.when(all_gone, F.sha2(F.lit(b""), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("t")))).alias("kept_sha256"))
