@@ -193,6 +193,44 @@ def datastream_attribute(df: DataFrame) -> DataFrame:
     return df.withColumn("datastream_attribute", F.when(depth, as_depth).otherwise(as_elevation))
 
 
+def name_uuid(name: Column, namespace: str = "6ba7b811-9dad-11d1-80b4-00c04fd430c8") -> Column:
+    """Version 5 UUID of a name: a task that runs again gives the same name the same UUID."""
+    h = F.sha1(F.concat(F.unhex(F.lit(namespace.replace("-", ""))), name.cast("binary")))
+    variant = F.translate(F.substring(h, 17, 1), "0123456789abcdef", "89ab89ab89ab89ab")
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)),
+                       F.concat(variant, F.substring(h, 18, 3)), F.substring(h, 21, 12))
+
+
+def register_streams(registry: DataFrame, delta: DataFrame, streams: DataFrame, equipment: DataFrame, positions: DataFrame, edges: DataFrame,
+                     stream_type: str = "physicalsensor", database: str = "datastreams") -> DataFrame:
+    """Whole registry rows after a load.
+
+    ``streams`` describes what the load covers: ``datastream_id, datastream_tablename, equipment_uuid, sampling_feature_id, variable_id, units_id``;
+    ``equipment`` has ``equipment_id, equipment_uuid, equipment_code``. UUID and type are set once, the others follow the description; dates and count move as
+    in ``update_registry``. Rows that the load does not cover keep all but those. The attribute names the summed offset of the equipment and what carries
+    it, and is NULL for equipment on a cycle. Unknown equipment and readings of a stream that nobody describes are errors.
+    """
+    placed = datastream_attribute(accumulate_offsets(equipment.select("equipment_id"), positions, edges)
+                                  .join(equipment.select("equipment_id", "equipment_uuid", "equipment_code"), "equipment_id"))
+    unknown = F.raise_error(F.concat(F.lit("no equipment "), F.coalesce("equipment_uuid", F.lit("NULL")))).cast("bigint")
+    described = (streams.join(placed, "equipment_uuid", "left").select(
+        "datastream_id", F.lit(True).alias("_described"), F.lit(database).alias("datastream_database"), "datastream_tablename",
+        F.coalesce("equipment_id", unknown).alias("equipment_id"), "sampling_feature_id", "variable_id", "units_id",
+        F.when(~F.col("cyclic"), F.col("datastream_attribute")).alias("datastream_attribute")))
+    renewed = [c for c in described.columns if c not in ("datastream_id", "_described")]
+    moved = update_registry(registry, delta)
+    joined = moved.join(described.withColumnsRenamed({c: f"_{c}" for c in renewed}), "datastream_id", "full")
+    old = {c: F.col(c) if c in registry.columns else F.lit(None) for c in ["datastream_uuid", "datastream_type", *renewed]}
+    lost = F.raise_error(F.concat(F.lit("nothing describes datastream "), F.col("datastream_id").cast("string"))).cast("string")
+    made = F.when(F.col("_described"), name_uuid(F.concat_ws("/", F.lit(database), "_datastream_tablename"))).otherwise(lost)
+    return joined.select(
+        "datastream_id", F.coalesce(old["datastream_uuid"], made).alias("datastream_uuid"),
+        F.coalesce(old["datastream_type"], F.lit(stream_type)).alias("datastream_type"),
+        *[F.when(F.col("_described"), F.col(f"_{c}")).otherwise(old[c]).alias(c) for c in renewed],
+        "first_measurement_date", "last_measurement_date", F.coalesce("total_measurement_numbers", F.lit(0)).alias("total_measurement_numbers"),
+        *[c for c in registry.columns if c not in {*old, "datastream_id", "first_measurement_date", "last_measurement_date", "total_measurement_numbers"}])
+
+
 def water_level(observations: DataFrame, streams: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """Water level above datum, ``(casing height + elevation) - depth``, from good depth readings.
 

@@ -287,6 +287,48 @@ def attribute_json(t):
         pick("instrument").alias("instrument"))
 
 
+_NAMED = "sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('datastreams/' || tablename))"
+
+
+@query("process_registry", f"""{_OFFSETS_SQL},
+{OBS_SQL}, {REGISTRY_SQL}, news AS (
+  SELECT datastream_id, min(utc_time) FILTER (qa_flag = 'z') AS f, max(utc_time) FILTER (qa_flag = 'z') AS l,
+         count(*) FILTER (qa_flag = 'z') AS n FROM obs WHERE utc_time >= 1705276800 GROUP BY 1),
+ids AS (SELECT datastream_id FROM obs WHERE utc_time < 1705276800 AND datastream_id % 5 <> 0 AND datastream_id % 7 <> 0
+        UNION SELECT datastream_id FROM obs WHERE datastream_id % 5 = 0 OR utc_time >= 1705276800
+        UNION SELECT datastream_id + 1000000 FROM obs WHERE datastream_id % 10 = 3),
+described AS (SELECT datastream_id, 'stream_' || CAST(datastream_id AS VARCHAR) AS tablename, datastream_id % 100 AS equipment_id FROM ids),
+whole AS (
+  SELECT *, {_NAMED} AS h FROM described d JOIN total USING (equipment_id)),
+rows AS (SELECT * FROM registry FULL JOIN news USING (datastream_id) FULL JOIN whole USING (datastream_id))
+SELECT datastream_id, coalesce(datastream_uuid, h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-' || translate(h[17:17], '0123456789abcdef', '89ab89ab89ab89ab')
+         || h[18:20] || '-' || h[21:32]) AS datastream_uuid, 'physicalsensor' AS datastream_type,
+  CASE WHEN tablename IS NOT NULL THEN 'datastreams' END AS datastream_database, tablename AS datastream_tablename, equipment_id,
+  equipment_id % 9 AS sampling_feature_id, equipment_id % 4 AS variable_id, equipment_id % 3 AS units_id,
+  CASE WHEN s < 0 THEN 'sensor_depth' WHEN s >= 0 THEN 'sensor_elevation' END AS kind, abs(s) AS offset_m,
+  CASE WHEN equipment_id IS NOT NULL THEN 'eq-' || CAST(equipment_id AS VARCHAR) END AS instrument,
+  coalesce(first_measurement_date, f) AS first_measurement_date, coalesce(l, last_measurement_date) AS last_measurement_date,
+  coalesce(total_measurement_numbers, 0) + coalesce(n, 0) AS total_measurement_numbers
+FROM rows""")
+def process_registry(t):
+    """Registered streams with and without a description, new streams with readings, and described ones that have none yet."""
+    obs, late = observations(t), F.col("utc_time") >= 1705276800
+    five, seven = F.col("datastream_id") % 5, F.col("datastream_id") % 7
+    ids = (obs.where(late | (five == 0) | (seven != 0)).select("datastream_id")
+           .unionAll(obs.where("datastream_id % 10 = 3").select(F.col("datastream_id") + 1000000)).distinct())
+    number = F.col("datastream_id") % 100
+    streams = ids.select("datastream_id", F.concat(F.lit("stream_"), F.col("datastream_id").cast("string")).alias("datastream_tablename"),
+                         F.concat(F.lit("e-"), number.cast("string")).alias("equipment_uuid"), (number % 9).alias("sampling_feature_id"),
+                         (number % 4).alias("variable_id"), (number % 3).alias("units_id"))
+    machines = equipment(t).withColumn("equipment_uuid", F.concat(F.lit("e-"), F.col("equipment_id").cast("string")))
+    out = p.register_streams(registry(t), obs.where(late), streams, machines, positions(t), edges(t))
+    pick = lambda key: F.get_json_object("datastream_attribute", f"$.{key}")
+    return out.withColumns({
+        "kind": F.when(pick("sensor_depth").isNotNull(), "sensor_depth").when(pick("sensor_elevation").isNotNull(), "sensor_elevation"),
+        "offset_m": F.coalesce(pick("sensor_depth"), pick("sensor_elevation")).cast("double"), "instrument": pick("instrument"),
+    }).drop("datastream_attribute")
+
+
 @query("water_level_calc", f"""
 WITH {OBS_SQL}
 SELECT datastream_id + 100000 AS datastream_id, utc_time,

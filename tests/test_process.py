@@ -1,4 +1,6 @@
+import json
 import math
+import uuid
 
 import pytest
 from pyspark.errors import PySparkException
@@ -117,3 +119,38 @@ def test_piecewise_outside_unchanged(spark):
     segments = spark.sql("SELECT 1L AS datastream_id, 10D AS casing_ft, array(named_struct('start_epoch', 5L, 'end_epoch', 6L, 'elevation_ft', 1D)) AS ranges")
     out = p.piecewise_calc(obs(spark, [(1, 4, 1.0, "z"), (1, 5, 1.0, "z"), (2, 5, 1.0, "z")]), segments).orderBy("datastream_id", "utc_time").collect()
     assert [round(r.data_value, 6) for r in out] == [1.0, 1.3048, 1.0] and not math.isnan(out[0].data_value)
+
+
+def _registry_inputs(spark, loop=False):
+    registry = spark.createDataFrame([(1, "u-1", "derived", 10, 20, 2)],
+                                     "datastream_id long, datastream_uuid string, datastream_type string, first_measurement_date long, "
+                                     "last_measurement_date long, total_measurement_numbers long")
+    delta = spark.createDataFrame([(1, 30, "z"), (2, 5, "z"), (2, 7, "b")], "datastream_id long, utc_time long, qa_flag string")
+    streams = spark.createDataFrame([(1, "a", "e1", 4, 5, 6), (2, "b", "e2", 4, 5, 6)],
+                                    "datastream_id long, datastream_tablename string, equipment_uuid string, sampling_feature_id long, variable_id long, units_id long")
+    equipment = spark.createDataFrame([(1, "e1", "c1"), (2, "e2", "c2")], "equipment_id long, equipment_uuid string, equipment_code string")
+    positions = spark.createDataFrame([(1, 100, -1.5), (2, 100, 4.0)], "equipment_id long, position_start_date_utc long, equipment_z_offset_m double")
+    pairs = [(2, 1)] + ([(1, 2)] if loop else [])
+    edges = spark.createDataFrame([(a, b, 9, "isAttachedTo") for a, b in pairs],
+                                  "equipment_id long, related_equipment_id long, relationship_start_date_time_utc long, relationship_type_cv string")
+    return registry, delta, streams, equipment, positions, edges
+
+
+def test_registry_rows_are_whole(spark):
+    rows = {r["datastream_id"]: r.asDict() for r in p.register_streams(*_registry_inputs(spark)).collect()}
+    assert (rows[1]["datastream_uuid"], rows[1]["datastream_type"], rows[1]["last_measurement_date"], rows[1]["total_measurement_numbers"]) == ("u-1", "derived", 30, 3)
+    assert json.loads(rows[1]["datastream_attribute"]) == {"sensor_depth": 1.5, "sensor_depth_units": "meter", "instrument": "c1"}
+    assert rows[2]["datastream_uuid"] == str(uuid.uuid5(uuid.NAMESPACE_URL, "datastreams/b")) and rows[2]["datastream_type"] == "physicalsensor"
+    assert json.loads(rows[2]["datastream_attribute"])["sensor_elevation"] == 2.5 and rows[2]["total_measurement_numbers"] == 1
+    looped = p.register_streams(*_registry_inputs(spark, loop=True)).collect()
+    assert [r["datastream_attribute"] for r in looped] == [None, None]
+
+
+def test_registry_refuses_what_nobody_describes(spark):
+    registry, delta, streams, *rest = _registry_inputs(spark)
+    with pytest.raises(PySparkException, match="nothing describes datastream 2"):
+        p.register_streams(registry, delta, streams.where("datastream_id = 1"), *rest).collect()
+    with pytest.raises(PySparkException, match="no equipment e9"):
+        p.register_streams(registry, delta, streams.withColumn("equipment_uuid", F.lit("e9")), *rest).collect()
+    left = p.register_streams(registry, delta.where("datastream_id = 1"), streams.limit(0), *rest).collect()
+    assert [(r["datastream_uuid"], r["equipment_id"], r["total_measurement_numbers"]) for r in left] == [("u-1", None, 3)]
