@@ -4,10 +4,12 @@ A document is the set of its word shingles. Equal sets are one vertex from the s
 A tree branches a vertex along ``BRANCH`` chosen tokens at each node: node and choice are functions of the path, so each task
 finds the nodes of its vertices without talking to others, and two sets of similarity s share a chosen token with
 probability s. Nodes of one vertex are dropped, small ones compared exhaustively; larger ones link their members to one
-of them and branch on. What is still large after ``BLIND`` levels are groups of copies rather than chance: it branches as long
-as its members do not all belong to one component, for then nothing is left to find in it. A pair of similarity 0.8 survives a tree of any depth with probability 15/16 at least, so ``TREES`` = 6 independent
-trees find it with probability 1 - 6e-8. Nodes that are still large and mixed at the greatest depth are compared in full, block by
-block. Sketches only propose: every link is confirmed on the full sets.
+of them and branch on. What is still large after ``BLIND`` levels are groups of copies rather than chance. If its members all belong to
+one component, nothing is left to find in it. Otherwise the members outside its largest component meet all others on their full sets,
+block by block; only nodes in which these fill several blocks branch on first, down to ``DEPTH``. A list of two blocks counts all
+common shingles at once and returns a forest of links, so what leaves it is bounded by its members, not by their pairs.
+A pair of similarity 0.8 survives ``BLIND`` levels of a tree with probability 0.91, so ``TREES`` = 6 independent trees miss it with
+probability 5e-7. Sketches only propose: every link is confirmed on the full sets.
 
 Defined cases: a NULL or empty text, or one without words, has no shingles and is linked with nothing. Fewer words than a shingle
 are one shingle. Repeated rows and copies share a component. A NULL id does not become a component's id unless it has no other.
@@ -27,9 +29,11 @@ from sensorlake.session import written
 
 TREES, POOL, BRANCH = 6, 10, 2
 SKETCH = TREES * POOL
-#: Nodes up to this size are compared exhaustively; the depth to which all larger ones branch; the depth at which those that are left
-#: are compared block by block; rows of a block.
-SMALL, BLIND, DEPTH, BLOCK = 24, 3, 8, 256
+#: Nodes up to this size are compared exhaustively; the depth to which all larger ones branch; the depth to which mixed ones branch whose
+#: smaller components fill several blocks; rows and shingles of a block.
+SMALL, BLIND, DEPTH, BLOCK, WEIGHT = 24, 3, 5, 512, 1 << 19
+#: Shingles of more members of a list than this are counted by a matrix product, others by their pairs; columns of a product.
+FEW, COLUMNS = 32, 2048
 #: Share of equal sketch tokens from which a pair is confirmed on its full sets: 4.4 deviations below 0.8 at 60 tokens.
 PROPOSED = 0.57
 CACHE_ENTRIES = 400_000
@@ -124,8 +128,13 @@ def _proposed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a == b).mean(axis=-1)
 
 
-def _compare_lists(lists: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, share)`` within ``members array<struct<v, brief, label, side>>``: different labels, and different sides unless both are 0."""
+def _alike_in_size(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of so many shingles can be similar enough."""
+    return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
+
+
+def _compare_lists(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b, share)`` with different labels within ``members array<struct<v, brief, label, n_shingles>>``."""
     def run(batches):
         for batch in batches:
             out: dict[str, list] = {"a": [], "b": [], "share": []}
@@ -133,10 +142,10 @@ def _compare_lists(lists: DataFrame) -> DataFrame:
                 keys = [m["v"] for m in members]
                 tokens = np.frombuffer(b"".join(m["brief"] for m in members), np.uint8).reshape(len(members), SKETCH)
                 labels = np.unique(np.array([m["label"] for m in members], dtype=object), return_inverse=True)[1]
-                sides = np.array([m["side"] for m in members])
+                sizes = np.array([m["n_shingles"] for m in members])
                 for i in range(len(keys) - 1):
                     share = _proposed(tokens[i], tokens[i + 1:])
-                    for j in np.flatnonzero((share >= PROPOSED) & (labels[i + 1:] != labels[i]) & ((sides[i + 1:] != sides[i]) | (sides[i] == 0))):
+                    for j in np.flatnonzero((share >= PROPOSED) & (labels[i + 1:] != labels[i]) & _alike_in_size(sizes[i], sizes[i + 1:], percent)):
                         a, b = sorted((keys[i], keys[i + 1 + j]))
                         if a != b:
                             out["a"].append(a), out["b"].append(b), out["share"].append(float(share[j]))
@@ -145,16 +154,17 @@ def _compare_lists(lists: DataFrame) -> DataFrame:
     return map_batches(lists.select("members"), "a binary, b binary, share double", run)
 
 
-def _compare_pivots(rows: DataFrame) -> DataFrame:
-    """Pairs ``(a, b, share)`` of ``v, brief`` with ``pivot struct<v, brief>``."""
+def _compare_pivots(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b, share)`` of ``v, brief, n_shingles`` with ``pivot struct<v, brief, n_shingles>``."""
     def run(batches):
         for batch in batches:
             pivot = batch.column("pivot")
             share = _proposed(_matrix(batch.column("brief"), "u1"), _matrix(pivot.field("brief"), "u1"))
+            share[~_alike_in_size(batch.column("n_shingles").to_numpy(), pivot.field("n_shingles").to_numpy(), percent)] = 0
             hits = [(*sorted((v, p)), s) for v, p, s in zip(batch.column("v").to_pylist(), pivot.field("v").to_pylist(), share) if s >= PROPOSED and v != p]
             yield {"a": [h[0] for h in hits], "b": [h[1] for h in hits], "share": [float(h[2]) for h in hits]}
 
-    return map_batches(rows.select("v", "brief", "pivot"), "a binary, b binary, share double", run)
+    return map_batches(rows.select("v", "brief", "n_shingles", "pivot"), "a binary, b binary, share double", run)
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -208,11 +218,15 @@ class _Links:
             if left.isEmpty():
                 continue
             found = written(_confirm(left, self.sets, self.percent), "links")
-            # A component stands for its vertices: what is new are links between labels, and those change labels.
-            joined = components(found.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).select(F.col("v").alias("label"), F.col("label").alias("new"))
-            ends = found.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("la").alias("label")), F.struct(F.col("b").alias("v"), F.col("lb").alias("label")))).alias("e"))
-            known = self.labels.unionAll(ends.select("e.*")).distinct()
-            self.labels = written(known.join(joined, "label", "left").select("v", F.coalesce("new", "label").alias("label")), "labels")
+            self.join(found)
+
+    def join(self, found: DataFrame) -> None:
+        """Take in links ``a, b`` between components ``la, lb``."""
+        # A component stands for its vertices: what is new are links between labels, and those change labels.
+        joined = components(found.select(F.col("la").alias("a"), F.col("lb").alias("b")).distinct()).select(F.col("v").alias("label"), F.col("label").alias("new"))
+        ends = found.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("la").alias("label")), F.struct(F.col("b").alias("v"), F.col("lb").alias("label")))).alias("e"))
+        known = self.labels.unionAll(ends.select("e.*")).distinct()
+        self.labels = written(known.join(joined, "label", "left").select("v", F.coalesce("new", "label").alias("label")), "labels")
 
     def _between(self, pairs: DataFrame) -> DataFrame:
         """Pairs of different components, with both labels."""
@@ -235,27 +249,102 @@ def _sized(rows: DataFrame) -> DataFrame:
     return rows.join(sizes.select("node", "n"), "node")
 
 
-def _propose(active: DataFrame, vertices: DataFrame) -> DataFrame:
+def _propose(active: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
     """Pairs within small nodes, and of large nodes' members with one of them."""
     if "label" not in active.columns:
         active = active.withColumn("label", F.col("v"))
-    rows = active.join(vertices.select("v", "brief"), "v")
-    member = F.struct("v", "brief", "label", F.lit(0).alias("side"))
-    small = rows.where(F.col("n") <= SMALL).groupBy("node").agg(F.collect_list(member).alias("members"))
+    rows = active.join(vertices.select("v", "brief", "n_shingles"), "v")
+    small = rows.where(F.col("n") <= SMALL).groupBy("node").agg(F.collect_list(F.struct("v", "brief", "label", "n_shingles")).alias("members"))
     large = rows.where(F.col("n") > SMALL)
-    pivots = large.groupBy("node").agg(F.min_by(F.struct("v", "brief"), F.xxhash64("tree", "v")).alias("pivot"))
-    return _compare_lists(small).unionAll(_compare_pivots(large.join(pivots, "node")))
-
-
-def _propose_blocks(active: DataFrame, vertices: DataFrame) -> DataFrame:
-    """All pairs within nodes of any size: a node's vertices are dealt into blocks, and each two blocks meet in one list."""
-    rows = active.join(vertices.select("v", "brief"), "v").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
-    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
-    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2).alias("side")
-    lists = met.select("node", low, high, F.struct("v", "brief", "label", side).alias("member")).groupBy("node", "low", "high")
-    return _compare_lists(lists.agg(F.collect_list("member").alias("members")))
+    pivots = large.groupBy("node").agg(F.min_by(F.struct("v", "brief", "n_shingles"), F.xxhash64("tree", "v")).alias("pivot"))
+    return _compare_lists(small, percent).unionAll(_compare_pivots(large.join(pivots, "node"), percent))
+
+
+def _mixed(rows: DataFrame, vertices: DataFrame) -> DataFrame:
+    """``rows (node, v, label, ..)`` of the nodes with several components; adds the largest, ``main``, and into how many blocks it and the
+    others are dealt."""
+    parts = rows.join(vertices.select("v", "n_shingles"), "v").groupBy("node", "label").agg(F.count("*").alias("m"), F.sum("n_shingles").alias("w"))
+    nodes = parts.groupBy("node").agg(F.max(F.struct("m", "label", "w")).alias("most"), F.sum("m").alias("m"), F.sum("w").alias("w")).where("most.m < m")
+
+    def blocks(members, shingles):
+        return F.greatest(F.ceil(members / BLOCK), F.ceil(shingles / WEIGHT)).cast("long")
+
+    most = {c: F.col(f"most.{c}") for c in ("m", "label", "w")}
+    return rows.join(nodes.select("node", most["label"].alias("main"), blocks(most["m"], most["w"]).alias("main_blocks"),
+                                  blocks(F.col("m") - most["m"], F.col("w") - most["w"]).alias("other_blocks")), "node")
+
+
+def _lists(mixed: DataFrame) -> DataFrame:
+    """``node, low, high, v, label``: two blocks make a list. A block of the main component meets those of the others, which also meet
+    each other; the main component's do not, as all is known in it."""
+    main = F.col("label") == F.col("main")
+    own = F.pmod(F.xxhash64("v"), F.when(main, F.col("main_blocks")).otherwise(F.col("other_blocks")))
+
+    def each(blocks, low, high):
+        return F.transform(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1), lambda b: F.struct(low(b).alias("low"), high(b).alias("high")))
+
+    rest = F.filter(each("other_blocks", lambda b: F.least(b, F.col("own")), lambda b: F.greatest(b, F.col("own"))), lambda x: x["low"] < x["high"])
+    met = F.when(main, each("other_blocks", lambda b: -1 - F.col("own"), lambda b: b)).otherwise(
+        F.concat(each("main_blocks", lambda b: -1 - b, lambda b: F.col("own")), rest))
+    return mixed.withColumn("own", own).select("node", "v", "label", F.inline(met))
+
+
+def overlaps(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """How many shingles the sets have in common that stand one after another in ``flat``; right above the diagonal."""
+    n = len(sizes)
+    order = np.argsort(flat, kind="stable")
+    ranked, row = flat[order], np.repeat(np.arange(n), sizes)[order]
+    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    counts = np.diff(np.r_[starts, len(ranked)])
+    column = np.repeat(np.arange(len(counts)), counts)
+    out = np.zeros((n, n), np.int64)
+    held = ((counts > 1) & (counts <= FEW))[column]
+    r, c = row[held], column[held]
+    for d in range(1, min(FEW, len(r))):
+        same = np.flatnonzero(c[d:] == c[:-d])
+        if not len(same):
+            break
+        out += np.bincount(r[same] * n + r[same + d], minlength=n * n).reshape(n, n)
+    many = np.flatnonzero(counts > FEW)
+    place = np.full(len(counts), -1)
+    place[many] = np.arange(len(many))
+    place = place[column]
+    for at in range(0, len(many), COLUMNS):
+        part = np.flatnonzero((place >= at) & (place < at + COLUMNS))
+        there = np.zeros((n, min(COLUMNS, len(many) - at)), np.float32)
+        there[row[part], place[part] - at] = 1
+        out += (there @ there.T).astype(np.int64)
+    return out
+
+
+def _linked_within(mixed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b, la, lb``: a forest of the links between components within each list, with labels for both ends."""
+    def run(table: pa.Table) -> pa.Table:
+        labels = table.column("label").combine_chunks().dictionary_encode()
+        codes, names = labels.indices.to_numpy(), labels.dictionary.to_pylist()
+        data = table.column("shingles").to_pylist()
+        sizes = np.array([len(s) // 8 for s in data])
+        common = overlaps(np.frombuffer(b"".join(data), np.uint64), sizes)
+        hits = np.triu(100 * common >= percent * (sizes[:, None] + sizes[None, :] - common), 1) & (codes[:, None] != codes[None, :])
+        i, j = np.nonzero(hits)
+        up = list(range(len(names)))
+
+        def root(k):
+            while up[k] != k:
+                up[k] = k = up[up[k]]
+            return k
+
+        found = []
+        for pair in np.unique(codes[i].astype(np.int64) * len(names) + codes[j]).tolist():
+            x, y = root(pair // len(names)), root(pair % len(names))
+            if x != y:
+                up[x] = y
+                found.append((names[pair // len(names)], names[pair % len(names)]))
+        a, b = pa.array([f[0] for f in found], pa.binary()), pa.array([f[1] for f in found], pa.binary())
+        return pa.table({"a": a, "b": b, "la": a, "lb": b})
+
+    lists = _lists(mixed).join(sets, "v").select("node", "low", "high", "label", "shingles")
+    return lists.groupBy("node", "low", "high").applyInArrow(run, "a binary, b binary, la binary, lb binary")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,30 +358,33 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     small = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(data).alias("text_key"), data.alias("data"))
     rows = written(_vertices(small, shingle), "documents")
     vertices = written(rows.where("v IS NOT NULL").groupBy("v").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief")), "vertices")
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("one"), F.min("sketch").alias("sketch"), F.min("brief").alias("brief"),
+        F.min("n_shingles").alias("n_shingles")), "vertices")
     active = written(_sized(_branch(vertices.select("v", "sketch"), fresh=True)), "nodes")
-    pairs = written(_propose(active, vertices), "pairs")
+    pairs = written(_propose(active, vertices, percent), "pairs")
     for _ in range(1, BLIND):
         children = _branch(active.where(F.col("n") > SMALL).join(vertices.select("v", "sketch"), "v"), fresh=False)
         active = written(_sized(children), "nodes")
-        pairs = pairs.unionAll(written(_propose(active, vertices), "pairs"))
+        pairs = pairs.unionAll(written(_propose(active, vertices, percent), "pairs"))
     # The full sets of all that may be linked, made from the texts once.
     large = active.where(F.col("n") > SMALL)
     wanted = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))).unionAll(large.select("v")).distinct()
     one = vertices.join(wanted, "v", "left_semi").select("v", "one.doc_id", "one.text_key")
     links = _Links(spark, written(_full_sets(small, one, shingle), "sets"), percent)
     links.add(pairs)
-    for depth in range(BLIND + 1, DEPTH + 1):
-        mixed = written(_sized(links.labelled(large.drop("n"))).drop("label"), "mixed")
-        if mixed.isEmpty():
-            break
-        if depth == DEPTH:
-            links.add(written(_propose_blocks(links.labelled(mixed), vertices), "pairs"))
+    large = large.select("node", "tree", "used", "v")
+    for depth in range(BLIND, DEPTH + 1):
+        mixed = written(_mixed(links.labelled(large), vertices), "mixed")
+        found = written(_linked_within(mixed if depth == DEPTH else mixed.where("other_blocks = 1"), links.sets, percent), "links")
+        if not found.isEmpty():
+            links.join(found)
+        deeper = mixed.where("other_blocks > 1").select("node", "tree", "used", "v")
+        if depth == DEPTH or deeper.isEmpty():
             break
-        children = _branch(mixed.join(vertices.select("v", "sketch"), "v"), fresh=False)
+        children = _branch(deeper.join(vertices.select("v", "sketch"), "v"), fresh=False)
         active = written(_sized(links.labelled(children)), "nodes")
-        links.add(written(_propose(active, vertices), "pairs"))
-        large = active.where(F.col("n") > SMALL).drop("label")
+        links.add(written(_propose(active, vertices, percent), "pairs"))
+        large = active.where(F.col("n") > SMALL).select("node", "tree", "used", "v")
     labelled = written(links.labelled(rows.select("doc_id", "text_key", "n_shingles", "v")), "labelled")
     reached = labelled.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     joined = labelled.join(reached, "label", "left")

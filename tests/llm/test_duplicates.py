@@ -74,6 +74,33 @@ def test_near_duplicates_of_large_and_odd_groups(make, monkeypatch):
     assert found(make(rows), 5) == plain_components(rows, 5)
 
 
+def test_near_duplicates_of_two_large_groups_grow_with_their_members(make, monkeypatch):
+    """Two groups of copies whose members look alike across the groups, but never enough: what is written follows rows, not pairs."""
+    rng = random.Random(6)
+    common, kept = [f"c{k}" for k in range(82)], near_dup.written
+    rows = [(1000 * g + k, " ".join(common + [f"g{g}-{j}" for j in range(17)] + [f"own{g}-{k}"])) for g in range(2) for k in range(400)]
+    rng.shuffle(rows)
+    counts = defaultdict(int)
+
+    def counted(df, name):
+        out = kept(df, name)
+        counts[name] = max(counts[name], out.count())
+        return out
+
+    monkeypatch.setattr(near_dup, "written", counted)
+    got = found(make(rows), 1)
+    assert got == Counter((i, 100, 1000 * (i // 1000), i % 1000 == 0) for i, _ in rows)
+    assert counts["pairs"] <= near_dup.TREES * near_dup.BRANCH ** near_dup.BLIND * len(rows)
+
+
+def test_overlaps_of_rare_and_frequent_shingles():
+    rng = random.Random(2)
+    sets = [sorted({rng.randrange(30) if k % 2 else rng.randrange(400) for _ in range(20)}) for k in range(90)]
+    flat, sizes = near_dup.np.array(sum(sets, []), near_dup.np.uint64), near_dup.np.array(list(map(len, sets)))
+    got = near_dup.overlaps(flat, sizes)
+    assert all(got[i, j] == len(set(sets[i]) & set(sets[j])) for i in range(90) for j in range(i + 1, 90))
+
+
 def test_near_duplicates_empty(make):
     assert near_dup.near_duplicates(make([])).count() == 0
 
