@@ -37,6 +37,8 @@ FEW, COLUMNS = 32, 2048
 #: Share of equal sketch tokens from which a pair is confirmed on its full sets: 4.4 deviations below 0.8 at 60 tokens.
 PROPOSED = 0.57
 CACHE_ENTRIES = 400_000
+#: Bits that say which texts are wanted, at most.
+FILTER_BITS = 1 << 26
 
 _SEEDS = mix(np.arange(1, 4 * SKETCH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 FACTOR, SHIFT, PLACE, SALT = _SEEDS[:SKETCH, None] | np.uint64(1), _SEEDS[SKETCH:2 * SKETCH, None], _SEEDS[2 * SKETCH:3 * SKETCH] | np.uint64(1), _SEEDS[3 * SKETCH:]
@@ -167,8 +169,22 @@ def _compare_pivots(rows: DataFrame, percent: int) -> DataFrame:
     return map_batches(rows.select("v", "brief", "n_shingles", "pivot"), "a binary, b binary, share double", run)
 
 
+def _maybe_wanted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``docs`` less most rows whose ``text_key`` is not in ``wanted``, so that few texts are shuffled. No wanted one is lost: a bit per key, in
+    at most ``FILTER_BITS`` bits, whose 64-bit words are all that passes the driver."""
+    spark, size = docs.sparkSession, min(FILTER_BITS, 1 << max(10, (16 * wanted.count()).bit_length()))
+    at = F.pmod("text_key", F.lit(size))
+    word, bit = F.floor(at / 64), (at % 64).cast("int")
+    held = wanted.groupBy(word.alias("word")).agg(F.expr(f"bit_or(shiftleft(1L, cast(pmod(text_key, {size}) % 64 AS int)))").alias("bits")).toArrow()
+    bits = np.zeros(size // 64, np.int64)
+    bits[held.column("word").to_numpy()] = held.column("bits").to_numpy()
+    known = spark.createDataFrame(pa.table({"bits": pa.array([bits], pa.list_(pa.int64()))}))
+    return docs.join(F.broadcast(known), F.getbit(F.get("bits", word.cast("int")), bit) == 1, "left_semi")
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """``(v, shingles)`` of the vertices in ``wanted (v, doc_id, text_key)``, from the texts of one document each."""
+    docs = _maybe_wanted(docs, wanted)
     texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["doc_id"]) & (docs["text_key"] == wanted["text_key"])).select(wanted["v"], "data")
 
     def run(batches):
@@ -369,7 +385,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col
     # The full sets of all that may be linked, made from the texts once.
     large = active.where(F.col("n") > SMALL)
     wanted = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v"))).unionAll(large.select("v")).distinct()
-    one = vertices.join(wanted, "v", "left_semi").select("v", "one.doc_id", "one.text_key")
+    one = written(vertices.join(wanted, "v", "left_semi").select("v", "one.doc_id", "one.text_key"), "wanted")
     links = _Links(spark, written(_full_sets(small, one, shingle), "sets"), percent)
     links.add(pairs)
     large = large.select("node", "tree", "used", "v")

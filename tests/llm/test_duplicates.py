@@ -93,6 +93,14 @@ def test_near_duplicates_of_two_large_groups_grow_with_their_members(make, monke
     assert counts["pairs"] <= near_dup.TREES * near_dup.BRANCH ** near_dup.BLIND * len(rows)
 
 
+def test_unwanted_texts_are_left_before_the_shuffle(make, spark):
+    docs = make([(k, f"text {k}") for k in range(-1000, 1000)]).select("doc_id", near_dup.F.xxhash64("text").alias("text_key"))
+    wanted = docs.where("doc_id % 20 = 0")
+    left = {r["doc_id"] for r in near_dup._maybe_wanted(docs, wanted).collect()}
+    assert left >= set(range(-1000, 1000, 20)) and len(left) < 400
+    assert near_dup._maybe_wanted(docs, docs.limit(0)).count() == 0
+
+
 def test_overlaps_of_rare_and_frequent_shingles():
     rng = random.Random(2)
     sets = [sorted({rng.randrange(30) if k % 2 else rng.randrange(400) for _ in range(20)}) for k in range(90)]
