@@ -203,7 +203,8 @@ def read_two_row_header(spark: SparkSession, path: str, time_col: str = "datetim
                         time_unit: str = "timestamp", glob: str = CSV_GLOB, missing: str = "error") -> tuple[DataFrame, DataFrame]:
     """CSV whose second line holds units: ``(samples as text, column_name/units_term table)``.
 
-    The time cell of the second line has to be the word ``time_unit``.
+    The time cell of the second line has to be the word ``time_unit``. The units come from the headers that the driver has looked at, so
+    they are marked for broadcast: a shuffle of the samples by column name would leave a task for each column.
     """
     samples, units = [], []
     for x in _layouts(spark, path, glob, time_col, 2, 0, missing):
@@ -215,8 +216,8 @@ def read_two_row_header(spark: SparkSession, path: str, time_col: str = "datetim
         samples.append(raw.filter(~_is_line(x.names, x.lines[1])).select(
             F.to_timestamp_ntz(_column(x.time), F.lit("yyyy-MM-dd HH:mm:ss")).alias("timestamp"),
             *[_column(n) for n in cells]))
-        units.append(spark.createDataFrame([(n, second[k] or None) for k, n in enumerate(x.names) if n != x.time], "column_name string, units_term string"))
-    return _union(samples), _union(units).distinct()
+        units += [(n, second[k] or None) for k, n in enumerate(x.names) if n != x.time]
+    return _union(samples), F.broadcast(spark.createDataFrame(list(dict.fromkeys(units)), "column_name string, units_term string"))
 
 
 PAYLOAD_SCHEMA = ("struct<parameters:array<struct<parameterId:string,unitId:string,"

@@ -69,6 +69,15 @@ def test_two_row_header(spark, tmp_path):
     assert sorted(tuple(r) for r in units.collect()) == [("flow", "cfs"), ("ph", "ph")]
 
 
+def test_units_do_not_shuffle_the_samples(spark, tmp_path):
+    put(tmp_path, "g.csv", "ph,datetime,flow\nph,timestamp,cfs\n< 0.02,2024-01-01 00:00:00,nan\n")
+    samples, units = readers.read_two_row_header(spark, str(tmp_path))
+    joined = samples.unpivot(["timestamp"], ["flow", "ph"], "column_name", "cell").join(units, "column_name")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert sorted((r.column_name, r.cell, r.units_term) for r in joined.collect()) == [("flow", "nan", "cfs"), ("ph", "< 0.02", "ph")]
+
+
 def test_payload(spark):
     body = '{"parameters":[{"parameterId":"1","unitId":"1","readings":[{"timestamp":5,"value":1.5},{"timestamp":6,"value":2.5}]},' \
            '{"parameterId":"17","unitId":"145","readings":[{"timestamp":6,"value":7.0}]},{"parameterId":"999","unitId":"1","readings":[{"timestamp":9,"value":1}]}]}'
