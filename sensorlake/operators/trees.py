@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorlake.operators.tables import resolve_ids
@@ -120,22 +120,49 @@ def check_feature_tree(nodes: DataFrame) -> DataFrame:
     return repeated("sampling_feature_code").unionByName(repeated("sampling_feature_uuid"))
 
 
+#: Repeated keys are told apart by so many buckets. A bucket of over ``HOT`` rows and ten times the average is not dealt out by key.
+KEY_BUCKETS, HOT = 1 << 16, 50_000
+
+
 def duplicate_fields(nodes: DataFrame) -> DataFrame:
     """In what the records of a repeated code or uuid differ: ``field, value`` (what is repeated), ``differs`` (the other field), ``shown`` (what
     it holds there, as text) and ``n`` (in how many records).
 
-    Records are counted by what they hold before they are compared, and no repeated key is gathered in one place.
+    Records are dealt out by key once and taken apart into fields where they have arrived, so a record travels as one narrow row. A key with very
+    many records is not gathered in one place: rows are counted by bucket of the key first, and in buckets far above the average
+    what the records hold is counted before it is compared.
     """
     keys = ("sampling_feature_code", "sampling_feature_uuid")
+    bucket = {name: F.pmod(F.xxhash64(name), F.lit(KEY_BUCKETS)).cast("int") for name in keys}
+    sides = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.when(F.col(name).isNotNull(), b).alias("bucket")) for name, b in bucket.items()]))
+    counted = nodes.select(sides.alias("k")).select("k.*").filter("bucket IS NOT NULL").groupBy("field", "bucket").agg(F.count("*").alias("n"))
+    average = F.avg("n").over(Window.partitionBy("field"))
+    hot = counted.withColumn("average", average).filter((F.col("n") > HOT) & (F.col("n") > 10 * F.col("average"))).select("field", "bucket").collect()
 
     def repeated(name: str) -> DataFrame:
         rest = [c for c in nodes.columns if c not in (name, "depth", "sampling_feature_id")]
         texts = {c: F.col(c).cast("string") if kind in ("string", "int", "bigint", "double", "boolean", "date", "timestamp", "timestamp_ntz") else F.to_json(c)
                  for c, kind in nodes.dtypes if c in rest}
-        long = nodes.select(F.col(name).alias("value"), *(t.alias(c) for c, t in texts.items())).unpivot("value", rest, "differs", "shown")
-        held = long.filter("value IS NOT NULL").groupBy("value", "differs", "shown").agg(F.count("*").alias("n"))
-        several = held.groupBy("value", "differs").agg(F.count("*").alias("_kinds")).filter("_kinds > 1").drop("_kinds")
-        return held.join(several, ["value", "differs"]).select(F.lit(name).alias("field"), "value", "differs", "shown", "n")
+
+        def held(records: DataFrame) -> DataFrame:
+            # Not an unpivot: that would forget that the records lie by key.
+            fields = F.explode(F.array(*[F.struct(F.lit(c).alias("differs"), t.alias("shown")) for c, t in texts.items()]))
+            long = records.select(F.col(name).alias("value"), fields.alias("f")).select("value", "f.*")
+            return long.groupBy("value", "differs", "shown").agg(F.count("*").alias("n"))
+
+        def named(found: DataFrame) -> DataFrame:
+            return found.select(F.lit(name).alias("field"), "value", "differs", "shown", "n")
+
+        records = nodes.select(name, *rest).filter(F.col(name).isNotNull())
+        many = [r["bucket"] for r in hot if r["field"] == name]
+        here = held((records.filter(~bucket[name].isin(many)) if many else records).repartition(name))
+        kinds = F.count("*").over(Window.partitionBy("value", "differs"))
+        found = named(here.withColumn("_kinds", kinds).filter("_kinds > 1"))
+        if not many:
+            return found
+        spread = held(records.filter(bucket[name].isin(many)))
+        several = spread.groupBy("value", "differs").agg(F.count("*").alias("_kinds")).filter("_kinds > 1").drop("_kinds")
+        return found.unionByName(named(spread.join(several, ["value", "differs"])))
 
     return repeated(keys[0]).unionByName(repeated(keys[1]))
 

@@ -17,6 +17,21 @@ def test_fields_in_which_repeated_records_differ(spark):
     assert trees.duplicate_fields(nodes.limit(0)).count() == 0
 
 
+def test_a_record_travels_once_for_each_key(spark, monkeypatch):
+    nodes = spark.range(4000).select(F.when(F.col("id") % 4 == 0, "hot").otherwise((F.col("id") % 1000).cast("string")).alias("sampling_feature_code"),
+                                     F.col("id").cast("string").alias("sampling_feature_uuid"), (F.col("id") % 3).cast("double").alias("elevation_m"))
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    out = trees.duplicate_fields(nodes)
+    assert plan(out).count("Exchange hashpartitioning") == 2 and "Join" not in plan(out)
+    plain = sorted(map(tuple, out.collect()), key=repr)
+    assert ("sampling_feature_code", "hot", "elevation_m", "0.0", 334) in plain
+    monkeypatch.setattr(trees, "HOT", 100)
+    assert "Join" in plan(trees.duplicate_fields(nodes))
+    assert sorted(map(tuple, trees.duplicate_fields(nodes).collect()), key=repr) == plain
+
+
 def test_registries_are_compared_by_terms(spark):
     old = spark.createDataFrame([("a_wvc_1", 1, 5), ("b", 2, 5), ("c", None, 5), ("d", 9, 5)], "datastream_tablename string, variable_id long, n long")
     new = spark.createDataFrame([("a_wvc(1", 71, 5), ("b", 71, 6), ("c", 72, 5)], "datastream_tablename string, variable_id long, n long")
