@@ -185,9 +185,10 @@ def out_json_rows(t):
 # ---- trees ----
 
 def _as_files(t, documents):
-    """Write one document per line, as the sites come in, and read the files back."""
+    """Write one document per line, as the sites come in, and read the files back. The files are compressed: as plain text they are many times
+    the tables they are made of."""
     path = scratch_path(t.spark, "documents")
-    documents.write.text(path)
+    documents.write.option("compression", "gzip").text(path)
     return t.spark.read.text(path).withColumnRenamed("value", "body")
 
 

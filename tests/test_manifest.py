@@ -164,3 +164,14 @@ def test_equipment_owners_and_purchase(spark):
     out = trees.flatten_equipment_tree(df, "body", models, orgs, persons)
     assert sorted((r.equipment_uuid, r.equipment_vendor_id, r.equipment_purchase_order_number) for r in out["equipment"].collect()) == [("u0", 1, "7"), ("u1", 2, "7"), ("u2", 2, "7")]
     assert {(r.person_id, r.person_role_cv) for r in out["owners"].collect()} == {(5, "keeper")} and out["owners"].count() == 3
+
+
+def test_what_is_written_on_the_way_is_compressed(spark):
+    """Documents as files, and the nodes they become, are no larger than they have to be."""
+    from sensorlake.session import written
+    from suite.metadata import _as_files
+    from suite.registry import Tables
+
+    files = _as_files(Tables(spark, ""), spark.range(3).select(F.col("id").cast("string").alias("value")))
+    assert all(f.endswith(".gz") for f in files.inputFiles()) and sorted(r.body for r in files.collect()) == ["0", "1", "2"]
+    assert all(f.endswith(".zstd.parquet") for f in written(spark.range(3), "nodes").inputFiles())
