@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sensorlake.session import durable
+from sensorlake.session import durable, small_side
 
 
 def check_columns(df: DataFrame, names) -> None:
@@ -104,12 +104,16 @@ def split_variables(df: DataFrame, id_col: str = "variable_id") -> tuple[DataFra
 
 
 def resolve_ids(df: DataFrame, dim: DataFrame, on: list[tuple[str, str]], dim_id: str, as_col: str,
-                required: bool = False) -> DataFrame:
-    """Add ``as_col``, the id of the first ``(column, dim column)`` pair that matches; a required one must exist."""
+                required: bool = False, count_first: bool = False) -> DataFrame:
+    """Add ``as_col``, the id of the first ``(column, dim column)`` pair that matches; a required one must exist.
+
+    With ``count_first`` the names and ids are computed once and broadcast if they are few, so wide rows of ``df`` stay where they are."""
     out, candidates = df, []
     for i, (column, dim_column) in enumerate(on):
         lookup = dim.filter(F.col(dim_column).isNotNull()).groupBy(F.col(dim_column).alias(f"_k{i}")).agg(
             F.min(dim_id).alias(f"_i{i}"))
+        if count_first:
+            lookup = small_side(lookup)
         out = out.join(lookup, F.col(column) == F.col(f"_k{i}"), "left")
         candidates.append(F.col(f"_i{i}"))
     found = F.coalesce(*candidates)

@@ -178,11 +178,12 @@ EQUIPMENT_FIELDS = (
 
 def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organizations: DataFrame, persons: DataFrame,
                            max_depth: int | None = None) -> dict[str, DataFrame]:
-    """Equipment documents to ``equipment``, ``positions``, ``owners`` and ``edges``.
+    """Equipment documents to ``equipment``, ``positions``, ``owners`` and ``edges``, and ``attached``: the equipment, each row with the
+    ``parent_uuid`` of the document it stands in, so nobody has to join the outputs for it.
 
     The model is found by part number (an error when absent), the vendor by code with ``unknown`` as fallback, the
     owner by name (an error when a name is given that is not known). Positions are keyed by equipment and start, owners by equipment and
-    person; children are attached to their parent.
+    person; children are attached to their parent. Vendors and owners are looked up first, and broadcast if they are few.
     """
     rows = explode_documents(docs, body, EQUIPMENT_FIELDS, "equipment", "equipment_uuid", max_depth)
     ided = rows.withColumns({"equipment_id": F.xxhash64("equipment_uuid"), "parent_id": F.when(
@@ -190,20 +191,25 @@ def flatten_equipment_tree(docs: DataFrame, body: str, models: DataFrame, organi
     # One id for all rows without a known vendor: looked up once, not joined.
     unknown = organizations.filter(F.col("organization_code") == "unknown").agg(F.min("organization_id").alias("organization_id")).scalar()
     names = persons.withColumn("_name", F.concat_ws(" ", "person_first_name", "person_last_name"))
-    equipment = ided.withColumn("_owner", F.concat_ws(" ", "equipment_owner_first_name", "equipment_owner_last_name"))
-    equipment = resolve_ids(equipment, models, [("equipment_code", "equipment_model_part_number")], "equipment_model_id",
-                            "equipment_model_id", required=True)
-    equipment = resolve_ids(equipment, organizations, [("equipment_vendor", "organization_code")], "organization_id", "_vendor_id")
-    equipment = resolve_ids(equipment, names, [("_owner", "_name")], "person_id", "equipment_owner_id")
+    equipment = rows.withColumn("_owner", F.concat_ws(" ", "equipment_owner_first_name", "equipment_owner_last_name"))
+    equipment = resolve_ids(equipment, organizations, [("equipment_vendor", "organization_code")], "organization_id", "_vendor_id", count_first=True)
+    equipment = resolve_ids(equipment, names, [("_owner", "_name")], "person_id", "equipment_owner_id", count_first=True)
     stranger = (F.col("_owner") != "") & F.col("equipment_owner_id").isNull()
     equipment = equipment.withColumns({
         "equipment_vendor_id": F.coalesce(F.col("_vendor_id"), unknown),
         "equipment_owner_id": F.when(stranger, F.raise_error(F.concat(F.lit("no person_id for "), F.col("_owner"))).cast("bigint")).otherwise(
             F.col("equipment_owner_id"))})
+    equipment = resolve_ids(equipment, models, [("equipment_code", "equipment_model_part_number")], "equipment_model_id",
+                            "equipment_model_id", required=True)
+    # The id is made of the uuid after the shuffle, which need not carry both.
+    equipment = equipment.withColumn("equipment_id", F.xxhash64("equipment_uuid"))
+    attached = equipment.select(
+        "equipment_id", "equipment_uuid", "equipment_code", "equipment_name", "equipment_serial_number", "equipment_description", "equipment_model_id",
+        "equipment_vendor_id", "equipment_owner_id", "equipment_purchase_date", "equipment_purchase_order_number", "equipment_documentation_link",
+        F.col("parent_key").alias("parent_uuid"))
     return {
-        "equipment": equipment.select(
-            "equipment_id", "equipment_uuid", "equipment_code", "equipment_name", "equipment_serial_number", "equipment_description", "equipment_model_id",
-            "equipment_vendor_id", "equipment_owner_id", "equipment_purchase_date", "equipment_purchase_order_number", "equipment_documentation_link"),
+        "equipment": attached.drop("parent_uuid"),
+        "attached": attached,
         "positions": ided.select("equipment_id", "position_start_date_utc", "position_end_date_utc",
                                  F.coalesce("equipment_z_offset_m", F.lit(0.0)).alias("equipment_z_offset_m"), "equipment_ns_offset_m",
                                  "equipment_ew_offset_m", "equipment_height_note").distinct(),

@@ -310,11 +310,9 @@ def equipment_flatten(t):
     orgs = orgs.unionByName(t.spark.sql("SELECT -1L AS organization_id, 'unknown' AS organization_code"))
     persons = t.spark.sql("SELECT 11L AS person_id, 'Ada' AS person_first_name, 'Byron' AS person_last_name")
     out = trees.flatten_equipment_tree(_as_files(t, equipment_documents(t)), "body", models, orgs, persons, max_depth=3)
-    names = out["equipment"].select(F.col("equipment_id").alias("related_equipment_id"), F.col("equipment_uuid").alias("parent")).distinct()
-    parents = out["edges"].join(names, "related_equipment_id").select("equipment_id", "parent").distinct()
-    return out["equipment"].join(parents, "equipment_id", "left").select(
+    return out["attached"].select(
         "equipment_uuid", F.col("equipment_model_id").alias("model_id"), F.col("equipment_vendor_id").alias("vendor_id"),
-        F.col("equipment_owner_id").alias("owner_id"), "parent")
+        F.col("equipment_owner_id").alias("owner_id"), F.col("parent_uuid").alias("parent"))
 
 
 @query("nest_tree", """

@@ -166,6 +166,23 @@ def test_equipment_owners_and_purchase(spark):
     assert {(r.person_id, r.person_role_cv) for r in out["owners"].collect()} == {(5, "keeper")} and out["owners"].count() == 3
 
 
+def test_equipment_rows_know_their_parent(spark):
+    """Vendors and owners are broadcast, and nothing but the model is looked up by shuffle; edges say the same as the rows."""
+    logger = {"equipment_uuid": "l", "equipment_code": "p", "equipment_vendor": "org", "position_start_date_utc": 1,
+              "equipment": [{"equipment_uuid": "s", "equipment_code": "p", "equipment_owner_first_name": "A", "equipment_owner_last_name": "B"}]}
+    df = spark.createDataFrame([(json.dumps(logger),), (json.dumps(logger | {"equipment_uuid": "m", "equipment": []}),)], "body string")
+    models = spark.createDataFrame([(3, "p")], "equipment_model_id long, equipment_model_part_number string")
+    orgs = spark.createDataFrame([(1, "org"), (2, "unknown")], "organization_id long, organization_code string")
+    persons = spark.createDataFrame([(5, "A", "B")], "person_id long, person_first_name string, person_last_name string")
+    out = trees.flatten_equipment_tree(df, "body", models, orgs, persons)
+    rows = out["attached"].select("equipment_uuid", "equipment_model_id", "equipment_vendor_id", "equipment_owner_id", "parent_uuid")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") >= 2 and plan.count("SortMergeJoin") <= 1
+    assert sorted(map(tuple, rows.collect()), key=repr) == [("l", 3, 1, None, None), ("m", 3, 1, None, None), ("s", 3, 2, 5, "l")]
+    ids = {r.equipment_id: r.equipment_uuid for r in out["equipment"].collect()}
+    assert [(ids[r.equipment_id], ids[r.related_equipment_id]) for r in out["edges"].collect()] == [("s", "l")]
+
+
 def test_what_is_written_on_the_way_is_compressed(spark):
     """Documents as files, and the nodes they become, are no larger than they have to be."""
     from sensorlake.session import written
