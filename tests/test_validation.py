@@ -154,6 +154,19 @@ def test_schemas_that_refer_to_themselves(spark):
     assert got[120] == sorted(["parts[0]." * 19 + "parts[0].code: required", "parts[0]." * 19 + "parts[0].size: minimum"])
 
 
+def test_a_round_checks_and_goes_on_in_one_pass(spark, monkeypatch):
+    """What is wrong is written with what lies below, so no level is read twice, and records are not kept as values."""
+    tables, written = [], validation.written
+    monkeypatch.setattr(validation, "written", lambda df, name: tables.append(written(df, name)) or tables[-1])
+    df = validation.schema_violations(rows(spark, [{"code": "a", "parts": [{"size": -1, "parts": [{"code": 7}]}]}, {"code": "b"}]), "body", TREE)
+    assert [sorted(t.columns) for t in tables] == [["_below", "_found", "_row", "body", "k"]] + [["_below", "_found", "_row"]] * 2
+    assert [r["_found"] for r in tables[2].collect()] == [["parts[0].parts[0].code: type"]]
+    plan = tables[0]._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
+    assert "variant" not in plan.lower().replace("node:variant", "")
+    assert {r["k"]: r["violations"] for r in df.collect()} == {
+        0: ["parts[0].code: required", "parts[0].parts[0].code: type", "parts[0].size: minimum"], 1: []}
+
+
 def test_a_record_is_parsed_once(spark):
     df = validation.schema_violations(rows(spark, [{"name": "abc", "list": [{"v": 1}]}]), "body", NESTED)
     plan = df._jdf.queryExecution().optimizedPlan().toString()
